@@ -38,8 +38,12 @@ class StateLoop:
         return self._checkpoint(state)
 
     def _checkpoint(self, state: DataFrame) -> DataFrame:
+        """Reliable checkpoint; the state is cached first because writing the
+        checkpoint files is a second job over the same lineage."""
         ensure_checkpoint_dir(state.sparkSession)
-        out = state.checkpoint(eager=True)
+        cached = state.persist(StorageLevel.MEMORY_AND_DISK)
+        out = cached.checkpoint(eager=True)
+        cached.unpersist(blocking=False)
         for df in self._held:
             df.unpersist(blocking=False)
         self._held = []

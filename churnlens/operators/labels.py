@@ -27,25 +27,30 @@ def label_propagation(vertex_ids: DataFrame, e: DataFrame, max_iter: int = 5,
     label. Votes are counted per (vertex, label) with a partial aggregate and
     the winner is picked with ``min_by`` over (-count, label), so a hub's
     votes are reduced map-side and never collected as a list.
+
+    The loop state holds only vertices with neighbours (they receive votes
+    every round); all other vertices keep their id and are added once at the
+    end. The vote edges are hash-partitioned by sender once and cached, so a
+    round moves only the label state and the counted votes.
     """
-    votes_edges = persist(_vote_edges(e))
-    v = persist(vertex_ids.select("id").distinct())
-    labels = v.select("id", F.col("id").alias("label"))
+    votes_edges = _vote_edges(e)
+    n_parts = e.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    votes_edges = persist(votes_edges.repartition(int(n_parts), "frm"))
+    labels = votes_edges.select(F.col("to").alias("id")).distinct().select(
+        "id", F.col("id").alias("label"))
     loop = StateLoop(checkpoint_every)
     for _ in range(max_iter):
         msgs = (votes_edges.join(labels.select(F.col("id").alias("frm"), "label"), "frm")
                 .groupBy("to", "label").agg(F.count(F.lit(1)).alias("n")))
-        best = (msgs.groupBy("to")
-                .agg(F.min_by("label", F.struct((-F.col("n")).alias("k"), F.col("label").alias("l")))
-                     .alias("new_label"))
-                .withColumnRenamed("to", "id"))
-        new = (labels.join(best, "id", "left")
-               .select("id", F.coalesce("new_label", "label").alias("label")))
+        new = (msgs.groupBy("to")
+               .agg(F.min_by("label", F.struct((-F.col("n")).alias("k"), F.col("label").alias("l")))
+                    .alias("label"))
+               .withColumnRenamed("to", "id"))
         labels = loop.advance(new)
     labels = loop.finish(labels)
     votes_edges.unpersist(blocking=False)
-    v.unpersist(blocking=False)
-    return labels
+    return (vertex_ids.select("id").distinct().join(labels, "id", "left")
+            .select("id", F.coalesce("label", "id").alias("label")))
 
 
 def _undirected_pairs(e: DataFrame) -> DataFrame:
@@ -84,7 +89,7 @@ def _converged(p: DataFrame) -> bool:
 
 
 def connected_components(vertex_ids: DataFrame, e: DataFrame, max_rounds: int = 100,
-                         checkpoint_every: int = 2) -> DataFrame:
+                         checkpoint_every: int = 1) -> DataFrame:
     """Weakly connected components; (id, component), component = smallest id.
 
     Alternating large-star / small-star rounds (Kiveris et al., 2014) over
@@ -92,7 +97,8 @@ def connected_components(vertex_ids: DataFrame, e: DataFrame, max_rounds: int =
     most the current pairs, and the number of rounds grows with log^2 of the
     vertex count rather than with the graph diameter. On exit every vertex
     points at its component's smallest id; vertices without edges are their
-    own component.
+    own component. A round reads the pair set several times, so lineage is
+    cut after every round by default.
     """
     p = persist(_undirected_pairs(e))
     loop = StateLoop(checkpoint_every)

@@ -39,23 +39,37 @@ def pagerank(vertex_ids: DataFrame, e: DataFrame, max_iter: int = 10,
     """
     known = e.where(F.col("src").isNotNull() & F.col("dst").isNotNull()).select("src", "dst")
     w = persist(_weighted(known))
-    v = persist(vertex_ids.select("id").distinct())
-    ranks = v.select("id", F.lit(1.0).alias("rank"))
+    # Sparse state: only vertices with in-edges get a computed rank; every
+    # other vertex has rank ``reset`` after the first round (1.0 before), so
+    # it is filled in by a left join from the edges instead of being carried.
+    ranks = None
     loop = StateLoop(checkpoint_every)
-    for _ in range(max_iter):
-        c = _contrib(w, ranks)
-        new = (v.join(c, "id", "left")
-               .select("id", (F.lit(reset) + F.lit(1.0 - reset) * F.coalesce("s", F.lit(0.0)))
-                       .alias("rank")))
-        if tol is not None:
-            delta = (new.alias("n").join(ranks.alias("o"), "id")
-                     .agg(F.max(F.abs(F.col("n.rank") - F.col("o.rank")))).first()[0])
+    for i in range(max_iter):
+        default = 1.0 if i == 0 else reset
+        if ranks is None:
+            r = w.select("src", "dst", "od", F.lit(default).alias("rank"))
+        else:
+            r = (w.join(ranks.select(F.col("id").alias("src"), "rank"), "src", "left")
+                 .select("src", "dst", "od", F.coalesce("rank", F.lit(default)).alias("rank")))
+        new = (r.groupBy("dst").agg(F.sum(F.col("rank") / F.col("od")).alias("s"))
+               .select(F.col("dst").alias("id"),
+                       (F.lit(reset) + F.lit(1.0 - reset) * F.col("s")).alias("rank")))
+        if tol is not None and ranks is not None:
+            delta = (new.alias("n").join(ranks.alias("o"), "id", "full")
+                     .agg(F.max(F.abs(F.coalesce("n.rank", F.lit(reset))
+                                      - F.coalesce("o.rank", F.lit(default))))).first()[0])
             ranks = loop.advance(new)
             if delta is not None and delta < tol:
                 break
         else:
             ranks = loop.advance(new)
-    ranks = loop.finish(ranks)
+    v = vertex_ids.select("id").distinct()
+    if ranks is None:
+        ranks = v.select("id", F.lit(1.0).alias("rank"))
+    else:
+        ranks = loop.finish(ranks)
+        ranks = (v.join(ranks, "id", "left")
+                 .select("id", F.coalesce("rank", F.lit(reset)).alias("rank")))
     w.unpersist(blocking=False)
     if normalise == "n":
         total = ranks.select(F.sum("rank")).scalar()
@@ -63,7 +77,6 @@ def pagerank(vertex_ids: DataFrame, e: DataFrame, max_iter: int = 10,
         ranks = ranks.select("id", (F.col("rank") * n / total).alias("rank"))
     elif normalise != "none":
         raise ValueError("normalise must be 'n' or 'none'")
-    v.unpersist(blocking=False)
     return ranks.withColumnRenamed("rank", "pagerank")
 
 
@@ -85,7 +98,9 @@ def pagerank_normalised(e: DataFrame, alpha: float = 0.85, max_iter: int = 20,
     ranks = v.select("id", (F.lit(1.0) / n).alias("rank"))
     loop = StateLoop(checkpoint_every)
     for _ in range(max_iter):
-        sink_mass = ranks.join(sinks, "id").select(F.coalesce(F.sum("rank"), F.lit(0.0))).scalar()
+        # One small action per round; the state is cached, and the round's
+        # plan then reads the previous state only once.
+        sink_mass = F.lit(float(ranks.join(sinks, "id").agg(F.sum("rank")).first()[0] or 0.0))
         c = _contrib(w, ranks)
         new = (v.join(c, "id", "left")
                .select("id", (F.lit(alpha) * (F.coalesce("s", F.lit(0.0)) + sink_mass / n)

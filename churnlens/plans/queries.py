@@ -48,3 +48,4 @@ def r4(expr: str) -> str:
 # Register the query modules (import order = registration order).
 from churnlens.plans import q_relational  # noqa: E402,F401
 from churnlens.plans import q_graph  # noqa: E402,F401
+from churnlens.plans import q_model  # noqa: E402,F401

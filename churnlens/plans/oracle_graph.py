@@ -136,3 +136,15 @@ SELECT l.label, avg(a.monthly_charges) AS comm_avg_monthly_charges,
   avg(a.total_charges) AS comm_avg_total_charges, avg(a.tenure) AS comm_avg_tenure,
   count(l.id) AS comm_size
 FROM {labels} l JOIN {attrs} a ON a.customer_id = l.id GROUP BY l.label""")]
+
+
+def bfs(arcs_sql: str, nodes: str = "NV", name: str = "BFS") -> list[tuple[str, str]]:
+    """All-sources BFS hop distances (s, v, d) over arcs (u, w); keyed
+    recursive CTE (needs WITH RECURSIVE)."""
+    return [(f"{name}A", arcs_sql),
+            (f"{name}(s, v, d) USING KEY (s, v)", f"""
+SELECT id, id, 0 FROM {nodes}
+UNION
+SELECT b.s, a.w, min(b.d) + 1 FROM {name} b JOIN {name}A a ON a.u = b.v
+WHERE NOT EXISTS (SELECT 1 FROM recurring.{name} r WHERE r.s = b.s AND r.v = a.w)
+GROUP BY b.s, a.w""")]

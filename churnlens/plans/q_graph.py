@@ -370,3 +370,30 @@ def q_betweenness(spark, sf_dir):
     """Exact normalised betweenness over all sources (rows-only; checked
     against a brute-force count on small graphs in the tests)."""
     return paths.betweenness(fx.edges(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- Louvain
+
+from churnlens.operators import louvain as lv  # noqa: E402
+
+
+@register("louvain")
+def q_louvain(spark, sf_dir):
+    """Louvain communities of the undirected bucket graph (rows-only; the
+    unit tests check modularity against a brute-force count)."""
+    return lv.louvain(fx.bucket_edges(spark, sf_dir))
+
+
+@register("louvain_modularity")
+def q_louvain_modularity(spark, sf_dir):
+    """Modularity of the Louvain partition and of the label-propagation
+    partition of the same graph (rows-only, one row)."""
+    e = fx.bucket_edges(spark, sf_dir)
+    comm = lv.louvain(e).withColumnRenamed("community", "label")
+    nodes = paths.graph_nodes(e)
+    lp = labels.label_propagation(nodes, e, max_iter=LP_ROUNDS_FEATURES)
+    q_lv, q_lp = lv.modularity(e, comm), lv.modularity(e, lp)
+    n_lv = comm.select(F.count_distinct("label")).first()[0]
+    return spark.createDataFrame([(q_lv, n_lv, q_lp)],
+                                 "louvain_modularity double, louvain_communities long, "
+                                 "label_propagation_modularity double")

@@ -157,3 +157,41 @@ def test_community_deviation(spark):
     assert rows["a"]["comm_dev_avg_monthly_charges"] == 1.0
     assert rows["b"]["comm_dev_avg_total_charges"] is None
     assert rows["a"]["comm_avg_total_charges"] == 10.0
+
+
+def _brute_modularity(es, lab):
+    pairs = {tuple(sorted(p)) for p in bf.known(es)}
+    m = len(pairs)
+    deg = {}
+    for a, b in pairs:
+        deg[a] = deg.get(a, 0) + (2 if a == b else 1)
+        if a != b:
+            deg[b] = deg.get(b, 0) + 1
+    inside = sum(1 for a, b in pairs if lab[a] == lab[b])
+    tot = {}
+    for v, k in deg.items():
+        tot[lab[v]] = tot.get(lab[v], 0) + k
+    return inside / m - sum(t * t for t in tot.values()) / (4 * m * m)
+
+
+def test_louvain_two_cliques(spark, edge_frame):
+    from churnlens.operators.louvain import louvain, modularity
+    a = [f"a{i}" for i in range(5)]
+    b = [f"b{i}" for i in range(5)]
+    es = [(x, y) for g in (a, b) for x in g for y in g if x < y] + [("a0", "b0")]
+    e = edge_frame(es)
+    lab = _map(louvain(e), "id", "community")
+    assert {lab[x] for x in a} == {"a0"} and {lab[x] for x in b} == {"b0"}
+    q = modularity(e, spark.createDataFrame(list(lab.items()), "id string, label string"))
+    assert q == pytest.approx(_brute_modularity(es, lab), abs=1e-12)
+
+
+@pytest.mark.parametrize("vs,es", GRAPHS[1:])
+def test_louvain_beats_singletons(spark, edge_frame, vs, es):
+    from churnlens.operators.louvain import louvain, modularity
+    e = edge_frame(es)
+    lab = _map(louvain(e), "id", "community")
+    q = modularity(e, spark.createDataFrame(list(lab.items()), "id string, label string"))
+    singletons = {x: x for x in lab}
+    assert q == pytest.approx(_brute_modularity(es, lab), abs=1e-12)
+    assert q >= _brute_modularity(es, singletons) - 1e-12

@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The workflow this package rebuilds has no streaming sources, sinks,
+watermarks or stateful operators; "real-time" appears only as a label in its
+architecture diagram. There are no semantics to match, so nothing is built
+here (see README, "Re-aimed or not built").
+"""

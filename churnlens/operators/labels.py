@@ -17,7 +17,7 @@ def _vote_edges(e: DataFrame) -> DataFrame:
 
 
 def label_propagation(vertex_ids: DataFrame, e: DataFrame, max_iter: int = 5,
-                      checkpoint_every: int = 4) -> DataFrame:
+                      checkpoint_every: int = 3) -> DataFrame:
     """Synchronous label propagation for ``max_iter`` rounds; (id, label).
 
     Every vertex starts with its own id. Each round every vertex takes the

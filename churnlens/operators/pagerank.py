@@ -15,8 +15,11 @@ from churnlens.operators.iterate import StateLoop, persist
 
 
 def _weighted(known: DataFrame) -> DataFrame:
+    """(src, dst, od) hash-partitioned by ``src`` and cached: every round
+    joins the rank state on ``src``, so only the state moves."""
     od = known.groupBy("src").agg(F.count(F.lit(1)).alias("od"))
-    return known.join(od, "src").select("src", "dst", "od")
+    n = int(known.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return persist(known.join(od, "src").select("src", "dst", "od").repartition(n, "src"))
 
 
 def _contrib(w: DataFrame, ranks: DataFrame) -> DataFrame:
@@ -28,7 +31,7 @@ def _contrib(w: DataFrame, ranks: DataFrame) -> DataFrame:
 
 def pagerank(vertex_ids: DataFrame, e: DataFrame, max_iter: int = 10,
              reset: float = 0.15, tol: float | None = None,
-             normalise: str = "n", checkpoint_every: int = 4) -> DataFrame:
+             normalise: str = "n", checkpoint_every: int = 3) -> DataFrame:
     """GraphX-style PageRank: start 1.0, ``rank = reset + (1-reset)*sum``.
 
     ``vertex_ids``: one column ``id``. Edges with a null end are ignored.
@@ -38,7 +41,7 @@ def pagerank(vertex_ids: DataFrame, e: DataFrame, max_iter: int = 10,
     keeps raw ranks. Returns (id, pagerank).
     """
     known = e.where(F.col("src").isNotNull() & F.col("dst").isNotNull()).select("src", "dst")
-    w = persist(_weighted(known))
+    w = _weighted(known)
     # Sparse state: only vertices with in-edges get a computed rank; every
     # other vertex has rank ``reset`` after the first round (1.0 before), so
     # it is filled in by a left join from the edges instead of being carried.
@@ -81,7 +84,7 @@ def pagerank(vertex_ids: DataFrame, e: DataFrame, max_iter: int = 10,
 
 
 def pagerank_normalised(e: DataFrame, alpha: float = 0.85, max_iter: int = 20,
-                        tol: float | None = None, checkpoint_every: int = 4) -> DataFrame:
+                        tol: float | None = None, checkpoint_every: int = 3) -> DataFrame:
     """NetworkX-style PageRank over the graph of known-end edges.
 
     Vertices are the edge ends; ranks start at 1/n and sum to 1; the rank of
@@ -90,7 +93,7 @@ def pagerank_normalised(e: DataFrame, alpha: float = 0.85, max_iter: int = 20,
     rounds, or stops when the L1 change is below ``n * tol``.
     """
     known = e.where(F.col("src").isNotNull() & F.col("dst").isNotNull()).select("src", "dst")
-    w = persist(_weighted(known))
+    w = _weighted(known)
     v = persist(known.select(F.explode(F.array("src", "dst")).alias("id")).distinct())
     sinks = persist(v.join(w.select(F.col("src").alias("id")).distinct(), "id", "left_anti"))
     n_val = float(v.count())

@@ -344,6 +344,41 @@ _UNDIRECTED_ARCS = "SELECT src AS u, dst AS w FROM K WHERE src <> dst UNION SELE
 _IN_ARCS = "SELECT dst AS u, src AS w FROM K WHERE src <> dst"
 
 
+_DIST_MEMO: dict = {}
+
+
+def _distance_summary(spark, sf_dir):
+    """One-row summary, computed once per session and scale factor (the
+    three path queries below share it)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _DIST_MEMO:
+        df = paths.distance_summary(fx.edges(spark, sf_dir))
+        _DIST_MEMO[key] = (df.schema, df.collect())
+    schema, rows = _DIST_MEMO[key]
+    return spark.createDataFrame(rows, schema)
+
+
+_DIST_CTES = og.known() + [_NV] + og.bfs(_UNDIRECTED_ARCS)
+_DIST_AGG = ("(SELECT count(*) AS n FROM NV) n, (SELECT count(*) AS pairs, coalesce(max(d), 0) AS maxd, "
+             "coalesce(sum(d), 0) AS sumd FROM BFS WHERE d > 0) p")
+
+
+@register("diameter", _gsql(
+    f"SELECT CASE WHEN p.pairs = n.n * (n.n - 1) THEN CAST(p.maxd AS INT) END AS diameter FROM {_DIST_AGG}",
+    _DIST_CTES))
+def q_diameter(spark, sf_dir):
+    """Diameter of the undirected graph; null when it is not connected."""
+    return _distance_summary(spark, sf_dir).select("diameter")
+
+
+@register("avg_path_length", _gsql(
+    f"SELECT CASE WHEN p.pairs = n.n * (n.n - 1) THEN {r4('p.sumd / CAST(n.n * (n.n - 1) AS DOUBLE)')} END "
+    f"AS avg_shortest_path FROM {_DIST_AGG}", _DIST_CTES))
+def q_avg_path_length(spark, sf_dir):
+    """Average shortest path length of the undirected graph, if connected."""
+    return rounded(_distance_summary(spark, sf_dir).select("avg_shortest_path"))
+
+
 @register("distance_summary", _gsql(f"""
 SELECT n.n AS n_nodes, p.pairs AS n_pairs, CAST(p.maxd AS INT) AS max_distance, CAST(p.sumd AS BIGINT) AS sum_distance,
   p.pairs = n.n * (n.n - 1) AS is_connected,
@@ -355,7 +390,7 @@ FROM (SELECT count(*) AS n FROM NV) n,
 def q_distance_summary(spark, sf_dir):
     """Diameter and average shortest path of the undirected graph (exact,
     all sources), with the reachability counts behind them."""
-    return rounded(paths.distance_summary(fx.edges(spark, sf_dir)))
+    return rounded(_distance_summary(spark, sf_dir))
 
 
 @register("closeness", _gsql(f"""
@@ -372,6 +407,14 @@ def q_betweenness(spark, sf_dir):
     return paths.betweenness(fx.edges(spark, sf_dir))
 
 
+@register("top_betweenness")
+def q_top_betweenness(spark, sf_dir):
+    """The five bridge customers by betweenness, ties by id (rows-only)."""
+    from churnlens.operators.centrality import top_k
+    b = paths.betweenness(fx.edges(spark, sf_dir)).withColumnRenamed("betweenness", "value")
+    return top_k(b, "betweenness", "value", 5)
+
+
 # ---------------------------------------------------------------- Louvain
 
 from churnlens.operators import louvain as lv  # noqa: E402

@@ -36,10 +36,10 @@ def create_table(spark: SparkSession, name: str, df: DataFrame, primary_keys: li
     if path:
         w = w.option("path", path)
     w.saveAsTable(name)
-    desc = description.replace("'", "''")
+    desc = description.replace("\\", "\\\\").replace("'", "\\'")
     keys = ",".join(primary_keys)
-    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ("
-              f"'primary_keys' = '{keys}', 'comment' = '{desc}')")
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('primary_keys' = '{keys}')")
+    spark.sql(f"COMMENT ON TABLE {name} IS '{desc}'")
     return spark.table(name).count()
 
 
@@ -58,4 +58,5 @@ def get_table(spark: SparkSession, name: str) -> dict:
     props = {r["key"]: r["value"] for r in
              spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
     keys = [k for k in props.get("primary_keys", "").split(",") if k]
-    return {"name": name, "primary_keys": keys, "description": props.get("comment", "")}
+    desc = spark.catalog.getTable(name).description or ""
+    return {"name": name, "primary_keys": keys, "description": desc}

@@ -93,3 +93,23 @@ def test_csv_roundtrip_keeps_blank_and_null(spark, tmp_path):
     ingest.write_csv(df, str(tmp_path / "c"))
     back = ingest.read_csv(spark, str(tmp_path / "c"), df.schema)
     assert sorted(back.collect()) == sorted(df.collect())
+
+
+def test_feature_table_lifecycle(spark, tmp_path):
+    from churnlens.sources import feature_table as ft
+    ingest.ensure_schema(spark, "churnlens_test")
+    assert ingest.use_schema(spark, "churnlens_test") == "churnlens_test"
+    spark.catalog.setCurrentDatabase("default")
+    name = "churnlens_test.features"
+    ft.drop_table(spark, name)
+    df = spark.createDataFrame([("1", 1.0), ("2", 2.0)], "customer_id string, x double")
+    assert ft.create_table(spark, name, df, ["customer_id"], "Graph features", str(tmp_path / "t")) == 2
+    meta = ft.get_table(spark, name)
+    assert meta["primary_keys"] == ["customer_id"] and meta["description"] == "Graph features"
+    assert ft.write_table(spark, name, df.limit(1)) == 1
+    dup = spark.createDataFrame([("1", 1.0), ("1", 2.0)], "customer_id string, x double")
+    with pytest.raises(ValueError):
+        ft.create_table(spark, name, dup, ["customer_id"], "bad")
+    assert ft.key_violations(dup, ["customer_id"]).count() == 1
+    ft.drop_table(spark, name)
+    assert not spark.catalog.tableExists(name)

@@ -344,18 +344,10 @@ _UNDIRECTED_ARCS = "SELECT src AS u, dst AS w FROM K WHERE src <> dst UNION SELE
 _IN_ARCS = "SELECT dst AS u, src AS w FROM K WHERE src <> dst"
 
 
-_DIST_MEMO: dict = {}
-
-
 def _distance_summary(spark, sf_dir):
-    """One-row summary, computed once per session and scale factor (the
-    three path queries below share it)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _DIST_MEMO:
-        df = paths.distance_summary(fx.edges(spark, sf_dir))
-        _DIST_MEMO[key] = (df.schema, df.collect())
-    schema, rows = _DIST_MEMO[key]
-    return spark.createDataFrame(rows, schema)
+    """One-row all-pairs summary of the undirected known-end graph; each
+    path query below computes it from the tables itself."""
+    return paths.distance_summary(fx.edges(spark, sf_dir))
 
 
 _DIST_CTES = og.known() + [_NV] + og.bfs(_UNDIRECTED_ARCS)

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnlens.operators.quantile import exact_percentile
+
 # The colour schemes of the graph view (four steps each) and
 # the fallback scheme for unknown names.
 COLOR_SCHEMES = {
@@ -31,15 +33,14 @@ def node_display(size: DataFrame, color: DataFrame, scheme: str = "viridis",
     ``1 - label_threshold`` percentile.
 
     ``size``: (id, size_metric); ``color``: (id, color_metric), missing -> 0.
-    The global min, max and percentile are scalar subqueries. ``percentile``
-    is exact (linear interpolation, as numpy); its state holds one counter per
-    distinct size value, which for degree-based sizes is bounded by the
-    largest degree.
+    The global min and max are scalar subqueries. The percentile is exact
+    (linear interpolation, as numpy) and computed by ``exact_percentile``,
+    which never gathers the column's distinct values in one task.
     """
     palette = COLOR_SCHEMES.get(scheme, COLOR_SCHEMES[DEFAULT_SCHEME])
     smin = size.select(F.min("size_metric")).scalar()
     smax = size.select(F.max("size_metric")).scalar()
-    thr = size.select(F.percentile("size_metric", 1.0 - label_threshold)).scalar()
+    thr = F.lit(exact_percentile(size, "size_metric", 1.0 - label_threshold)).cast("double")
     cmin = color.select(F.min("color_metric")).scalar()
     cmax = color.select(F.max("color_metric")).scalar()
     j = size.join(color, "id", "left").na.fill(0.0, ["color_metric"])

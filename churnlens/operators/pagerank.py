@@ -94,20 +94,25 @@ def pagerank_normalised(e: DataFrame, alpha: float = 0.85, max_iter: int = 20,
     """
     known = e.where(F.col("src").isNotNull() & F.col("dst").isNotNull()).select("src", "dst")
     w = _weighted(known)
-    v = persist(known.select(F.explode(F.array("src", "dst")).alias("id")).distinct())
-    sinks = persist(v.join(w.select(F.col("src").alias("id")).distinct(), "id", "left_anti"))
+    has_out = w.select(F.col("src").alias("id"), F.lit(False).alias("sink")).distinct()
+    # One row per vertex with a sink flag (no out-edges), so a round's sink
+    # mass is a filter + sum over the cached state, without another join.
+    v = persist(known.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+                .join(has_out, "id", "left")
+                .select("id", F.coalesce("sink", F.lit(True)).alias("sink")))
     n_val = float(v.count())
     n = F.lit(n_val)
-    ranks = v.select("id", (F.lit(1.0) / n).alias("rank"))
+    ranks = v.select("id", "sink", (F.lit(1.0) / n).alias("rank"))
     loop = StateLoop(checkpoint_every)
     for _ in range(max_iter):
         # One small action per round; the state is cached, and the round's
         # plan then reads the previous state only once.
-        sink_mass = F.lit(float(ranks.join(sinks, "id").agg(F.sum("rank")).first()[0] or 0.0))
+        sink_mass = F.lit(float(ranks.where(F.col("sink")).agg(F.sum("rank")).first()[0] or 0.0))
         c = _contrib(w, ranks)
-        new = (v.join(c, "id", "left")
-               .select("id", (F.lit(alpha) * (F.coalesce("s", F.lit(0.0)) + sink_mass / n)
-                              + F.lit(1.0 - alpha) / n).alias("rank")))
+        new = (ranks.select("id", "sink").join(c, "id", "left")
+               .select("id", "sink",
+                       (F.lit(alpha) * (F.coalesce("s", F.lit(0.0)) + sink_mass / n)
+                        + F.lit(1.0 - alpha) / n).alias("rank")))
         if tol is not None:
             err = (new.alias("a").join(ranks.alias("b"), "id")
                    .agg(F.sum(F.abs(F.col("a.rank") - F.col("b.rank")))).first()[0])
@@ -117,6 +122,6 @@ def pagerank_normalised(e: DataFrame, alpha: float = 0.85, max_iter: int = 20,
         else:
             ranks = loop.advance(new)
     ranks = loop.finish(ranks)
-    for df in (w, v, sinks):
+    for df in (w, v):
         df.unpersist(blocking=False)
-    return ranks.withColumnRenamed("rank", "pagerank")
+    return ranks.select("id", F.col("rank").alias("pagerank"))

@@ -16,7 +16,10 @@ from churnlens.operators.iterate import StateLoop, persist
 
 def _weighted(known: DataFrame) -> DataFrame:
     """(src, dst, od) hash-partitioned by ``src`` and cached: every round
-    joins the rank state on ``src``, so only the state moves."""
+    joins the rank state on ``src``, so only the state moves. (When the
+    out-degree join is a sort-merge join its output already has this
+    partitioning and Spark drops the repartition as redundant; on small
+    inputs AQE broadcasts instead, and then the state is broadcast too.)"""
     od = known.groupBy("src").agg(F.count(F.lit(1)).alias("od"))
     n = int(known.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return persist(known.join(od, "src").select("src", "dst", "od").repartition(n, "src"))

@@ -41,3 +41,8 @@ def without(docs: DataFrame, removed: DataFrame, key: str) -> DataFrame:
     ``removed``; the table is written first, so its size decides the join."""
     gone = written(removed.select(F.col(removed.columns[0]).alias(key)).distinct(), "removed")
     return docs.join(gone, key, "left_anti").select(docs.columns)
+
+
+def word_count(text: Column) -> Column:
+    """Words: runs without ASCII white space."""
+    return F.regexp_count(text, F.lit(r"[^ \t-\r]+")).cast("long")

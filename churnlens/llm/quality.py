@@ -84,8 +84,8 @@ def weights(z, n, alpha: float, beta: float, l1: float, l2: float) -> np.ndarray
     return np.where(np.abs(z) <= l1, 0.0, w)
 
 
-def train(labelled: DataFrame, max_rows: int = 24_000, shards: int = 4, rounds: int = 3, bits: int = 18,
-          alpha: float = 1.0, beta: float = 1.0, l1: float = 0.05, l2: float = 0.0) -> np.ndarray:
+def train(labelled: DataFrame, max_rows: int = 12_000, shards: int = 4, rounds: int = 20, bits: int = 18,
+          alpha: float = 5.0, beta: float = 1.0, l1: float = 0.05, l2: float = 0.0) -> np.ndarray:
     """Weights (the last is the intercept) from the columns id, text and label.
 
     At most ``max_rows`` rows are used: those with the smallest hash of the
@@ -168,6 +168,19 @@ def is_held_out(doc_id: int) -> bool:
     return zlib.crc32(str(doc_id).encode()) % 5 == 0
 
 
+def fitted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+           label_col: str = "quality", **training) -> np.ndarray:
+    """Weights trained on the labelled rows that are not held out."""
+    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).where(
+        "id is not null and label is not null").where(~held_out(F.col("id")))
+    n = known.count()
+    bound = training.get("max_rows", 12_000)
+    if n > bound:  # cut the labels before their texts are fetched
+        known = known.orderBy(F.xxhash64(F.col("id").cast("string"), F.lit("sample"))).limit(bound)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return train(texts.join(written(known, "labels"), "id"), **training)
+
+
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              label_col: str = "quality", threshold: float = 0.3, **training) -> DataFrame:
     """id, held_out, score and predicted of every row of ``docs``.
@@ -177,14 +190,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     repeat: each input row gives one output row. Empty tables give empty
     results, an empty label table the score 0.5.
     """
-    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).where(
-        "id is not null and label is not null").where(~held_out(F.col("id")))
-    n = known.count()
-    bound = training.get("max_rows", 24_000)
-    if n > bound:  # cut the labels before their texts are fetched
-        known = known.orderBy(F.xxhash64(F.col("id").cast("string"), F.lit("sample"))).limit(bound)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    w = train(texts.join(written(known, "labels"), "id"), **training)
+    w = fitted(docs, labels, id_col, text_col, label_col, **training)
     out = score(docs.select(F.col(id_col), F.col(text_col)), w, id_col, text_col)
     return out.select(id_col, held_out(F.col(id_col)).alias("held_out"), "score",
                       (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnlens.operators.skew import PART, copies, deal, heavy_keys
+
 COMMUNITY_ATTRS = ["monthly_charges", "total_charges", "tenure"]
 
 
@@ -29,13 +31,13 @@ def community_deviation(labels: DataFrame, vertices: DataFrame,
     attribute ``comm_dev_avg_<a>`` = community average minus own value.
 
     The per-label statistics are one row per community, joined back on the
-    label; the big side (members) is hot on a giant community's label, which
-    AQE's skew split or a size-checked broadcast of the statistics handles.
+    label; members of a giant community are dealt over parts of its label.
     """
     attrs = attrs or COMMUNITY_ATTRS
     stats = community_stats(labels, vertices, attrs)
     members = labels.join(vertices.select("id", *attrs), "id")
-    j = members.join(stats, "label", "left")
+    heavy = heavy_keys(stats, "label", "comm_size")
+    j = deal(members, heavy, "label", "id").join(copies(stats, heavy, "label"), ["label", PART], "left")
     return j.select("id", "label",
                     *[f"comm_avg_{a}" for a in attrs], "comm_size",
                     *[(F.col(f"comm_avg_{a}") - F.col(a)).alias(f"comm_dev_avg_{a}")

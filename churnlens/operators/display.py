@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnlens.operators.iterate import StateLoop
 from churnlens.operators.quantile import exact_percentile
 
 # The colour schemes of the graph view (four steps each) and
@@ -33,17 +34,16 @@ def node_display(size: DataFrame, color: DataFrame, scheme: str = "viridis",
     ``1 - label_threshold`` percentile.
 
     ``size``: (id, size_metric); ``color``: (id, color_metric), missing -> 0.
-    The global min and max are scalar subqueries. The percentile is exact
-    (linear interpolation, as numpy) and computed by ``exact_percentile``,
-    which never gathers the column's distinct values in one task.
+    The joined metrics are stored once; their extremes come from one aggregate
+    and the percentile is exact (linear interpolation, as numpy), computed by
+    ``exact_percentile``, which orders a bounded number of values in one task.
     """
     palette = COLOR_SCHEMES.get(scheme, COLOR_SCHEMES[DEFAULT_SCHEME])
-    smin = size.select(F.min("size_metric")).scalar()
-    smax = size.select(F.max("size_metric")).scalar()
-    thr = F.lit(exact_percentile(size, "size_metric", 1.0 - label_threshold)).cast("double")
-    cmin = color.select(F.min("color_metric")).scalar()
-    cmax = color.select(F.max("color_metric")).scalar()
-    j = size.join(color, "id", "left").na.fill(0.0, ["color_metric"])
+    j = StateLoop().finish(size.join(color, "id", "full"))
+    ends = j.agg(*[f(c).cast("double") for c in ("size_metric", "color_metric") for f in (F.min, F.max)]).first()
+    smin, smax, cmin, cmax = (F.lit(x).cast("double") for x in ends)
+    j = j.where(F.col("size_metric").isNotNull()).na.fill(0.0, ["color_metric"])
+    thr = F.lit(exact_percentile(j, "size_metric", 1.0 - label_threshold)).cast("double")
     cval = (F.col("color_metric") - cmin) / _range(cmin, cmax)
     idx = F.floor(cval * F.lit(len(palette) - 1)).cast("int")
     return j.select(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.operators.iterate import StateLoop, persist
+from churnlens.operators.skew import PART, copies, deal, heavy_keys
 
 
 def _vote_edges(e: DataFrame) -> DataFrame:
@@ -30,17 +31,19 @@ def label_propagation(vertex_ids: DataFrame, e: DataFrame, max_iter: int = 5,
 
     The loop state holds only vertices with neighbours (they receive votes
     every round); all other vertices keep their id and are added once at the
-    end. The vote edges are hash-partitioned by sender once and cached, so a
-    round moves only the label state and the counted votes.
+    end. The vote edges are hash-partitioned by sender (a heavy one by parts)
+    once and cached, so a round moves only the label state and the counted
+    votes.
     """
     votes_edges = _vote_edges(e)
     n_parts = e.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    votes_edges = persist(votes_edges.repartition(int(n_parts), "frm"))
+    heavy = heavy_keys(votes_edges.groupBy("frm").agg(F.count(F.lit(1)).alias("n")), "frm")
+    votes_edges = persist(deal(votes_edges, heavy, "frm", "to").repartition(int(n_parts), "frm", PART))
     labels = votes_edges.select(F.col("to").alias("id")).distinct().select(
         "id", F.col("id").alias("label"))
     loop = StateLoop(checkpoint_every)
     for _ in range(max_iter):
-        msgs = (votes_edges.join(labels.select(F.col("id").alias("frm"), "label"), "frm")
+        msgs = (votes_edges.join(copies(labels.select(F.col("id").alias("frm"), "label"), heavy, "frm"), ["frm", PART])
                 .groupBy("to", "label").agg(F.count(F.lit(1)).alias("n")))
         new = (msgs.groupBy("to")
                .agg(F.min_by("label", F.struct((-F.col("n")).alias("k"), F.col("label").alias("l")))
@@ -65,16 +68,18 @@ def _large_star(p: DataFrame) -> DataFrame:
     neighbourhood."""
     d = (p.select(F.col("big").alias("u"), F.col("small").alias("v"))
          .unionByName(p.select(F.col("small").alias("u"), F.col("big").alias("v"))))
-    m = d.groupBy("u").agg(F.min("v").alias("mv"))
-    out = (d.join(m, "u").where(F.col("v") > F.col("u"))
+    m = persist(d.groupBy("u").agg(F.min("v").alias("mv"), F.count(F.lit(1)).alias("n")))
+    heavy = heavy_keys(m, "u")
+    out = (deal(d, heavy, "u", "v").join(copies(m, heavy, "u"), ["u", PART]).where(F.col("v") > F.col("u"))
            .select(F.col("v").alias("big"), F.least("mv", "u").alias("small")))
-    return out.where(F.col("big") != F.col("small")).distinct()
+    return out.where(F.col("big") != F.col("small")).distinct(), m
 
 
 def _small_star(p: DataFrame) -> DataFrame:
     """Link u and its smaller neighbours to the minimum of them."""
-    m = p.groupBy("big").agg(F.min("small").alias("m"))
-    j = p.join(m, "big")
+    m = p.groupBy("big").agg(F.min("small").alias("m"), F.count(F.lit(1)).alias("n"))
+    heavy = heavy_keys(m, "big")
+    j = deal(p, heavy, "big", "small").join(copies(m, heavy, "big"), ["big", PART])
     out = (j.select(F.col("small").alias("big"), F.col("m").alias("small"))
            .unionByName(m.select("big", F.col("m").alias("small"))))
     return out.where(F.col("big") != F.col("small")).distinct()
@@ -88,8 +93,7 @@ def _converged(p: DataFrame) -> bool:
     return multi.limit(1).count() == 0 and chained.limit(1).count() == 0
 
 
-def connected_components(vertex_ids: DataFrame, e: DataFrame, max_rounds: int = 100,
-                         checkpoint_every: int = 1) -> DataFrame:
+def connected_components(vertex_ids: DataFrame, e: DataFrame, checkpoint_every: int = 1) -> DataFrame:
     """Weakly connected components; (id, component), component = smallest id.
 
     Alternating large-star / small-star rounds (Kiveris et al., 2014) over
@@ -100,15 +104,18 @@ def connected_components(vertex_ids: DataFrame, e: DataFrame, max_rounds: int =
     own component. A round reads the pair set several times, so lineage is
     cut after every round by default.
     """
-    p = persist(_undirected_pairs(e))
+    first = p = persist(_undirected_pairs(e))
     loop = StateLoop(checkpoint_every)
-    for _ in range(max_rounds):
-        p = loop.advance(_small_star(_large_star(p)))
+    while True:
+        large, m = _large_star(p)
+        large = persist(large)
+        p = loop.advance(_small_star(large))
+        for df in (large, m):
+            df.unpersist(blocking=False)
         if _converged(p):
             break
-    else:
-        raise RuntimeError("connected components did not converge")
     p = loop.finish(p)
+    first.unpersist(blocking=False)
     return (vertex_ids.select("id").distinct()
             .join(p.select(F.col("big").alias("id"), F.col("small").alias("component")), "id", "left")
             .select("id", F.coalesce("component", "id").alias("component")))

@@ -9,21 +9,21 @@ NEIGHBOUR_ATTRS = ["monthly_charges", "total_charges", "tenure"]
 
 
 def neighbour_pairs(e: DataFrame, direction: str = "both") -> DataFrame:
-    """(id, nbgh) rows, bag semantics.
+    """(id, nghb) rows, bag semantics.
 
     ``both``: every edge seen from each end (forward and reversed edges,
     unioned by name). ``out``: out-neighbours only, which is what the
     reference's union of the renamed edge table with itself computes (each
     row twice; averages are unchanged by the duplication).
     """
-    fwd = e.select(F.col("src").alias("id"), F.col("dst").alias("nbgh"))
+    fwd = e.select(F.col("src").alias("id"), F.col("dst").alias("nghb"))
     if direction == "out":
         return fwd
     if direction == "in":
-        return e.select(F.col("dst").alias("id"), F.col("src").alias("nbgh"))
+        return e.select(F.col("dst").alias("id"), F.col("src").alias("nghb"))
     if direction != "both":
         raise ValueError(f"direction must be both, out or in, not {direction!r}")
-    rev = e.select(F.col("dst").alias("id"), F.col("src").alias("nbgh"))
+    rev = e.select(F.col("dst").alias("id"), F.col("src").alias("nghb"))
     return fwd.unionByName(rev)
 
 
@@ -38,8 +38,8 @@ def neighbour_averages(vertices: DataFrame, e: DataFrame, direction: str = "both
     map-side.
     """
     attrs = attrs or NEIGHBOUR_ATTRS
-    look = vertices.select(F.col("id").alias("nbgh"), *attrs)
+    look = vertices.select(F.col("id").alias("nghb"), *attrs)
     pairs = neighbour_pairs(e, direction).where(F.col("id").isNotNull())
-    return (pairs.join(look, "nbgh", "left")
+    return (pairs.join(look, "nghb", "left")
             .groupBy("id")
             .agg(*[F.avg(a).alias(f"nghb_avg_{a}") for a in attrs]))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnlens.functions.names import snake_name
+
 # The categorical columns that are one-hot encoded (notebook 02).
 CATEGORICAL_COLUMNS = [
     "gender", "partner", "dependents", "senior_citizen",
@@ -16,25 +16,6 @@ CATEGORICAL_COLUMNS = [
     "contract", "paperless_billing", "payment_method",
 ]
 
-# A categorical column with more distinct values than this is almost surely
-# not categorical; encoding it would create that many columns. We refuse
-# rather than silently dropping values.
-MAX_VALUES_PER_COLUMN = 10_000
-
-
-def sanitise_value(value) -> str:
-    """Category value -> column-name suffix."""
-    s = re.sub(r"[^a-zA-Z0-9_]", "_", str(value)).lower()
-    return re.sub(r"_+", "_", s).strip("_")
-
-
-def final_name(name: str) -> str:
-    """Feature-table column-name cleanup (parentheses, spaces, dashes)."""
-    s = re.sub(r"[()]", " ", name).lower()
-    s = re.sub(r"[ -]", "_", s)
-    return re.sub(r"_+", "_", s).strip("_")
-
-
 def category_vocabulary(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Distinct non-null (column_name, value) pairs, values as strings.
 
@@ -49,16 +30,24 @@ def category_vocabulary(df: DataFrame, columns: list[str] | None = None) -> Data
     return pairs.where(F.col("value").isNotNull()).distinct()
 
 
-def collect_vocabulary(df: DataFrame, columns: list[str] | None = None) -> dict[str, list[str]]:
-    """Vocabulary on the driver, sorted by (column, value) (decision D8)."""
+def collect_vocabulary(df: DataFrame, columns: list[str] | None = None,
+                       max_values: int = 1000) -> dict[str, list[str]]:
+    """Vocabulary on the driver, sorted by (column, value) (decision D8).
+
+    Each value becomes a column, so ``max_values`` per column is the caller's
+    bound. It is checked by a count on the cluster; nothing is collected for a
+    column beyond it, which is an error that names the column.
+    """
     cols = [c for c in (columns or CATEGORICAL_COLUMNS) if c in df.columns]
+    pairs = category_vocabulary(df, cols)
+    beyond = [r["column_name"] for r in pairs.groupBy("column_name").count()
+              .where(F.col("count") > max_values).collect()]  # a row per column at most
+    if beyond:
+        raise ValueError(f"columns {sorted(beyond)} have over {max_values} distinct values; not categorical")
     vocab: dict[str, list[str]] = {c: [] for c in cols}
-    for row in category_vocabulary(df, cols).collect():
+    for row in pairs.collect():
         vocab[row["column_name"]].append(row["value"])
-    for c, values in vocab.items():
-        if len(values) > MAX_VALUES_PER_COLUMN:
-            raise ValueError(f"column {c!r} has {len(values)} distinct values; "
-                             "not a categorical column")
+    for values in vocab.values():
         values.sort()
     return vocab
 
@@ -87,11 +76,11 @@ def customer_features(df: DataFrame, vocab: dict[str, list[str]] | None = None)
         src_type = dict(df.dtypes)[c]
         for v in vocab[c]:
             lit = F.lit(v).cast(src_type) if src_type != "string" else F.lit(v)
-            out.append((f"{c}_{sanitise_value(v)}",
+            out.append((f"{c}_{snake_name(v)}",
                         F.when(F.col(c) == lit, 1).otherwise(0)))
     final = []
     for name, expr in out:
-        clean = final_name(name)
+        clean = snake_name(name)
         if clean in names:
             raise ValueError(f"feature name collision: {name!r} and {names[clean]!r} -> {clean!r}")
         names[clean] = name

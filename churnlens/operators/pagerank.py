@@ -12,22 +12,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.operators.iterate import StateLoop, persist
+from churnlens.operators.skew import PART, copies, deal, heavy_keys
 
 
-def _weighted(known: DataFrame) -> DataFrame:
-    """(src, dst, od) hash-partitioned by ``src`` and cached: every round
-    joins the rank state on ``src``, so only the state moves. (When the
-    out-degree join is a sort-merge join its output already has this
-    partitioning and Spark drops the repartition as redundant; on small
-    inputs AQE broadcasts instead, and then the state is broadcast too.)"""
+def _weighted(known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(src, dst, od, part_) hash-partitioned by source and part, cached, and
+    the heavy sources. Every round joins the rank state on (src, part_), so
+    only the state moves, and the edges of a hub lie in many partitions."""
     od = known.groupBy("src").agg(F.count(F.lit(1)).alias("od"))
+    heavy = heavy_keys(od, "src", "od")
     n = int(known.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return persist(known.join(od, "src").select("src", "dst", "od").repartition(n, "src"))
+    w = (deal(known, heavy, "src", "dst").join(copies(od, heavy, "src"), ["src", PART])
+         .select("src", "dst", "od", PART).repartition(n, "src", PART))
+    return persist(w), heavy
 
 
-def _contrib(w: DataFrame, ranks: DataFrame) -> DataFrame:
-    r = ranks.select(F.col("id").alias("src"), F.col("rank"))
-    return (w.join(r, "src")
+def _contrib(w: DataFrame, heavy: DataFrame, ranks: DataFrame) -> DataFrame:
+    r = copies(ranks.select(F.col("id").alias("src"), F.col("rank")), heavy, "src")
+    return (w.join(r, ["src", PART])
             .groupBy("dst").agg(F.sum(F.col("rank") / F.col("od")).alias("s"))
             .withColumnRenamed("dst", "id"))
 
@@ -44,7 +46,7 @@ def pagerank(vertex_ids: DataFrame, e: DataFrame, max_iter: int = 10,
     keeps raw ranks. Returns (id, pagerank).
     """
     known = e.where(F.col("src").isNotNull() & F.col("dst").isNotNull()).select("src", "dst")
-    w = _weighted(known)
+    w, heavy = _weighted(known)
     # Sparse state: only vertices with in-edges get a computed rank; every
     # other vertex has rank ``reset`` after the first round (1.0 before), so
     # it is filled in by a left join from the edges instead of being carried.
@@ -55,20 +57,19 @@ def pagerank(vertex_ids: DataFrame, e: DataFrame, max_iter: int = 10,
         if ranks is None:
             r = w.select("src", "dst", "od", F.lit(default).alias("rank"))
         else:
-            r = (w.join(ranks.select(F.col("id").alias("src"), "rank"), "src", "left")
+            r = (w.join(copies(ranks.select(F.col("id").alias("src"), "rank"), heavy, "src"), ["src", PART], "left")
                  .select("src", "dst", "od", F.coalesce("rank", F.lit(default)).alias("rank")))
         new = (r.groupBy("dst").agg(F.sum(F.col("rank") / F.col("od")).alias("s"))
                .select(F.col("dst").alias("id"),
                        (F.lit(reset) + F.lit(1.0 - reset) * F.col("s")).alias("rank")))
-        if tol is not None and ranks is not None:
-            delta = (new.alias("n").join(ranks.alias("o"), "id", "full")
+        old, ranks = ranks, loop.advance(new)
+        if tol is not None and old is not None:
+            # measured on the stored states, so a round is computed once
+            delta = (ranks.alias("n").join(old.alias("o"), "id", "full")
                      .agg(F.max(F.abs(F.coalesce("n.rank", F.lit(reset))
                                       - F.coalesce("o.rank", F.lit(default))))).first()[0])
-            ranks = loop.advance(new)
             if delta is not None and delta < tol:
                 break
-        else:
-            ranks = loop.advance(new)
     v = vertex_ids.select("id").distinct()
     if ranks is None:
         ranks = v.select("id", F.lit(1.0).alias("rank"))
@@ -96,7 +97,7 @@ def pagerank_normalised(e: DataFrame, alpha: float = 0.85, max_iter: int = 20,
     rounds, or stops when the L1 change is below ``n * tol``.
     """
     known = e.where(F.col("src").isNotNull() & F.col("dst").isNotNull()).select("src", "dst")
-    w = _weighted(known)
+    w, heavy = _weighted(known)
     has_out = w.select(F.col("src").alias("id"), F.lit(False).alias("sink")).distinct()
     # One row per vertex with a sink flag (no out-edges), so a round's sink
     # mass is a filter + sum over the cached state, without another join.
@@ -111,19 +112,17 @@ def pagerank_normalised(e: DataFrame, alpha: float = 0.85, max_iter: int = 20,
         # One small action per round; the state is cached, and the round's
         # plan then reads the previous state only once.
         sink_mass = F.lit(float(ranks.where(F.col("sink")).agg(F.sum("rank")).first()[0] or 0.0))
-        c = _contrib(w, ranks)
+        c = _contrib(w, heavy, ranks)
         new = (ranks.select("id", "sink").join(c, "id", "left")
                .select("id", "sink",
                        (F.lit(alpha) * (F.coalesce("s", F.lit(0.0)) + sink_mass / n)
                         + F.lit(1.0 - alpha) / n).alias("rank")))
+        old, ranks = ranks, loop.advance(new)
         if tol is not None:
-            err = (new.alias("a").join(ranks.alias("b"), "id")
+            err = (ranks.alias("a").join(old.alias("b"), "id")
                    .agg(F.sum(F.abs(F.col("a.rank") - F.col("b.rank")))).first()[0])
-            ranks = loop.advance(new)
             if err is not None and err < tol * n_val:
                 break
-        else:
-            ranks = loop.advance(new)
     ranks = loop.finish(ranks)
     for df in (w, v):
         df.unpersist(blocking=False)

@@ -2,14 +2,14 @@
 
 Spark's exact ``percentile`` keeps one counter per distinct value and merges
 them all in a single task, which does not hold for a continuous metric over
-billions of rows. Here the answer is found in three distributed passes:
+billions of rows. Here the answer is found in distributed passes:
 
-1. ``percentile_approx`` (a mergeable sketch) gives a value bracket [a, b]
-   around the wanted rank, together with the row count;
-2. one aggregate counts the rows below ``a`` and up to ``b``, which proves
-   the bracket holds the wanted ranks (otherwise it is widened and retried);
-3. only the distinct values inside the bracket (about ``10 n / accuracy``
-   of them) are ordered, to read the values at the two ranks.
+1. ``percentile_approx`` (a mergeable sketch) of the values inside the current
+   bracket gives a narrower bracket [a, b] around the wanted ranks;
+2. one aggregate counts the rows below ``a`` and up to ``b``, which proves that
+   the bracket holds the ranks (otherwise it is widened and retried);
+3. this repeats until at most ``FEW`` distinct values are left inside, whatever
+   the input's size; only those are ordered, to read the values at the ranks.
 
 The result equals linear-interpolation percentile (numpy's default, Spark's
 ``percentile``, DuckDB's ``quantile_cont``): with ``pos = q (n - 1)`` it is
@@ -25,44 +25,39 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 100_000
+#: Distinct values that one task may order.
+FEW = 10_000
 
 
-def exact_percentile(df: DataFrame, col: str, q: float,
-                     accuracy: int = ACCURACY) -> float | None:
+def exact_percentile(df: DataFrame, col: str, q: float, accuracy: int = ACCURACY,
+                     few: int = FEW) -> float | None:
     """Linear-interpolation ``q``-percentile of ``col`` (nulls ignored);
     None when the column has no values."""
     if not 0.0 <= q <= 1.0:
         raise ValueError("q must be in [0, 1]")
     x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
+    n = x.count()
+    if n == 0:
+        return None
+    pos = q * (n - 1)
+    klo, khi = math.floor(pos), math.ceil(pos)
+    inside, below, size = x, 0, n
     eps = 4.0 / accuracy
-    while True:
-        qa, qb = max(0.0, q - eps), min(1.0, q + eps)
-        head = x.agg(F.count(F.lit(1)).alias("n"),
-                     F.percentile_approx("x", [qa, qb], accuracy).alias("br")).first()
-        n = head["n"]
-        if n == 0:
-            return None
-        pos = q * (n - 1)
-        klo, khi = math.floor(pos), math.ceil(pos)
-        a, b = head["br"]
-        if qa == 0.0:
-            a = None
-        if qb == 1.0:
-            b = None
-        lo_ok = F.lit(True) if a is None else F.col("x") >= F.lit(a)
-        hi_ok = F.lit(True) if b is None else F.col("x") <= F.lit(b)
-        chk = x.agg(F.count_if(~lo_ok).alias("below"), F.count_if(hi_ok).alias("upto")).first()
-        below, upto = chk["below"], chk["upto"]
-        if below <= klo and upto > khi:
-            break
-        if qa == 0.0 and qb == 1.0:  # whole range: cannot fail
-            break
-        eps *= 4.0
-    # Distinct values inside the bracket with their multiplicities; their
-    # cumulative counts (offset by ``below``) give every value's rank span.
-    inside = x.where(lo_ok & hi_ok).groupBy("x").agg(F.count(F.lit(1)).alias("c"))
+    while inside.select("x").distinct().count() > few:
+        ra, rb = (klo - below) / size - eps, (khi + 1 - below) / size + eps
+        a, b = inside.agg(F.percentile_approx("x", [max(0.0, ra), min(1.0, rb)], accuracy)).first()[0]
+        part = inside.where((F.col("x") >= F.lit(a)) & (F.col("x") <= F.lit(b)))
+        before, count = inside.agg(F.count_if(F.col("x") < F.lit(a)), F.count_if(
+            (F.col("x") >= F.lit(a)) & (F.col("x") <= F.lit(b)))).first()
+        if below + before <= klo and below + before + count > khi:
+            if count == size:
+                break  # no narrower bracket: the sketch's step is the whole range
+            inside, below, size = part, below + before, count
+        else:
+            eps *= 4.0
+    counts = inside.groupBy("x").agg(F.count(F.lit(1)).alias("c"))
     cum = F.sum("c").over(Window.orderBy("x").rowsBetween(Window.unboundedPreceding, 0))
-    spans = inside.select("x", (F.lit(below) + cum - F.col("c")).alias("first"),
+    spans = counts.select("x", (F.lit(below) + cum - F.col("c")).alias("first"),
                           (F.lit(below) + cum - F.lit(1)).alias("last"))
 
     def at(k: int):

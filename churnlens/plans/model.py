@@ -17,7 +17,6 @@ from dataclasses import dataclass, field
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -68,14 +67,11 @@ class SearchResult:
 
 
 def _metrics(pred: DataFrame) -> dict:
-    ev = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction",
-                                           probabilityCol="probability")
-    out = {"log_loss": ev.setMetricName("logLoss").evaluate(pred),
-           "accuracy": ev.setMetricName("accuracy").evaluate(pred)}
-    for name, metric in (("precision", "precisionByLabel"), ("recall", "recallByLabel"),
-                         ("f1", "fMeasureByLabel")):
-        out[name] = ev.setMetricName(metric).setMetricLabel(1.0).evaluate(pred)
-    return out
+    """Log loss and the confusion metrics from one aggregate over the scored rows."""
+    p1 = F.get(vector_to_array("probability"), F.lit(1))
+    return classification_metrics(pred.select(F.col("label").cast("int").alias(TARGET),
+                                              F.col("prediction").cast("int").alias("prediction"), p1.alias("p1")),
+                                  probability="p1").first().asDict()
 
 
 def search(df: DataFrame, target: str = TARGET, exclude: list[str] | None = None,
@@ -84,25 +80,29 @@ def search(df: DataFrame, target: str = TARGET, exclude: list[str] | None = None
     """Fit up to ``max_trials`` candidates within ``timeout_s`` seconds and
     keep the one with the lowest held-out log loss.
 
-    The time limit is checked between trials (a trial is never cut short).
-    The split is cached once and shared by every trial.
+    The time limit is checked between trials (a trial is never cut short); a
+    candidate that either limit leaves out is recorded as a skipped trial. The
+    split is by the hash of key and seed, so it does not depend on how the
+    rows are stored; it is cached once and shared by every trial.
     """
     started = time.time()
     feats = feature_columns(df, target, exclude)
     data = df.withColumn("label", F.col(target).cast("double"))
-    train, test = data.randomSplit([train_fraction, 1.0 - train_fraction], seed=seed)
-    train, test = train.cache(), test.cache()
+    fold = F.pmod(F.xxhash64(KEY, F.lit(seed)), F.lit(10_000)) < int(train_fraction * 10_000)
+    train, test = data.where(fold).cache(), data.where(~fold).cache()
     res = SearchResult(run_id=uuid.uuid4().hex[:12], features=feats, n_rows=df.count(),
                        created=started)
     assembler = VectorAssembler(inputCols=feats, outputCol="features")
-    for i, (algo, est, params) in enumerate((candidates or default_candidates(seed))[:max_trials]):
-        if time.time() - started > timeout_s:
-            break
+    for i, (algo, est, params) in enumerate(candidates or default_candidates(seed)):
+        given = {"trial": i, "algorithm": algo, "params": json.dumps(params, sort_keys=True)}
+        reason = "max_trials" if i >= max_trials else "timeout" if time.time() - started > timeout_s else None
+        if reason:
+            res.trials.append({**given, "skipped": reason})
+            continue
         t0 = time.time()
         model = Pipeline(stages=[assembler, est]).fit(train)
         m = _metrics(model.transform(test))
-        trial = {"trial": i, "algorithm": algo, "params": json.dumps(params, sort_keys=True),
-                 **m, "duration_s": time.time() - t0}
+        trial = {**given, **m, "duration_s": time.time() - t0}
         res.trials.append(trial)
         if res.best is None or m["log_loss"] < res.best["log_loss"]:
             res.best, res.best_model = trial, model
@@ -116,8 +116,15 @@ def trials_frame(spark: SparkSession, res: SearchResult) -> DataFrame:
     rows = [{"run_id": res.run_id, "created": res.created, **t} for t in res.trials]
     schema = ("run_id string, created double, trial int, algorithm string, params string, "
               "log_loss double, accuracy double, precision double, recall double, f1 double, "
-              "duration_s double")
-    return spark.createDataFrame(rows, schema=schema)
+              "duration_s double, skipped string")
+    names = [c.split()[0] for c in schema.split(", ")]
+    return spark.createDataFrame([tuple(r.get(c) for c in names) for r in rows], schema=schema)
+
+
+def append_trials(trials: DataFrame, path: str) -> DataFrame:
+    """Append a run's trials to the history at ``path``; returns the history."""
+    trials.write.mode("append").parquet(path)
+    return trials.sparkSession.read.schema(trials.schema).parquet(path)
 
 
 def result_record(spark: SparkSession, res: SearchResult, model_path: str) -> DataFrame:
@@ -125,7 +132,7 @@ def result_record(spark: SparkSession, res: SearchResult, model_path: str) -> Da
     b = res.best or {}
     row = {"run_id": res.run_id, "model_path": model_path,
            "best_log_loss": b.get("log_loss"), "best_algorithm": b.get("algorithm"),
-           "n_trials": len(res.trials), "duration_s": res.duration_s,
+           "n_trials": sum("skipped" not in t for t in res.trials), "duration_s": res.duration_s,
            "n_features": len(res.features), "n_rows": res.n_rows,
            "n_columns": len(res.features) + 2}
     return spark.createDataFrame([row], schema=(
@@ -136,7 +143,7 @@ def result_record(spark: SparkSession, res: SearchResult, model_path: str) -> Da
 def best_trial(trials: DataFrame) -> DataFrame:
     """The newest run's trial with the lowest log loss (ties: lower trial)."""
     newest = trials.select(F.max("created")).scalar()
-    return trials.where(F.col("created") == newest).orderBy("log_loss", "trial").limit(1)
+    return trials.where((F.col("created") == newest) & F.col("skipped").isNull()).orderBy("log_loss", "trial").limit(1)
 
 
 def feature_importance(model: PipelineModel, features: list[str], data: DataFrame | None = None) -> DataFrame:
@@ -167,16 +174,32 @@ def save_model(model: PipelineModel, path: str) -> str:
     return path
 
 
+def _exists(path: str) -> bool:
+    spark = SparkSession.getActiveSession()
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+
+
+def save_vocabulary(spark: SparkSession, vocab: dict[str, list[str]], model_path: str) -> None:
+    """The one-hot vocabulary, kept beside the model it was fitted with."""
+    rows = [(c, v) for c, values in vocab.items() for v in values or [None]]
+    spark.createDataFrame(rows, "column_name string, value string").write.mode("overwrite").parquet(f"{model_path}_vocabulary")
+
+
+def load_vocabulary(spark: SparkSession, model_path: str) -> dict[str, list[str]]:
+    vocab: dict[str, list[str]] = {}
+    for c, v in spark.read.parquet(f"{model_path}_vocabulary").collect():  # the model's columns
+        vocab.setdefault(c, []).extend([v] if v is not None else [])
+    return {c: sorted(v) for c, v in vocab.items()}
+
+
 def load_best_model(path: str | None = None, fallback_path: str | None = None,
                     trials: DataFrame | None = None, model_root: str | None = None) -> PipelineModel:
     """Load ``path``; else ``fallback_path``; else the best trial of the
     newest run, found in ``trials`` and stored under ``model_root/<run_id>``."""
     for p in (path, fallback_path):
-        if p:
-            try:
-                return PipelineModel.load(p)
-            except Exception:  # try the next source
-                continue
+        if p and _exists(p):  # a model that is there but can't be read is an error
+            return PipelineModel.load(p)
     if trials is not None and model_root:
         b = best_trial(trials).first()
         if b is not None:
@@ -196,15 +219,22 @@ def confusion_counts(pred: DataFrame, label: str = TARGET, prediction: str = "pr
             .agg(F.count(F.lit(1)).alias("count")))
 
 
-def classification_metrics(pred: DataFrame, label: str = TARGET, prediction: str = "prediction") -> DataFrame:
-    """Accuracy, and precision / recall / F1 of the positive class, from one
-    aggregate over the scored rows."""
+def classification_metrics(pred: DataFrame, label: str = TARGET, prediction: str = "prediction",
+                           probability: str | None = None) -> DataFrame:
+    """Accuracy, precision / recall / F1 of the positive class and, with the
+    column of its probability, log loss, from one aggregate over the scored
+    rows. Probabilities are kept 1e-15 away from 0 and 1."""
     y, p = F.col(label), F.col(prediction)
+    if probability:
+        q = F.least(F.greatest(F.when(y == 1, F.col(probability)).otherwise(1.0 - F.col(probability)), F.lit(1e-15)), F.lit(1 - 1e-15))
+        loss = [F.avg(-F.log(q)).alias("log_loss")]
+    else:
+        loss = []
     c = pred.agg(F.count(F.lit(1)).alias("n"),
                  F.count_if((y == 1) & (p == 1)).alias("tp"),
                  F.count_if((y == 0) & (p == 1)).alias("fp"),
                  F.count_if((y == 1) & (p == 0)).alias("fn"),
-                 F.count_if(y == p).alias("correct"))
+                 F.count_if(y == p).alias("correct"), *loss)
     prec = F.when(F.col("tp") + F.col("fp") == 0, F.lit(0.0)).otherwise(
         F.col("tp") / (F.col("tp") + F.col("fp")))
     rec = F.when(F.col("tp") + F.col("fn") == 0, F.lit(0.0)).otherwise(
@@ -212,4 +242,5 @@ def classification_metrics(pred: DataFrame, label: str = TARGET, prediction: str
     return c.select(
         (F.col("correct") / F.col("n")).alias("accuracy"),
         prec.alias("precision"), rec.alias("recall"),
-        F.when(prec + rec == 0, F.lit(0.0)).otherwise(F.lit(2.0) * prec * rec / (prec + rec)).alias("f1"))
+        F.when(prec + rec == 0, F.lit(0.0)).otherwise(F.lit(2.0) * prec * rec / (prec + rec)).alias("f1"),
+        *(["log_loss"] if loss else []))

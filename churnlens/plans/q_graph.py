@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from churnlens.operators import degrees
-from churnlens.plans.queries import r4, register, rounded
+from churnlens.plans.queries import r4, r11, register, rounded, rounded_fine
 from churnlens.sources import fixtures as fx
 from churnlens.sources.fixtures import with_views
 
@@ -136,10 +136,10 @@ def q_degree_distribution(spark, sf_dir):
 
 
 @register("degree_centrality", _gsql(
-    f"SELECT id, degree, {r4('degree / (SELECT CAST(count(*) - 1 AS DOUBLE) FROM KD)')} AS degree_centrality FROM KD",
+    f"SELECT id, degree, {r11('degree / (SELECT CAST(count(*) - 1 AS DOUBLE) FROM KD)')} AS degree_centrality FROM KD",
     og.known() + og.degrees("K", "KD")))
 def q_degree_centrality(spark, sf_dir):
-    return rounded(degrees.degree_centrality(fx.edges(spark, sf_dir)))
+    return rounded_fine(degrees.degree_centrality(fx.edges(spark, sf_dir)), ["degree_centrality"])
 
 
 _NB_SELECT = ("SELECT id, " + ", ".join(f"{r4(c)} AS {c}" for c in (
@@ -168,10 +168,10 @@ def q_pagerank(spark, sf_dir):
                                      max_iter=PAGERANK_ROUNDS))
 
 
-@register("pagerank_normalised", _gsql(f"SELECT id, {r4('pagerank')} AS pagerank FROM NP",
+@register("pagerank_normalised", _gsql(f"SELECT id, {r11('pagerank')} AS pagerank FROM NP",
                                        og.known() + og.pagerank_nx(NX_PAGERANK_ROUNDS)))
 def q_pagerank_normalised(spark, sf_dir):
-    return rounded(pagerank.pagerank_normalised(fx.edges(spark, sf_dir), max_iter=NX_PAGERANK_ROUNDS))
+    return rounded_fine(pagerank.pagerank_normalised(fx.edges(spark, sf_dir), max_iter=NX_PAGERANK_ROUNDS), ["pagerank"])
 
 
 @register("label_propagation", _gsql("SELECT id, label FROM LP",
@@ -202,13 +202,13 @@ def q_component_sizes(spark, sf_dir):
 @register("graph_stats", _gsql(f"""
 SELECT (SELECT count(*) FROM NV) AS n_nodes, (SELECT count(*) FROM K) AS n_edges,
   {r4("2 * (SELECT count(*) FROM K) / (SELECT CAST(count(*) AS DOUBLE) FROM NV)")} AS avg_degree,
-  {r4("(SELECT count(*) FROM K) / ((SELECT CAST(count(*) AS DOUBLE) FROM NV) * ((SELECT CAST(count(*) AS DOUBLE) FROM NV) - 1))")} AS density,
+  {r11("(SELECT count(*) FROM K) / ((SELECT CAST(count(*) AS DOUBLE) FROM NV) * ((SELECT CAST(count(*) AS DOUBLE) FROM NV) - 1))")} AS density,
   (SELECT count(DISTINCT component) FROM CC) = 1 AS is_weakly_connected,
   (SELECT count(DISTINCT component) FROM CC) AS n_components""",
     og.known() + [("NV", "SELECT src AS id FROM K UNION SELECT dst FROM K")] + og.components("NV")))
 def q_graph_stats(spark, sf_dir):
     from churnlens.operators.graphstats import graph_stats
-    return rounded(graph_stats(fx.edges(spark, sf_dir)))
+    return rounded_fine(graph_stats(fx.edges(spark, sf_dir)), ["density"])
 
 
 _COMM_COLS = ["comm_avg_monthly_charges", "comm_avg_total_charges", "comm_avg_tenure"]
@@ -290,15 +290,15 @@ _DC_SQL = "SELECT id, degree / (SELECT CAST(count(*) - 1 AS DOUBLE) FROM KD) AS
 
 
 @register("customer_value", _gsql(
-    f"SELECT d.id, {r4('(d.dc + p.pagerank) / 2')} AS customer_value FROM DCT d JOIN NP p ON p.id = d.id",
+    f"SELECT d.id, {r11('(d.dc + p.pagerank) / 2')} AS customer_value FROM DCT d JOIN NP p ON p.id = d.id",
     _NX_CTES + [("DCT", _DC_SQL)]))
 def q_customer_value(spark, sf_dir):
     from churnlens.operators.centrality import customer_value
-    return rounded(customer_value(fx.edges(spark, sf_dir), NX_PAGERANK_ROUNDS))
+    return rounded_fine(customer_value(fx.edges(spark, sf_dir), NX_PAGERANK_ROUNDS), ["customer_value"])
 
 
 @register("top_centrality", _gsql(f"""
-SELECT metric, rnk, id, {r4('value')} AS value FROM (
+SELECT metric, rnk, id, {r11('value')} AS value FROM (
   SELECT 'pagerank' AS metric, id, pagerank AS value,
          row_number() OVER (ORDER BY pagerank DESC, id) AS rnk FROM NP
   UNION ALL
@@ -306,11 +306,11 @@ SELECT metric, rnk, id, {r4('value')} AS value FROM (
 WHERE rnk <= 5""", _NX_CTES + [("DCT", _DC_SQL)]))
 def q_top_centrality(spark, sf_dir):
     from churnlens.operators.centrality import top_centrality
-    return rounded(top_centrality(fx.edges(spark, sf_dir), k=5, pagerank_iter=NX_PAGERANK_ROUNDS))
+    return rounded_fine(top_centrality(fx.edges(spark, sf_dir), k=5, pagerank_iter=NX_PAGERANK_ROUNDS), ["value"])
 
 
 @register("node_display", _gsql(f"""
-SELECT s.id, {r4('s.dc')} AS size_metric, {r4('c.pagerank')} AS color_metric,
+SELECT s.id, {r11('s.dc')} AS size_metric, {r11('c.pagerank')} AS color_metric,
   {r4("10 + 40 * (s.dc - m.smin) / m.srange")} AS size,
   {r4("(c.pagerank - m.cmin) / m.crange")} AS color_value,
   ['#440154', '#31688E', '#35B779', '#FDE725'][CAST(floor((c.pagerank - m.cmin) / m.crange * 3) AS INT) + 1] AS color,
@@ -326,7 +326,7 @@ def q_node_display(spark, sf_dir):
     m = nx_metrics(fx.edges(spark, sf_dir), NX_PAGERANK_ROUNDS)
     size = m.select("id", F.col("degree_centrality").alias("size_metric"))
     color = m.select("id", F.col("pagerank").alias("color_metric"))
-    return rounded(node_display(size, color, scheme="viridis", label_threshold=0.1))
+    return rounded_fine(node_display(size, color, scheme="viridis", label_threshold=0.1), ["size_metric", "color_metric"])
 
 
 @register("edge_display", _gsql(
@@ -386,10 +386,10 @@ def q_distance_summary(spark, sf_dir):
 
 
 @register("closeness", _gsql(f"""
-SELECT s AS id, {r4("CASE WHEN sum(d) > 0 THEN (count(*) - 1) / CAST(sum(d) AS DOUBLE) * ((count(*) - 1) / CAST((SELECT count(*) - 1 FROM NV) AS DOUBLE)) ELSE 0.0 END")} AS closeness
+SELECT s AS id, {r11("CASE WHEN sum(d) > 0 THEN (count(*) - 1) / CAST(sum(d) AS DOUBLE) * ((count(*) - 1) / CAST((SELECT count(*) - 1 FROM NV) AS DOUBLE)) ELSE 0.0 END")} AS closeness
 FROM BFS GROUP BY s""", og.known() + [_NV] + og.bfs(_IN_ARCS)))
 def q_closeness(spark, sf_dir):
-    return rounded(paths.closeness(fx.edges(spark, sf_dir)))
+    return rounded_fine(paths.closeness(fx.edges(spark, sf_dir)), ["closeness"])
 
 
 @register("betweenness")

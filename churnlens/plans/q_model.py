@@ -2,61 +2,68 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
-                                       RandomForestClassifier)
+import os
+
 from pyspark.sql import functions as F
 
+from churnlens.operators import onehot
+from churnlens.plans import dashboard as dash
 from churnlens.plans import model as mdl
 from churnlens.plans.q_graph import (_GF_CTES, _GF_SQL, LP_ROUNDS_FEATURES,
                                      PAGERANK_ROUNDS)
-from churnlens.plans.q_relational import (FEATURES_SQL, SILVER_SQL, _sf_tag,
-                                          customer_features)
-from churnlens.plans.queries import r4, register, rounded
+from churnlens.plans.q_relational import (FEATURES_SQL, SILVER_SQL, customer_facts,
+                                          run_path, silver)
+from churnlens.plans.queries import r4, r11, register, rounded, rounded_fine
 from churnlens.session import scratch_path
 from churnlens.sources import fixtures as fx
 from churnlens.sources import ingest
 from churnlens.sources.fixtures import with_views
 
-_MEMO: dict = {}
+#: (application, checksum of the inputs, what) -> files written for them. The
+#: key is the content, so changed input never meets older results.
+_WRITTEN: dict = {}
 
 
 def _key(spark, sf_dir, what):
-    return (spark.sparkContext.applicationId, sf_dir, what)
+    tables = (fx.subscribers(spark, sf_dir), fx.call_log(spark, sf_dir))
+    sums = [t.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*t.columns).cast("decimal(20,0)"))).first() for t in tables]
+    return (spark.sparkContext.applicationId, os.path.abspath(sf_dir), str(sums), what)
+
+
+def vocabulary(spark, sf_dir):
+    return onehot.collect_vocabulary(silver(spark, sf_dir).drop("mobile_number"))
 
 
 def combined_features(spark, sf_dir):
-    """Customer features inner-joined to graph features on customer_id,
-    written once per session as a Parquet feature table and read back."""
+    """Customer features inner-joined to graph features on customer_id, as a
+    Parquet feature table; written once for the same input rows."""
     from churnlens.plans import graph_features as gf
     k = _key(spark, sf_dir, "combined")
-    if k not in _MEMO:
-        customers = ingest.silver_customers(fx.subscribers(spark, sf_dir))
+    if k not in _WRITTEN:
+        customers = silver(spark, sf_dir)
         g = gf.graph_features(customers, fx.edges(spark, sf_dir),
                               pagerank_iter=PAGERANK_ROUNDS, label_iter=LP_ROUNDS_FEATURES)
-        c = customer_features(spark, sf_dir).join(g, "customer_id", "inner")
-        path = scratch_path(spark, f"features/combined_{_sf_tag(sf_dir)}")
+        vocab = vocabulary(spark, sf_dir)
+        c = onehot.customer_features(customers.drop("mobile_number"), vocab).join(g, "customer_id", "inner")
+        path = scratch_path(spark, f"features/combined_{run_path(sf_dir)}")
         c.write.mode("overwrite").parquet(path)
-        _MEMO[k] = path
-    return spark.read.parquet(_MEMO[k])
-
-
-def _candidates(seed: int = 42):
-    return [("logistic_regression", LogisticRegression(labelCol="label", maxIter=100, regParam=0.01),
-             {"regParam": 0.01}),
-            ("random_forest", RandomForestClassifier(labelCol="label", numTrees=50, maxDepth=5, seed=seed),
-             {"numTrees": 50, "maxDepth": 5}),
-            ("gbt", GBTClassifier(labelCol="label", maxIter=20, maxDepth=3, seed=seed),
-             {"maxIter": 20, "maxDepth": 3})]
+        mdl.save_vocabulary(spark, vocab, path)
+        _WRITTEN[k] = path
+    return spark.read.parquet(_WRITTEN[k])
 
 
 def search_result(spark, sf_dir):
+    """The search over all candidates, with the model and its vocabulary saved."""
     k = _key(spark, sf_dir, "search")
-    if k not in _MEMO:
-        res = mdl.search(combined_features(spark, sf_dir), candidates=_candidates())
-        root = scratch_path(spark, f"models/{_sf_tag(sf_dir)}")
+    if k not in _WRITTEN:
+        data = combined_features(spark, sf_dir)
+        res = mdl.search(data)
+        root = scratch_path(spark, f"models/{run_path(sf_dir)}")
         path = mdl.save_model(res.best_model, f"{root}/{res.run_id}")
-        _MEMO[k] = (res, root, path)
-    return _MEMO[k]
+        mdl.save_vocabulary(spark, mdl.load_vocabulary(spark, _WRITTEN[_key(spark, sf_dir, "combined")]), path)
+        mdl.append_trials(mdl.trials_frame(spark, res), f"{root}/trials")
+        _WRITTEN[k] = (res, root, path)
+    return _WRITTEN[k]
 
 
 _GF_CTE_BODY = _GF_SQL
@@ -79,6 +86,28 @@ def q_trials(spark, sf_dir):
     return mdl.trials_frame(spark, res)
 
 
+@register("gold_flow")
+def q_gold_flow(spark, sf_dir):
+    """Saved model and vocabulary -> features of all customers -> scores ->
+    dashboard rows -> saved gold table -> CSV, read back (rows-only)."""
+    from churnlens.plans import graph_features as gf
+    _, _, path = search_result(spark, sf_dir)
+    customers = silver(spark, sf_dir)
+    g = gf.graph_features(customers, fx.edges(spark, sf_dir), pagerank_iter=PAGERANK_ROUNDS, label_iter=LP_ROUNDS_FEATURES)
+    features = onehot.customer_features(customers.drop("mobile_number"), mdl.load_vocabulary(spark, path)).join(g, "customer_id")
+    scored = mdl.score(mdl.load_best_model(path), features)
+    run = run_path(sf_dir)
+    ingest.ensure_schema(spark, "churnlens")
+    name = f"churnlens.gold_{run}"
+    ingest.write_table(dash.dashboard_rows(scored, customer_facts(spark, sf_dir)), name, scratch_path(spark, f"tables/{name}"))
+    gold = ingest.read_table(spark, name)
+    csv = scratch_path(spark, f"gold_csv/{run}")
+    ingest.write_csv(gold, csv, {"probability": 2})
+    flat = gold.select(*[c for f in gold.columns for c in (
+        [F.get(f, F.lit(i)).alias(f"{f}_{i}") for i in (0, 1)] if f == "probability" else [F.col(f)])])
+    return ingest.read_csv(spark, csv, flat.schema)
+
+
 @register("model_result")
 def q_model_result(spark, sf_dir):
     res, _, path = search_result(spark, sf_dir)
@@ -107,24 +136,24 @@ def q_score_customers(spark, sf_dir):
 
 
 _SCORED_SQL = with_views(
-    "SELECT f.churn, s.prediction FROM scores s JOIN features f ON f.customer_id = s.customer_id",
+    "SELECT f.churn, s.prediction, s.p_churn FROM scores s JOIN features f ON f.customer_id = s.customer_id",
     ["subscribers", "scores"], [("silver", SILVER_SQL), ("features", FEATURES_SQL)])
 
 
 def _scored(spark, sf_dir):
-    return fx.scores(spark, sf_dir).join(customer_features(spark, sf_dir).select("customer_id", "churn"),
+    return fx.scores(spark, sf_dir).join(customer_facts(spark, sf_dir).select("customer_id", "churn"),
                                          "customer_id")
 
 
 @register("confusion_counts", _SCORED_SQL.replace(
-    "SELECT f.churn, s.prediction FROM", "SELECT f.churn AS label, s.prediction, count(*) AS count FROM")
+    "SELECT f.churn, s.prediction, s.p_churn FROM", "SELECT f.churn AS label, s.prediction, count(*) AS count FROM")
     + " GROUP BY f.churn, s.prediction")
 def q_confusion_counts(spark, sf_dir):
     return mdl.confusion_counts(_scored(spark, sf_dir))
 
 
 @register("confusion_metrics", _SCORED_SQL.replace(
-    "SELECT f.churn, s.prediction FROM",
+    "SELECT f.churn, s.prediction, s.p_churn FROM",
     "SELECT " + ", ".join([
         f"{r4('count(*) FILTER (WHERE f.churn = s.prediction) / CAST(count(*) AS DOUBLE)')} AS accuracy",
         f"{r4('CAST(count(*) FILTER (WHERE f.churn = 1 AND s.prediction = 1) AS DOUBLE) / count(*) FILTER (WHERE s.prediction = 1)')} AS precision",
@@ -134,6 +163,7 @@ def q_confusion_counts(spark, sf_dir):
         " * (CAST(count(*) FILTER (WHERE f.churn = 1 AND s.prediction = 1) AS DOUBLE) / count(*) FILTER (WHERE f.churn = 1))"
         " / ((CAST(count(*) FILTER (WHERE f.churn = 1 AND s.prediction = 1) AS DOUBLE) / count(*) FILTER (WHERE s.prediction = 1))"
         " + (CAST(count(*) FILTER (WHERE f.churn = 1 AND s.prediction = 1) AS DOUBLE) / count(*) FILTER (WHERE f.churn = 1)))")
-    + " AS f1 FROM"))
+    + " AS f1, " + r11("avg(-ln(least(greatest(CASE WHEN f.churn = 1 THEN s.p_churn ELSE 1.0 - s.p_churn END, 1e-15), 1 - 1e-15)))")
+    + " AS log_loss FROM"))
 def q_confusion_metrics(spark, sf_dir):
-    return rounded(mdl.classification_metrics(_scored(spark, sf_dir)))
+    return rounded_fine(mdl.classification_metrics(_scored(spark, sf_dir), probability="p_churn"), ["log_loss"])

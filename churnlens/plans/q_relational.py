@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,12 +38,24 @@ def predictions(spark, sf_dir) -> DataFrame:
                     F.array(F.lit(1.0) - F.col("p_churn"), F.col("p_churn")).alias("probability"))
 
 
+def customer_facts(spark, sf_dir) -> DataFrame:
+    """The columns of ``customer_features`` that are no categories, straight
+    from silver with the same null filter; no vocabulary pass."""
+    s = silver(spark, sf_dir).drop("mobile_number")
+    return s.na.drop("any", subset=[c for c in s.columns if c not in (*onehot.CATEGORICAL_COLUMNS, "churn")]).select(
+        "customer_id", "tenure", "monthly_charges", "total_charges",
+        F.when(F.col("churn") == "Yes", 1).otherwise(0).alias("churn"))
+
+
 def dashboard(spark, sf_dir) -> DataFrame:
-    return dash.dashboard_rows(predictions(spark, sf_dir), customer_features(spark, sf_dir))
+    return dash.dashboard_rows(predictions(spark, sf_dir), customer_facts(spark, sf_dir))
 
 
-def _sf_tag(sf_dir: str) -> str:
-    return os.path.basename(os.path.normpath(sf_dir)).replace(".", "_")
+def run_path(sf_dir: str) -> str:
+    """A name for one run over one input folder: the hash of its whole path
+    and a fresh id, so no two runs share files."""
+    whole = hashlib.sha256(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
+    return f"{whole}_{uuid.uuid4().hex[:12]}"
 
 
 # ------------------------------------------------------------ oracle CTEs
@@ -161,7 +175,7 @@ def q_vertices(spark, sf_dir):
 @register("csv_roundtrip", with_views("SELECT * FROM subscribers", ["subscribers"]))
 def q_csv_roundtrip(spark, sf_dir):
     """Subscribers written as CSV with a header and read back with a schema."""
-    path = scratch_path(spark, f"csv_roundtrip/{_sf_tag(sf_dir)}")
+    path = scratch_path(spark, f"csv_roundtrip/{run_path(sf_dir)}")
     ingest.write_csv(fx.subscribers(spark, sf_dir), path)
     return ingest.read_csv(spark, path, ingest.CUSTOMER_SCHEMA)
 
@@ -170,7 +184,7 @@ def q_csv_roundtrip(spark, sf_dir):
 def q_table_roundtrip(spark, sf_dir):
     """Silver customers saved as a (replaced) table and read back."""
     ingest.ensure_schema(spark, "churnlens")
-    name = f"churnlens.silver_customers_{_sf_tag(sf_dir)}"
+    name = f"churnlens.silver_customers_{run_path(sf_dir)}"
     path = scratch_path(spark, f"tables/{name}")
     ingest.write_table(silver(spark, sf_dir), name, path)
     return ingest.read_table(spark, name)
@@ -213,7 +227,7 @@ SELECT churn, count(*) AS count,
   {r4("count(*) * CAST(100 AS DOUBLE) / (SELECT count(*) FROM features)")} AS percentage
 FROM features GROUP BY churn"""))
 def q_target_distribution(spark, sf_dir):
-    return rounded(profile.target_distribution(customer_features(spark, sf_dir)))
+    return rounded(profile.target_distribution(customer_facts(spark, sf_dir)))
 
 
 @register("feature_pk_violations", _features_sql("""
@@ -221,7 +235,7 @@ SELECT customer_id, count(*) AS n FROM features GROUP BY customer_id
 HAVING count(*) > 1 OR customer_id IS NULL"""))
 def q_feature_pk_violations(spark, sf_dir):
     from churnlens.sources.feature_table import key_violations
-    return key_violations(customer_features(spark, sf_dir), ["customer_id"])
+    return key_violations(customer_facts(spark, sf_dir), ["customer_id"])
 
 
 @register("hist_payment_churn", _silver_sql("""
@@ -325,8 +339,8 @@ def q_dashboard_csv(spark, sf_dir):
     """The gold table exported to CSV (probability flattened) and read back."""
     from pyspark.sql.types import (DoubleType, IntegerType, StringType, StructField,
                                    StructType)
-    path = scratch_path(spark, f"dashboard_csv/{_sf_tag(sf_dir)}")
-    ingest.write_csv(dashboard(spark, sf_dir), path)
+    path = scratch_path(spark, f"dashboard_csv/{run_path(sf_dir)}")
+    ingest.write_csv(dashboard(spark, sf_dir), path, {"probability": 2})
     schema = StructType([
         StructField("customer_id", StringType()), StructField("prediction", IntegerType()),
         StructField("probability_0", DoubleType()), StructField("probability_1", DoubleType()),

@@ -40,6 +40,23 @@ def rounded(df: DataFrame) -> DataFrame:
         for f in df.schema.fields])
 
 
+#: Decimals kept of metrics that shrink as 1 / n.
+FINE = 11
+
+
+def rounded_fine(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Round the named columns to FINE decimals, other doubles as ``rounded``."""
+    return df.select([
+        F.round(f.name, FINE).alias(f.name) if f.name in columns
+        else round4(F.col(f.name)).alias(f.name) if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
+        for f in df.schema.fields])
+
+
+def r11(expr: str) -> str:
+    """The FINE rounding as SQL text."""
+    return f"round(CAST({expr} AS DOUBLE), {FINE})"
+
+
 def r4(expr: str) -> str:
     """The D7 rounding as SQL text."""
     return f"floor(({expr}) * CAST(10000 AS DOUBLE) + CAST(0.500001 AS DOUBLE)) / CAST(10000 AS DOUBLE)"

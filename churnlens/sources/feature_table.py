@@ -32,7 +32,7 @@ def create_table(spark: SparkSession, name: str, df: DataFrame, primary_keys: li
     bad = key_violations(df, primary_keys).limit(1).count()
     if bad:
         raise ValueError(f"primary key {primary_keys} of {name} is null or not unique")
-    w = df.write.mode("overwrite").format("parquet").option("overwriteSchema", "true")
+    w = df.write.mode("overwrite").format("parquet")
     if path:
         w = w.option("path", path)
     w.saveAsTable(name)
@@ -44,8 +44,18 @@ def create_table(spark: SparkSession, name: str, df: DataFrame, primary_keys: li
 
 
 def write_table(spark: SparkSession, name: str, df: DataFrame) -> int:
-    """Overwrite the rows of an existing feature table, keeping its properties."""
-    df.write.mode("overwrite").insertInto(name, overwrite=True)
+    """Overwrite the rows of an existing feature table, keeping its properties.
+
+    Columns are matched by name; missing or extra ones are an error, and so is
+    a null or repeated key.
+    """
+    columns = spark.table(name).columns
+    if set(df.columns) != set(columns) or len(df.columns) != len(columns):
+        raise ValueError(f"columns of {name} are {columns}, given are {df.columns}")
+    keys = get_table(spark, name)["primary_keys"]
+    if keys and key_violations(df, keys).limit(1).count():
+        raise ValueError(f"primary key {keys} of {name} is null or not unique")
+    df.select(columns).write.mode("overwrite").insertInto(name, overwrite=True)
     return spark.table(name).count()
 
 

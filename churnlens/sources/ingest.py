@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, StringType,
                                StructField, StructType)
 
-# The two renames applied after the snake-case rule (notebook 01).
-SNAKE_FIXUPS = {"streaming_t_v": "streaming_tv", "customer_i_d": "customer_id"}
+from churnlens.functions.names import snake_name
 
 # Column order of the bronze customer table (notebook 01).
 CUSTOMER_COLUMNS = [
@@ -52,18 +49,9 @@ MOBILE_SCHEMA = StructType([StructField("customer_id", StringType()),
                             StructField("mobile_number", StringType())])
 
 
-def snake_case(name: str) -> str:
-    """Raw header name -> snake case (``_`` before inner capitals, lower,
-    ``__`` -> ``_``, parentheses dropped, space and ``-`` -> ``_``)."""
-    s = re.sub(r"(?<!^)(?=[A-Z])", "_", name).lower().replace("__", "_")
-    s = re.sub(r"[()]", "", s)
-    s = re.sub(r"[ -]", "_", s)
-    return SNAKE_FIXUPS.get(s, s)
-
-
 def clean_columns(df: DataFrame) -> DataFrame:
     """Rename all columns at once (names are computed on the driver)."""
-    return df.toDF(*[snake_case(c) for c in df.columns])
+    return df.toDF(*[snake_name(c) for c in df.columns])
 
 
 # ----------------------------------------------------------------- CSV I/O
@@ -82,18 +70,26 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.options(**_CSV_OPTS).schema(schema).csv(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Write CSV with a header, array columns flattened to ``<name>_<i>``.
+def write_csv(df: DataFrame, path: str, array_lengths: dict[str, int] | None = None) -> None:
+    """Write CSV with a header. The CSV source rejects arrays: a column named
+    in ``array_lengths`` is flattened to ``<name>_<i>`` for its whole length,
+    any other array is one JSON column.
 
-    The CSV source rejects arrays; the dashboard's two-class probability
-    array becomes two columns.
+    An array that is longer or shorter than given is an error, so no element
+    is ever lost.
     """
+    lengths = array_lengths or {}
     cols = []
     for f in df.schema.fields:
-        if isinstance(f.dataType, ArrayType):
-            cols += [F.col(f.name)[i].alias(f"{f.name}_{i}") for i in range(2)]
-        else:
+        if not isinstance(f.dataType, ArrayType):
             cols.append(F.col(f.name))
+        elif f.name in lengths:
+            n = lengths[f.name]
+            whole = F.when(F.col(f.name).isNull() | (F.size(f.name) == n), F.col(f.name)).otherwise(
+                F.raise_error(F.lit(f"an array of column {f.name} has not {n} elements")).cast(f.dataType))
+            cols += [F.get(whole, F.lit(i)).alias(f"{f.name}_{i}") for i in range(n)]
+        else:
+            cols.append(F.to_json(f.name).alias(f.name))
     (df.select(cols).write.mode("overwrite")
      .options(**{k: v for k, v in _CSV_OPTS.items() if k != "mode"})
      .csv(path))
@@ -107,7 +103,7 @@ def write_table(df: DataFrame, name: str, path: str | None = None) -> int:
     With ``path`` the table is external at that location (a shared folder);
     otherwise it is managed in the session's warehouse.
     """
-    w = df.write.mode("overwrite").format("parquet").option("overwriteSchema", "true")
+    w = df.write.mode("overwrite").format("parquet")
     if path:
         w = w.option("path", path)
     w.saveAsTable(name)
@@ -136,13 +132,18 @@ def silver_customers(bronze: DataFrame) -> DataFrame:
 
 
 def silver_call_log(bronze: DataFrame) -> DataFrame:
-    """``datatime`` ISO-8601 string -> wall-clock UTC timestamp (null if bad).
+    """``datatime`` ISO-8601 string -> wall-clock UTC ``timestamp_ntz`` (null if
+    bad), the same in any session time zone.
 
-    Stored as ``timestamp_ntz`` so the value does not depend on the reader's
-    session time zone.
+    A string with a zone (``Z`` or an offset) is an instant, shown in UTC; one
+    without is taken as it stands.
     """
-    ts = F.try_to_timestamp(F.col("datatime"))
-    return bronze.withColumn("datatime", ts.cast("timestamp_ntz"))
+    text = F.col("datatime")
+    zone = F.current_timezone()
+    instant = F.to_utc_timestamp(F.try_to_timestamp(text), zone)
+    value = F.when(text.rlike(r"(?i)(?:z|utc|[+-]\d{1,2}:?\d{2})\s*$") & text.rlike(r"\d:\d"), instant.cast("timestamp_ntz")).otherwise(
+        text.try_cast("timestamp_ntz"))
+    return bronze.withColumn("datatime", value)
 
 
 def attach_mobile(customers: DataFrame, mobile: DataFrame) -> DataFrame:
@@ -152,3 +153,21 @@ def attach_mobile(customers: DataFrame, mobile: DataFrame) -> DataFrame:
 
 def vertices(silver: DataFrame) -> DataFrame:
     return silver.withColumnRenamed("customer_id", "id")
+
+
+def bronze_tables(spark: SparkSession, customer_csv: str, mobile_csv: str, call_log_csv: str) -> dict[str, DataFrame]:
+    """The three source files through their schemas: customers (without the
+    number), their numbers, and the call log."""
+    customers = StructType([f for f in CUSTOMER_SCHEMA if f.name != "mobile_number"])
+    return {"customers": read_csv(spark, customer_csv, customers),
+            "mobile": read_csv(spark, mobile_csv, MOBILE_SCHEMA),
+            "call_log": read_csv(spark, call_log_csv, CALL_LOG_SCHEMA)}
+
+
+def layered_tables(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Bronze -> silver customers and calls, graph vertices and edges."""
+    from churnlens.operators.edges import build_edges
+    silver = silver_customers(attach_mobile(bronze["customers"], bronze["mobile"]))
+    calls = silver_call_log(bronze["call_log"])
+    return {"silver_customers": silver, "silver_call_log": calls, "vertices": vertices(silver),
+            "edges": build_edges(calls, silver)}

@@ -7,9 +7,10 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from churnlens.operators import onehot
 from churnlens.plans import model as mdl
-from churnlens.plans.q_model import _candidates
-from churnlens.plans.q_relational import customer_features
+from churnlens.plans import queries  # noqa: F401  (registers the query modules)
+from churnlens.plans.q_relational import customer_features, silver
 
 SF = "/root/testdata/sf0.01"
 
@@ -17,15 +18,56 @@ SF = "/root/testdata/sf0.01"
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
 def test_search_beats_constant_predictor(spark):
     df = customer_features(spark, SF)
-    res = mdl.search(df, candidates=_candidates()[:2], seed=42)
-    assert [t["trial"] for t in res.trials] == [0, 1]
-    data = df.withColumn("label", F.col("churn").cast("double"))
-    train, test = data.randomSplit([0.8, 0.2], seed=42)
-    p = train.agg(F.avg("label")).first()[0]
-    y = F.col("label")
-    constant = test.agg(F.avg(-(y * F.lit(math.log(p)) + (1 - y) * F.lit(math.log(1 - p))))).first()[0]
+    some = mdl.default_candidates()
+    res = mdl.search(df, candidates=[some[0], some[3], some[7]], max_trials=2, seed=42)
+    assert [t["trial"] for t in res.trials] == [0, 1, 2]
+    assert [t.get("skipped") for t in res.trials] == [None, None, "max_trials"]
+    fold = F.pmod(F.xxhash64("customer_id", F.lit(42)), F.lit(10_000)) < 8000
+    p = df.where(fold).agg(F.avg("churn")).first()[0]
+    y = F.col("churn")
+    constant = df.where(~fold).agg(F.avg(-(y * F.lit(math.log(p)) + (1 - y) * F.lit(math.log(1 - p))))).first()[0]
     assert res.best["log_loss"] < constant
-    assert res.best_model is not None
     trials = mdl.trials_frame(spark, res)
-    assert trials.count() == 2
+    assert trials.count() == 3
     assert mdl.best_trial(trials).first()["log_loss"] == pytest.approx(res.best["log_loss"])
+
+
+def test_metrics_match_the_evaluator(spark):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.functions import array_to_vector
+    rows = [(float(i % 2), float(i % 3 == 0), [1 - (i % 10) / 10, (i % 10) / 10]) for i in range(60)]
+    df = spark.createDataFrame(rows, "label double, prediction double, p array<double>").withColumn("probability", array_to_vector("p"))
+    got = mdl._metrics(df)
+    ev = MulticlassClassificationEvaluator(metricLabel=1.0)
+    for name, metric in (("log_loss", "logLoss"), ("accuracy", "accuracy"), ("precision", "precisionByLabel"),
+                         ("recall", "recallByLabel"), ("f1", "fMeasureByLabel")):
+        assert got[name] == pytest.approx(ev.setMetricName(metric).evaluate(df), rel=1e-9)
+
+
+def test_split_does_not_depend_on_storage(spark):
+    df = customer_features(spark, "/root/testdata/sf0.001")
+    one = mdl.default_candidates()[:1]
+    a, b = (mdl.search(x, candidates=one).best["log_loss"] for x in (df, df.repartition(7)))
+    assert a == pytest.approx(b, rel=1e-6)
+
+
+def test_vocabulary_and_history_are_kept(spark, tmp_path):
+    vocab = onehot.collect_vocabulary(silver(spark, "/root/testdata/sf0.001"))
+    mdl.save_vocabulary(spark, {**vocab, "unused": []}, str(tmp_path / "model"))
+    assert mdl.load_vocabulary(spark, str(tmp_path / "model")) == {**vocab, "unused": []}
+    schema = ("run_id string, created double, trial int, algorithm string, params string, log_loss double, accuracy double, "
+              "precision double, recall double, f1 double, duration_s double, skipped string")
+    runs = [("old", 1.0, 0, "a", "", 0.1, *[0.0] * 5, None), ("new", 2.0, 0, "a", "", 0.4, *[0.0] * 5, None),
+            ("new", 2.0, 1, "a", "", 0.3, *[0.0] * 5, None), ("new", 2.0, 2, "a", "", None, *[None] * 5, "timeout")]
+    for r in runs:
+        history = mdl.append_trials(spark.createDataFrame([r], schema), str(tmp_path / "trials"))
+    assert history.count() == 4
+    assert (mdl.best_trial(history).first().run_id, mdl.best_trial(history).first().trial) == ("new", 1)
+
+
+def test_unreadable_model_is_an_error(spark, tmp_path):
+    (tmp_path / "broken").mkdir()
+    with pytest.raises(Exception):
+        mdl.load_best_model(str(tmp_path / "broken"), str(tmp_path / "absent"))
+    with pytest.raises(FileNotFoundError):
+        mdl.load_best_model(str(tmp_path / "absent"))

@@ -3,6 +3,8 @@
 import numpy as np
 import pytest
 
+from pyspark.sql.functions import col as spark_col
+
 from churnlens.operators.quantile import exact_percentile
 
 
@@ -26,3 +28,9 @@ def test_small_and_empty(spark):
     assert exact_percentile(_frame(spark, [None]), "x", 0.5) is None
     assert exact_percentile(_frame(spark, [3.0]), "x", 0.9) == 3.0
     assert exact_percentile(_frame(spark, [1.0, 2.0]), "x", 0.9) == pytest.approx(1.9)
+
+
+def test_narrows_a_million_distinct_values(spark):
+    df = spark.range(1_000_000).select(((spark_col("id") * 7919) % 1_000_003).cast("double").alias("x"))
+    values = np.array([(i * 7919) % 1_000_003 for i in range(1_000_000)], float)
+    assert exact_percentile(df, "x", 0.9, few=2000) == pytest.approx(np.percentile(values, 90), rel=1e-12)

@@ -3,23 +3,24 @@
 import pytest
 from pyspark.sql import functions as F
 
+from churnlens.functions.names import snake_name
 from churnlens.functions.columns import confidence_level, risk_category, tenure_category
 from churnlens.operators import onehot, profile
 from churnlens.plans import dashboard as dash
 from churnlens.sources import ingest
 
 
-def test_snake_case():
-    got = [ingest.snake_case(c) for c in ingest.RAW_CUSTOMER_HEADER]
+def test_header_names():
+    got = [snake_name(c) for c in ingest.RAW_CUSTOMER_HEADER]
     assert got == [c for c in ingest.CUSTOMER_COLUMNS if c != "mobile_number"]
-    # the double-underscore cleanup runs before spaces become underscores
-    assert ingest.snake_case("Monthly Charges (USD)") == "monthly__charges__u_s_d"
 
 
-def test_value_names():
-    assert onehot.sanitise_value("Bank transfer (automatic)") == "bank_transfer_automatic"
-    assert onehot.sanitise_value("Month-to-month") == "month_to_month"
-    assert onehot.final_name("payment_method_Credit (x)") == "payment_method_credit_x"
+@pytest.mark.parametrize("text,name", [
+    ("Monthly Charges (USD)", "monthly_charges_usd"), ("Bank transfer (automatic)", "bank_transfer_automatic"),
+    ("Month-to-month", "month_to_month"), ("payment_method_Credit (x)", "payment_method_credit_x"), ("DSL", "dsl"),
+    ("DSLLine", "dsl_line"), (0, "0"), ("__a  b__", "a_b"), ("TVShow2", "tv_show2"), ("", "")])
+def test_names(text, name):
+    assert snake_name(text) == name
 
 
 def test_onehot(spark):
@@ -113,3 +114,78 @@ def test_feature_table_lifecycle(spark, tmp_path):
     assert ft.key_violations(dup, ["customer_id"]).count() == 1
     ft.drop_table(spark, name)
     assert not spark.catalog.tableExists(name)
+
+
+def test_csv_keeps_every_array_element(spark, tmp_path):
+    df = spark.createDataFrame([("a", [0.1, 0.2, 0.7]), ("b", None)], "id string, p array<double>")
+    ingest.write_csv(df, str(tmp_path / "flat"), {"p": 3})
+    flat = sorted(spark.read.option("header", True).csv(str(tmp_path / "flat")).collect())
+    assert [tuple(r) for r in flat] == [("a", "0.1", "0.2", "0.7"), ("b", None, None, None)]
+    ingest.write_csv(df, str(tmp_path / "json"))
+    assert "[0.1,0.2,0.7]" in {r.p for r in spark.read.options(header=True, escape="\\").csv(str(tmp_path / "json")).collect()}
+    with pytest.raises(Exception, match="has not 2 elements"):
+        ingest.write_csv(df, str(tmp_path / "bad"), {"p": 2})
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_call_times_are_utc_in_any_zone(spark, zone):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([("2024-01-01T12:00:00Z",), ("2024-01-01T12:00:00+02:00",), ("2024-01-01 12:00:00",),
+                                    ("2024-01-01",), ("no time",), (None,)], "datatime string")
+        got = [str(r.t) for r in ingest.silver_call_log(df).select(F.col("datatime").cast("string").alias("t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == ["2024-01-01 12:00:00", "2024-01-01 10:00:00", "2024-01-01 12:00:00", "2024-01-01 00:00:00", "None", "None"]
+
+
+def test_feature_table_writes_by_name_and_checks_keys(spark, tmp_path):
+    from churnlens.sources import feature_table as ft
+    name = "churnlens_test_features"
+    ft.drop_table(spark, name)
+    make = lambda rows, cols: spark.createDataFrame(rows, cols)
+    ft.create_table(spark, name, make([("a", 1.0, 2.0)], "customer_id string, x double, y double"), ["customer_id"], "d", str(tmp_path / "t"))
+    ft.write_table(spark, name, make([("b", 2.0, 1.0)], "customer_id string, y double, x double"))
+    assert [tuple(r) for r in ft.read_table(spark, name).collect()] == [("b", 1.0, 2.0)]
+    for bad in (make([("b", 1.0, 1.0), ("b", 2.0, 2.0)], "customer_id string, x double, y double"),
+                make([(None, 1.0, 1.0)], "customer_id string, x double, y double"),
+                make([("b", 1.0)], "customer_id string, x double")):
+        with pytest.raises(ValueError):
+            ft.write_table(spark, name, bad)
+    ft.drop_table(spark, name)
+
+
+def test_id_like_column_is_refused_before_it_is_collected(spark):
+    df = spark.range(5000).select(F.col("id").cast("string").alias("contract"), F.lit("a").alias("gender"))
+    with pytest.raises(ValueError, match="contract"):
+        onehot.collect_vocabulary(df)
+    assert onehot.collect_vocabulary(df, ["gender"]) == {"gender": ["a"]}
+
+
+def test_two_folders_of_one_name_keep_apart(spark, tmp_path):
+    import __spark_entry__ as entry
+    src = "/root/testdata/sf0.001"
+    out = []
+    for k in (0, 1):
+        folder = tmp_path / str(k) / "sf"
+        folder.mkdir(parents=True)
+        for t in ("customer", "orders"):
+            df = spark.read.parquet(f"{src}/{t}.parquet")
+            (df if k else df.where("c_custkey < 50" if t == "customer" else "o_custkey < 50")).write.parquet(str(folder / f"{t}.parquet"))
+        out.append([entry.queries()[q](spark, str(folder)) for q in ("csv_roundtrip", "table_roundtrip")])
+    assert [[df.count() for df in x] for x in out] == [[50, 50], [150, 150]]
+
+
+def test_three_source_files_to_layers(spark, tmp_path):
+    from churnlens.sources import fixtures as fx
+    sf = "/root/testdata/sf0.001"
+    s, calls = fx.subscribers(spark, sf), fx.call_log(spark, sf)
+    ingest.write_csv(s.drop("mobile_number"), str(tmp_path / "c"))
+    ingest.write_csv(fx.customer_mobile(spark, sf), str(tmp_path / "m"))
+    ingest.write_csv(calls, str(tmp_path / "l"))
+    bronze = ingest.bronze_tables(spark, *[str(tmp_path / x) for x in "cml"])
+    layers = ingest.layered_tables(bronze)
+    assert layers["silver_customers"].count() == s.count() and layers["silver_call_log"].count() == calls.count()
+    assert sorted(map(tuple, layers["edges"].select("dst", "src").collect()), key=str) == sorted(
+        map(tuple, fx.edges(spark, sf).select("dst", "src").collect()), key=str)

@@ -46,3 +46,12 @@ def without(docs: DataFrame, removed: DataFrame, key: str) -> DataFrame:
 def word_count(text: Column) -> Column:
     """Words: runs without ASCII white space."""
     return F.regexp_count(text, F.lit(r"[^ \t-\r]+")).cast("long")
+
+
+def pairs(batches, rows: int = 256):
+    """Values of the first two columns of Arrow batches, a few rows at a time:
+    a batch of long texts is never held as Python strings at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            part = batch.slice(at, rows)
+            yield from zip(part.column(0).to_pylist(), part.column(1).to_pylist())

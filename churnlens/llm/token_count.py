@@ -4,63 +4,75 @@ A byte-level BPE splits a text into pre-tokens and encodes each by itself, so
 a document's token count is a sparse product: frequency of each pre-token in
 the document times the pieces of that pre-token.
 
-1. Blocks of documents are cut into pre-tokens. A row is (pre-token, block,
-   documents of the block that hold it, their frequencies); the last two are
-   packed arrays, so a pre-token that is in every document costs one row per
-   block and a few bytes per document.
-2. The distinct pre-tokens are counted once each by the library.
-3. Rows and counts are joined on the pre-token, multiplied and summed per
-   block and document. Neither join side is aggregated in place, so AQE splits
-   a hot pre-token. No token id is ever kept.
-
-The rows of step 1 are written to the shared folder: both the distinct and the
-join read them, and the block of a row must mean the same in both.
+1. Blocks of documents are cut into pre-tokens. For each bucket of pre-tokens
+   (by hash), a block gives one packed row: the pre-tokens, the documents of
+   the block that hold them and their frequencies, a few bytes for each.
+2. The one shuffle brings a bucket's rows together. They pass one at a time; a
+   bucket's distinct pre-tokens are counted by the library when first seen,
+   once each, and met with the frequencies of each block there. No token id is
+   kept.
+3. Products are summed per block and document within each task, then per block.
+
+A pre-token in most documents (a space and a frequent word) has few bytes per
+document, but its bucket would grow with the corpus. So pre-tokens in over 1 /
+``COMMON`` of a block's documents, of which there are at most ``COMMON`` times
+the pre-tokens of a mean document, go to a bucket chosen by the block; each
+bucket counts those it meets once.
 """
 
 from __future__ import annotations
 
+import json
 import re
+import struct
 from collections import defaultdict
 from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from churnlens.llm.common import written
+from churnlens.llm.common import pairs
 
 #: Documents and characters after which a block is closed.
-BLOCK_DOCS, BLOCK_CHARS = 4096, 8_000_000
+BLOCK_DOCS, BLOCK_CHARS = 16384, 4_000_000
+COMMON = 4
 #: The pattern of byte-level BPE (fixed value, as the library applies it).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Above this, the character classes of ``regex`` and of the library can come
 #: from different Unicode versions; such texts are cut by the library itself.
-BEYOND = re.compile("[԰-\U0010ffff]")
+BEYOND = re.compile("[\u0530-\U0010ffff]")
+#: Texts of these characters only are cut by ``re``, where its classes agree.
+PLAIN = re.compile("[\t-\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]*")
+PLAIN_PATTERN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 
 
 def _tokenizer(path: str):
+    import os
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
     return Tokenizer.from_file(path)
 
 
 def pre_tokenizer(path: str):
     """text -> (list of pre-tokens, number of special tokens in the text)."""
-    import json
-
     import regex
-    tok = _tokenizer(path)
+    tok = None  # loaded by the first text that needs it
     with open(path, encoding="utf-8") as f:
         special = [a["content"] for a in json.load(f)["added_tokens"]]
     cut = re.compile("|".join(re.escape(s) for s in sorted(special, key=len, reverse=True))) if special else None
-    find = regex.compile(PATTERN).findall
+    find, plain = regex.compile(PATTERN).findall, PLAIN_PATTERN.findall
 
     def by_library(s: str) -> list[str]:
+        nonlocal tok
+        tok = tok or _tokenizer(path)
         return [s[a:b] for _, (a, b) in tok.pre_tokenizer.pre_tokenize_str(s)]
 
     def run(text: str) -> tuple[list[str], int]:
-        of = by_library if BEYOND.search(text) else find
+        of = plain if PLAIN.fullmatch(text) else by_library if BEYOND.search(text) else find
         if cut is None or not cut.search(text):
             return of(text), 0
         parts = cut.split(text)
@@ -79,49 +91,71 @@ def _unpack(data: bytes, n: int) -> np.ndarray:
     return np.frombuffer(data, f"<u{len(data) // n}")
 
 
-_ROWS = StructType([
-    StructField("pre", StringType()), StructField("block", StringType()), StructField("n", LongType()),
-    StructField("docs", BinaryType()), StructField("freq", BinaryType())])
-_ROWS_ARROW = pa.schema([("pre", pa.string()), ("block", pa.string()), ("n", pa.int64()),
-                         ("docs", pa.binary()), ("freq", pa.binary())])
-
-
-def _block_rows(ids: list, sizes: list[int], texts: list[str], run) -> pa.RecordBatch:
-    """Rows of one block. A header row with a null pre-token holds the
-    documents' ids, sizes in bytes and special tokens, as JSON."""
-    import hashlib
-    import json
+def _block_rows(ids: list, sizes: list[int], texts: list[str], run, buckets: int):
+    """(bucket, block, packed row) of one block; a row with bucket -1 holds the
+    documents' ids, sizes in bytes and special tokens."""
     vocab: dict[str, int] = defaultdict(count().__next__)
-    keys, special = [], []
-    for k, t in enumerate(texts):
-        toks, more = run(t)
+    tok, freq, doc, special, name = [], [], [], [], xxhash.xxh3_128()
+    for k, text in enumerate(texts):
+        got, more = run(text)
         special.append(more)
-        if toks:
-            got = np.fromiter(map(vocab.__getitem__, toks), np.int64, len(toks))
-            keys.append(np.unique(got, return_counts=True) + (k,))
-    head = json.dumps([ids, sizes, special])
-    name = hashlib.blake2b(head.encode(), digest_size=12)
-    for t in texts:
-        name.update(t.encode())
+        name.update(text.encode())
+        if got:
+            t, f = np.unique(np.fromiter(map(vocab.__getitem__, got), np.int64, len(got)), return_counts=True)
+            tok.append(t)
+            freq.append(f)
+            doc.append(np.full(len(t), k, np.int32))
+    head = json.dumps([ids, sizes, special]).encode()
+    name.update(head)
     block = name.hexdigest()
-    pre, n, docs, freq = [None], [len(ids)], [head.encode()], [b""]
-    if keys:
-        tok = np.concatenate([a for a, _, _ in keys])
-        f = np.concatenate([b for _, b, _ in keys])
-        d = np.concatenate([np.full(len(a), k, np.int64) for a, _, k in keys])
-        order = np.argsort(tok, kind="stable")
-        f, d = f[order], d[order]
-        ends = np.cumsum(np.bincount(tok, minlength=len(vocab)))
-        a = 0
-        names = list(vocab)
-        for i, b in enumerate(ends):
-            pre.append(names[i])
-            n.append(int(b - a))
-            docs.append(_pack(d[a:b]))
-            freq.append(_pack(f[a:b]))
-            a = b
-    return pa.record_batch([pa.array(pre, pa.string()), pa.array([block] * len(pre)), pa.array(n, pa.int64()),
-                            pa.array(docs, pa.binary()), pa.array(freq, pa.binary())], schema=_ROWS_ARROW)
+    yield -1, block, head
+    if not tok:
+        return
+    tok, freq, doc = np.concatenate(tok), np.concatenate(freq), np.concatenate(doc)
+    words = [w.encode() for w in vocab]
+    held = np.bincount(tok, minlength=len(words))
+    at = np.fromiter((xxhash.xxh3_64_intdigest(w) % buckets for w in words), np.int64, len(words))
+    at[held * COMMON > len(texts)] = xxhash.xxh3_64_intdigest(block) % buckets
+    order = np.argsort(at, kind="stable")  # of words, by bucket
+    rank = np.empty_like(order)
+    rank[order] = np.arange(len(order))
+    entries = np.argsort(rank[tok], kind="stable")
+    freq, doc, held, at = freq[entries], doc[entries], held[order], at[order]
+    ends = np.concatenate([[0], np.cumsum(held)])
+    cut = np.concatenate([[0], np.flatnonzero(at[1:] != at[:-1]) + 1, [len(at)]])
+    squeeze = zstandard.ZstdCompressor(level=1)
+    for a, b in zip(cut[:-1], cut[1:]):
+        f, d, mine = freq[ends[a]:ends[b]], doc[ends[a]:ends[b]], [words[i] for i in order[a:b]]
+        wide = 1 if f.max() < 256 else 4
+        yield int(at[a]), block, squeeze.compress(b"".join([
+            struct.pack("<IIIB", len(texts), b - a, len(f), wide),
+            np.fromiter(map(len, mine), "<u4", len(mine)).tobytes(), held[a:b].astype("<u4").tobytes(),
+            d.astype("<u2").tobytes(), f.astype(f"<u{wide}").tobytes(), *mine]))
+
+
+def _unpacked(data: bytes):
+    """Documents of the block, pre-tokens, and for each entry: number of its
+    pre-token, document, frequency."""
+    data = zstandard.ZstdDecompressor().decompress(data)
+    n, words, entries, wide = struct.unpack_from("<IIIB", data)
+    at = 13
+
+    def take(kind, k):
+        nonlocal at
+        out = np.frombuffer(data, kind, k, at)
+        at += out.nbytes
+        return out
+
+    sizes, held = take("<u4", words), take("<u4", words)
+    doc, freq = take("<u2", entries), take(f"<u{wide}", entries)
+    ends = (at + np.cumsum(sizes)).tolist()
+    return n, [data[a:b] for a, b in zip([at, *ends], ends)], np.repeat(np.arange(words), held), doc, freq
+
+
+def _packed_sums(values: np.ndarray) -> bytes:
+    at = np.flatnonzero(values)
+    return zstandard.ZstdCompressor(level=1).compress(
+        struct.pack("<I", len(at)) + at.astype("<u2").tobytes() + values[at].astype("<u8").tobytes())
 
 
 def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 1024,
@@ -134,83 +168,96 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 1024,
     special strings inside a text count as one token each, its default. Null
     texts count as empty: 0 bytes, 0 tokens. Ids may be null or repeated: each
     input row gives one output row. Texts are cut whole, however long. An empty
-    table gives an empty result; other columns are ignored.
+    table gives an empty result; other columns are ignored. Rows should come
+    in a repeatable order, as from files or a checkpoint: a block recomputed
+    after the loss of an executor must hold the same documents.
     """
     id_type = docs.schema[id_col].dataType
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    buckets = min(max(256, docs.count() // 256), 1 << 20)
+
+    def batches_of(found):
+        done, held = [], 0
+        for row in found:
+            done.append(row)
+            held += len(row[2])
+            if held > 4 << 20:
+                yield _batch(done)
+                done, held = [], 0
+        if done:
+            yield _batch(done)
+
+    def _batch(done):
+        b, k, d = zip(*done)
+        return pa.record_batch([pa.array(b, pa.int64()), pa.array(k, pa.string()), pa.array(d, pa.binary())],
+                               names=["bucket", "block", "data"])
 
     def cut(batches):
         run = pre_tokenizer(vocabulary)
-        ids, sizes, texts, held = [], [], [], 0
-        for b in batches:
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+
+        def found():
+            ids, sizes, texts, held = [], [], [], 0
+            for i, t in pairs(batches):
                 ids.append(i)
                 sizes.append(len(t.encode()))
                 texts.append(t)
                 held += len(t)
                 if len(ids) >= BLOCK_DOCS or held >= BLOCK_CHARS:
-                    yield _block_rows(ids, sizes, texts, run)
+                    yield from _block_rows(ids, sizes, texts, run, buckets)
                     ids, sizes, texts, held = [], [], [], 0
-        if ids:
-            yield _block_rows(ids, sizes, texts, run)
+            if ids:
+                yield from _block_rows(ids, sizes, texts, run, buckets)
 
-    freq = written(rows.mapInArrow(cut, _ROWS), "pre-tokens")
+        yield from batches_of(found())
 
-    def pieces(batches):
-        tok = _tokenizer(vocabulary)
-        for b in batches:
-            got = [len(e.ids) for e in tok.encode_batch(b.column(0).to_pylist(), add_special_tokens=False)]
-            yield pa.record_batch([b.column(0), pa.array(got, pa.int64())], names=["pre", "pieces"])
-
-    counts = written(freq.where("pre is not null").select("pre").distinct()
-                     .mapInArrow(pieces, "pre string, pieces long"), "pieces")
+    schema = "bucket long, block string, data binary"
 
     def multiply(batches):
-        """Partial sums per block; at most ``room`` entries are held."""
-        room, held, sums = 4_000_000, 0, {}
-
-        def out():
-            names, n, d, v = [], [], [], []
-            for block, parts in sums.items():
-                at = np.concatenate([p[0] for p in parts])
-                got = np.bincount(at, np.concatenate([p[1] for p in parts])).astype(np.int64)
-                at = np.flatnonzero(got)
-                names.append(block)
-                n.append(len(at))
-                d.append(_pack(at))
-                v.append(_pack(got[at]))
-            return pa.record_batch([pa.array(names, pa.string()), pa.array(n, pa.int64()),
-                                    pa.array(d, pa.binary()), pa.array(v, pa.binary())],
-                                   names=["block", "n", "docs", "freq"])
-
-        for b in batches:
-            for block, n, d, f, p in zip(*(b.column(i).to_pylist() for i in range(5))):
-                sums.setdefault(block, []).append((_unpack(d, n), _unpack(f, n).astype(np.int64) * p))
-                held += n
-            if held >= room:
-                yield out()
-                held, sums = 0, {}
-        if sums:
-            yield out()
-
-    parts = (freq.where("pre is not null").join(counts, "pre").select("block", "n", "docs", "freq", "pieces")
-             .mapInArrow(multiply, "block string, n long, docs binary, freq binary"))
-    heads = freq.where("pre is null").select("block", F.lit(-1).cast("long").alias("n"), "docs", "freq")
+        """Sums per block; the documents' rows pass unchanged."""
+        tok = _tokenizer(vocabulary)
+
+        def found():
+            pieces, now, sums, held = {}, None, {}, 0
+            for batch in batches:
+                for bucket, block, data in zip(*(c.to_pylist() for c in batch.columns)):
+                    if bucket < 0:
+                        yield bucket, block, data
+                        continue
+                    if bucket != now:
+                        pieces, now = {}, bucket
+                    n, words, word, doc, freq = _unpacked(data)
+                    new = [w for w in words if w not in pieces]
+                    pieces.update(zip(new, (len(e.ids) for e in tok.encode_batch_fast(
+                        [w.decode() for w in new], add_special_tokens=False))))
+                    each = np.fromiter((pieces[w] for w in words), np.int64, len(words))
+                    got = np.bincount(doc, each[word] * freq, n).astype(np.int64)
+                    if block in sums:
+                        sums[block] += got
+                    else:
+                        sums[block] = got
+                        held += n
+                        if held > 2_000_000:
+                            yield from ((0, k, _packed_sums(v)) for k, v in sums.items())
+                            sums, held = {}, 0
+            yield from ((0, k, _packed_sums(v)) for k, v in sums.items())
+
+        yield from batches_of(found())
 
     def finish(table: pa.Table) -> pa.Table:
-        import json
-        n, d, f = (table.column(c).to_pylist() for c in ("n", "docs", "freq"))
-        ids, sizes, special = json.loads(d[n.index(-1)])
-        total = np.array(special, np.int64)
-        copies = n.count(-1)  # blocks repeated row for row have the same name
-        for k, x, y in zip(n, d, f):
-            if k > 0:
-                np.add.at(total, _unpack(x, k), _unpack(y, k).astype(np.int64))
-        if copies > 1:
-            total = (total + (copies - 1) * np.array(special, np.int64)) // copies
+        kind, data = table.column("bucket").to_pylist(), table.column("data").to_pylist()
+        ids, sizes, special = json.loads(data[kind.index(-1)])
+        total, copies = np.zeros(len(ids), np.int64), kind.count(-1)
+        for k, d in zip(kind, data):
+            if k == 0:
+                d = zstandard.ZstdDecompressor().decompress(d)
+                n = struct.unpack_from("<I", d)[0]
+                total[np.frombuffer(d, "<u2", n, 4)] += np.frombuffer(d, "<u8", n, 4 + 2 * n).astype(np.int64)
+        total = total // copies + np.array(special)  # blocks that are equal throughout share a name
         return pa.table([pa.array(ids * copies, pa.string()), pa.array(sizes * copies, pa.int64()),
                          pa.array(total.tolist() * copies, pa.int64())], names=["id", "n_bytes", "n_tokens"])
 
-    done = parts.unionByName(heads).groupBy("block").applyInArrow(finish, "id string, n_bytes long, n_tokens long")
+    parts = (rows.mapInArrow(cut, schema).repartition("bucket", F.when(F.col("bucket") < 0, F.col("block")))
+             .sortWithinPartitions("bucket").mapInArrow(multiply, schema))
+    done = parts.groupBy("block").applyInArrow(finish, "id string, n_bytes long, n_tokens long")
     return done.select(F.col("id").cast(id_type).alias(id_col), "n_bytes", "n_tokens",
                        (F.col("n_tokens") > limit).alias("over_limit"))

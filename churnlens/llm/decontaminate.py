@@ -1,24 +1,27 @@
 """Benchmark decontamination: BM25 over an inverted index of test items,
 pruned by block maxima, with overlap checks on question and answer.
 
-Index. Items are ordered by length and cut into blocks of ``BLOCK``. For each
-term the index holds its BM25 weight in each item, and per block the largest of
-them. Document frequencies are counted over all items. At most about
+Index. Items of similar length (a factor of 4) share an index; in it, items
+with the same frequent terms lie next to each other, in blocks of ``BLOCK``.
+For each term an index holds its BM25 weight in each item, and per block the
+largest of them. Document frequencies are counted over all items. At most about
 ``PASS_ITEMS`` items and ``PASS_BYTES`` of text are searched in one pass over
 the corpus; a larger benchmark takes more passes, so what is broadcast is
 bounded.
 
-Queries. A document's passages for a block are windows of twice the block's
-longest item, one such length apart, so any run of an item lies whole in one
-of them. The pruning rule is that of block-max WAND: a passage whose summed
-block maxima stay under the block's lowest threshold can't hold a hit and is
-skipped; the sums of all windows come from one cumulative sum, in place of
-cursors. Others are scored exactly, and every item at or above ``share`` of the
-score that its own text gets is retrieved: no top-k.
+Queries. A document's passages are windows of twice an index's longest item,
+one such length apart, so any run of an item lies whole in one of them. The
+pruning rule is that of block-max WAND: where the block maxima of a passage's
+distinct terms sum to less than the block's lowest threshold, the block holds
+no hit and is skipped. The sums of all passages and blocks of a batch are made
+at once, in place of cursors. The other blocks are scored exactly, and every
+item at or above ``share`` of the score that its own text gets is retrieved: no
+top-k.
 
 Checks. An item's question is its text up to its last sentence, its answer that
 sentence (a text of one sentence is halved). A hit stands when the passage
-holds ``overlap`` of the distinct three-word runs of both.
+holds ``overlap`` of the distinct three-word runs of both; a part of fewer
+words must be there as a whole.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,16 +44,6 @@ _PUNCTUATION = re.compile(r"[\W_]+")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
-class _Terms(dict):
-    """raw word -> its lower-case letters and digits; bounded."""
-
-    def __missing__(self, raw: str) -> str:
-        if len(self) >= 1_000_000:
-            self.clear()
-        self[raw] = w = _PUNCTUATION.sub("", raw)
-        return w
-
-
 def words(text: str) -> list[str]:
     return [w for w in (_PUNCTUATION.sub("", x) for x in text.lower().split()) if w]
 
@@ -63,62 +57,103 @@ def question_and_answer(text: str) -> tuple[list[str], list[str]]:
     return all_words[:half], all_words[half:] or all_words[:half]
 
 
-def runs(ws: list[str]) -> set[tuple]:
-    return {tuple(ws[i:i + 3]) for i in range(max(1, len(ws) - 2))}
+def runs(ws: list[str], n: int = 3) -> set[tuple]:
+    """Distinct runs of n words; of all words where they are fewer."""
+    return {tuple(ws[i:i + n]) for i in range(max(1, len(ws) - n + 1))}
+
+
+def overlap_of(part: set[tuple], ws: list[str], known: dict[int, set]) -> float:
+    """Share of the runs of ``part`` that the words hold."""
+    n = len(next(iter(part)))
+    if n not in known:
+        known[n] = runs(ws, n)
+    return len(part & known[n]) / len(part)
 
 
 class Index:
-    """Inverted index of one pass. ``df``: term -> items of the whole
-    benchmark that hold it."""
+    """Inverted index of items of similar length. ``df``: term -> items of the
+    whole benchmark that hold it."""
 
     def __init__(self, items: list[tuple[int, str]], df: dict[str, int], n: int, mean: float, share: float):
-        split = sorted(((len(w), i, w, t) for i, t in items if (w := words(t))), key=lambda x: x[:2])
-        self.items = [(i, *map(runs, question_and_answer(t))) for _, i, _, t in split]
-        self.term = {t: k for k, t in enumerate(sorted({x for _, _, w, _ in split for x in w}))}
-        self.weight = np.zeros((len(self.term) + 1, len(split)))  # the last row: terms of no item
-        for col, (size, _, w, _) in enumerate(split):
+        split = [(sorted(set(w), key=lambda t: (-df[t], t))[:4], len(w), i, w, t) for i, t in items if (w := words(t))]
+        split.sort(key=lambda x: x[:3])
+        self.items = [(i, *map(runs, question_and_answer(t))) for _, _, i, _, t in split]
+        self.longest = max(x[1] for x in split)
+        self.term = {t: k for k, t in enumerate(sorted({x for r in split for x in r[3]}))}
+        self.weight = np.zeros((len(self.term), len(split)))
+        for col, (_, size, _, w, _) in enumerate(split):
             for t, tf in Counter(w).items():
                 idf = math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5))
                 self.weight[self.term[t], col] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size / mean))
         self.needed = share * self.weight.sum(axis=0)
-        cuts = list(range(0, len(split), BLOCK))
-        self.blocks = [(a, min(a + BLOCK, len(split)), split[min(a + BLOCK, len(split)) - 1][0]) for a in cuts]
-        self.block_max = np.stack([self.weight[:, a:b].max(axis=1) for a, b, _ in self.blocks], axis=1)
-        self.lowest = np.array([self.needed[a:b].min() for a, b, _ in self.blocks])
-
-    def passages(self, ids: np.ndarray):
-        """(block, first word, words) of the passages that may hold a hit."""
-        total = np.zeros((len(ids) + 1, len(self.blocks)))
-        np.cumsum(self.block_max[ids], axis=0, out=total[1:])
-        for k in np.flatnonzero(total[-1] >= self.lowest - 1e-9):
-            step = self.blocks[k][2]
-            a = np.arange(0, max(1, len(ids) - step), step)
-            b = np.minimum(a + 2 * step, len(ids))
-            for x in np.flatnonzero(total[b, k] - total[a, k] >= self.lowest[k] - 1e-9):
-                yield k, int(a[x]), int(b[x])
-
-    def hits(self, ws: list[str], ids: np.ndarray, overlap: float) -> dict[int, tuple]:
-        """item -> (score, question overlap, answer overlap, first word) of the
-        best standing passage."""
-        best: dict[int, tuple] = {}
-        for k, a, b in self.passages(ids):
-            low, high, _ = self.blocks[k]
-            score = self.weight[np.unique(ids[a:b]), low:high].sum(axis=0)
-            found = np.flatnonzero(score >= self.needed[low:high] - 1e-9)
-            if not len(found):
+        self.blocks = [(a, min(a + BLOCK, len(split))) for a in range(0, len(split), BLOCK)]
+        self.block_max = np.stack([self.weight[:, a:b].max(axis=1) for a, b in self.blocks], axis=1).astype(np.float32)
+        # single precision is right to 1e-7 of each sum
+        self.lowest = np.array([self.needed[a:b].min() * (1 - 1e-4) for a, b in self.blocks], np.float32)
+
+    def windows(self, size: int) -> int:
+        """Passages of a document of so many words."""
+        return max(1, -(-size // self.longest) - 1)
+
+    def candidates(self, ids: list[np.ndarray]):
+        """(document, first word, column, score) of the passages and items at or
+        above the item's threshold; ``ids``: each document's terms, -1 outside
+        the index."""
+        step, width = self.longest, len(self.term)
+        count = np.array([self.windows(len(x)) for x in ids])
+        first = np.concatenate([[0], np.cumsum(count)[:-1]])
+        doc = np.repeat(np.arange(len(ids)), [len(x) for x in ids])
+        at = np.concatenate([np.arange(len(x)) for x in ids]) // step
+        term = np.concatenate(ids)
+        known = term >= 0
+        doc, at, term = doc[known], at[known], term[known]
+        keys = []
+        for k in (at, at - 1):
+            inside = (k >= 0) & (k < count[doc])
+            keys.append((first[doc[inside]] + k[inside]) * width + term[inside])
+        key = np.sort(np.concatenate(keys))
+        if not len(key):
+            return
+        key = key[np.concatenate([[True], key[1:] != key[:-1]])]
+        window, term = key // width, key % width
+        start = np.flatnonzero(np.concatenate([[True], window[1:] != window[:-1]]))
+        bound = np.add.reduceat(self.block_max[term], start, axis=0) >= self.lowest
+        size = np.diff(np.append(start, len(term)))
+        found = []
+        for k, (low, high) in enumerate(self.blocks):
+            i = np.flatnonzero(bound[:, k])
+            if not len(i):
                 continue
-            have = runs(ws[a:b])
-            for col in found:
-                item, q, r = self.items[low + col]
-                qo, ro = len(q & have) / len(q), len(r & have) / len(r)
-                if qo >= overlap and ro >= overlap:
-                    got = (round(float(score[col]), 6), qo, ro, a)
-                    if item not in best or (got[0], -a) > (best[item][0], -best[item][3]):
-                        best[item] = got
+            ahead = np.concatenate([[0], np.cumsum(size[i])])
+            rows = np.repeat(start[i] - ahead[:-1], size[i]) + np.arange(ahead[-1])
+            score = np.add.reduceat(self.weight[:, low:high][term[rows]], ahead[:-1], axis=0)
+            x, y = np.nonzero(score >= self.needed[low:high] - 1e-9)
+            found += zip(window[start[i[x]]].tolist(), (low + y).tolist(), score[x, y].tolist())
+        for w, col, score in sorted(found):
+            d = int(np.searchsorted(first, w, "right")) - 1
+            yield d, int(w - first[d]) * step, col, score
+
+    def hits(self, texts: list[str], ids: list[np.ndarray], overlap: float) -> list[dict[int, tuple]]:
+        """For each document: item -> (score, question overlap, answer overlap,
+        first word) of the best standing passage."""
+        best: list[dict[int, tuple]] = [{} for _ in texts]
+        held, known = (None, 0), {}
+        for d, a, col, score in self.candidates(ids):
+            if held[0] != d:
+                all_words = words(texts[d])
+            if held != (d, a):
+                held, known, part = (d, a), {}, all_words[a:a + 2 * self.longest]
+            item, q, r = self.items[col]
+            qo, ro = (overlap_of(x, part, known) for x in (q, r))
+            if qo >= overlap and ro >= overlap:
+                got = (round(score, 6), qo, ro, a)
+                old = best[d].get(item)
+                if not old or (got[0], -a) > (old[0], -old[3]):
+                    best[d][item] = got
         return best
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.5, overlap: float = 0.6,
+def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.6, overlap: float = 0.6,
                  id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
     """id, item_id, score, question_overlap, answer_overlap and first_word, a
     row for each document and item that stand; clean documents give none.
@@ -138,10 +173,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.5, over
         def run(batches, index=index):
             at, names = index.value
             search = Search(at, overlap)
-            for batch in batches:
+            for batch in parts(batches):
                 out = [[] for _ in range(6)]
-                for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    for item, got in sorted(search(text).items()):
+                for i, found in zip(batch.column(0).to_pylist(), search(batch.column(1).to_pylist())):
+                    for item, got in sorted(found.items()):
                         for c, v in zip(out, (i, names[item], *got)):
                             c.append(v)
                 yield pa.record_batch([pa.array(out[0], batch.schema.field(0).type), pa.array(out[1], kind)]
@@ -152,7 +187,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.5, over
     return found.withColumnsRenamed({"id": id_col, "item": item_col})
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, share: float = 0.5, overlap: float = 0.6,
+def clean(docs: DataFrame, benchmark: DataFrame, share: float = 0.6, overlap: float = 0.6,
           text_col: str = "text", item_col: str = "item_id") -> DataFrame:
     """The rows of ``docs`` in which no item stands, by the rules of
     ``contaminated``; rows without id are judged like others."""
@@ -161,29 +196,54 @@ def clean(docs: DataFrame, benchmark: DataFrame, share: float = 0.5, overlap: fl
         @F.pandas_udf("boolean")
         def holds_none(texts, index=index):
             search = Search(index.value[0], overlap)
-            return texts.map(lambda t: not search(t))
+            return pd.Series([not x for k in range(0, len(texts), 128) for x in search(list(texts[k:k + 128]))])
 
         docs = docs.where(holds_none(F.coalesce(F.col(text_col), F.lit(""))))
     return docs
 
 
-class Search:
-    """text -> hits in one pass's index."""
+class Search(dict):
+    """A batch of texts -> hits of each in a pass's indexes. As a dict: raw word
+    -> its number, which ``terms`` maps to the term of each index; emptied when
+    it holds a million words."""
 
-    def __init__(self, index: Index, overlap: float):
-        self.index, self.overlap, self.clean = index, overlap, _Terms()
+    def __init__(self, indexes: list[Index], overlap: float):
+        super().__init__()
+        self.indexes, self.overlap = indexes, overlap
+        self.number = {w: k for k, w in enumerate(sorted({w for x in indexes for w in x.term}))}
+        names = list(self.number)
+        # the last two: words outside all indexes, and words without letters or digits
+        self.terms = [np.array([x.term.get(w, -1) for w in names] + [-1, -1]) for x in indexes]
 
-    def __call__(self, text: str) -> dict[int, tuple]:
-        term = self.index.term
-        ws = [w for w in map(self.clean.__getitem__, text.lower().split()) if w]
-        if not ws:
-            return {}
-        none = len(term)
-        return self.index.hits(ws, np.fromiter((term.get(w, none) for w in ws), np.int64, len(ws)), self.overlap)
+    def __missing__(self, raw: str) -> int:
+        if len(self) >= 1_000_000:
+            self.clear()
+        w = raw if raw.isalnum() else _PUNCTUATION.sub("", raw)
+        self[raw] = k = self.number.get(w, len(self.number)) if w else len(self.number) + 1
+        return k
+
+    def __call__(self, texts: list[str]) -> list[dict[int, tuple]]:
+        numbers = []
+        for t in texts:
+            raw = t.lower().split()
+            n = np.fromiter(map(self.__getitem__, raw), np.int64, len(raw))
+            numbers.append(n[n <= len(self.number)])
+        out: list[dict[int, tuple]] = [{} for _ in texts]
+        for index, terms in zip(self.indexes, self.terms):
+            for found, more in zip(out, index.hits(texts, [terms[n] for n in numbers], self.overlap)):
+                found.update(more)
+        return out
+
+
+def parts(batches, rows: int = 128):
+    """Arrow batches of a few rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def indexes(benchmark: DataFrame, share: float, text_col: str, item_col: str):
-    """A broadcast (Index, item ids) for each pass; an item's number in the
+    """A broadcast (indexes, item ids) for each pass; an item's number in the
     index is its place in the list, as ids may repeat."""
     spark = benchmark.sparkSession
     items = written(benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("text")).where("text is not null"), "items")
@@ -204,5 +264,9 @@ def indexes(benchmark: DataFrame, share: float, text_col: str, item_col: str):
         used = mine.select(F.explode(F.array_distinct(terms("text"))).alias("t")).distinct()
         df = dict(map(tuple, frequency.join(used, "t", "left_semi").collect()))
         if df:
-            yield spark.sparkContext.broadcast((Index([(i, r["text"]) for i, r in enumerate(some)], df, n, mean, share),
+            classes: dict[int, list] = {}
+            for i, r in enumerate(some):
+                if size := len(words(r["text"])):
+                    classes.setdefault(max(2, (size - 1).bit_length() // 2), []).append((i, r["text"]))
+            yield spark.sparkContext.broadcast(([Index(x, df, n, mean, share) for _, x in sorted(classes.items())],
                                                 [r["item"] for r in some]))

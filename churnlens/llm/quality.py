@@ -9,8 +9,8 @@ shouting are n-grams that unseen words share. A coordinate's value is
 Training uses a bounded sample of the labelled rows (``max_rows``, smallest
 hashes of the id first). Its feature rows are dealt to ``shards`` tasks; in
 each of ``rounds`` rounds every task runs follow-the-regularised-leader updates
-over its rows from the common state, and the states are averaged per
-coordinate. The state is 2 ** bits pairs, whatever the input. Scoring maps all
+from the common state, ``epochs`` times over its rows, and the states are
+averaged per coordinate. The state is 2 ** bits pairs, whatever the input. Scoring maps all
 documents, whole texts, to sparse dot products.
 """
 
@@ -84,7 +84,7 @@ def weights(z, n, alpha: float, beta: float, l1: float, l2: float) -> np.ndarray
     return np.where(np.abs(z) <= l1, 0.0, w)
 
 
-def train(labelled: DataFrame, max_rows: int = 12_000, shards: int = 4, rounds: int = 20, bits: int = 18,
+def train(labelled: DataFrame, max_rows: int = 12_000, shards: int = 4, rounds: int = 4, epochs: int = 5, bits: int = 18,
           alpha: float = 5.0, beta: float = 1.0, l1: float = 0.05, l2: float = 0.0) -> np.ndarray:
     """Weights (the last is the intercept) from the columns id, text and label.
 
@@ -116,18 +116,18 @@ def train(labelled: DataFrame, max_rows: int = 12_000, shards: int = 4, rounds:
         state = spark.sparkContext.broadcast((z, sq))
 
         def fit(table: pa.Table) -> pa.Table:
-            order = np.argsort(table.column("h").to_numpy() * (2 * k + 1), kind="stable")
-            table = table.take(pa.array(order))
-            data = ((y, np.frombuffer(a, "<i4"), np.frombuffer(x, "<f4").astype(float)) for y, a, x in
-                    zip(*(table.column(c).to_pylist() for c in ("y", "at", "x"))))
+            data = sorted(((h, y, np.frombuffer(a, "<i4"), np.frombuffer(x, "<f4").astype(float)) for h, y, a, x in
+                          zip(*(table.column(c).to_pylist() for c in ("h", "y", "at", "x")))), key=lambda r: r[:2])
             mine = [v.copy() for v in state.value]
-            ftrl(data, *mine, alpha, beta, l1, l2)
+            for turn in range(epochs):
+                rng = np.random.default_rng(k * epochs + turn)
+                ftrl((data[i][1:] for i in rng.permutation(len(data))), *mine, alpha, beta, l1, l2)
             return pa.table({"z": [mine[0].tobytes()], "n": [mine[1].tobytes()]})
 
         got = rows.groupBy("shard").applyInArrow(fit, "z binary, n binary").collect()  # one state per shard
         if got:
             z, sq = (np.mean([np.frombuffer(r[c]) for r in got], axis=0) for c in ("z", "n"))
-        state.unpersist()
+        state.destroy()
     w = weights(z, sq, alpha, beta, l1, l2)
     w[-1] = -z[-1] * alpha / (beta + np.sqrt(sq[-1]))
     return w

@@ -9,10 +9,11 @@
 4. The ranked templates are confirmed by exact wording: the words of the
    template are aligned to the block (edits anywhere, block ends free), and the
    differences counted. A template stands with differences in at most ``slack``
-   of its words; of standing templates that overlap, the one with the larger
-   share of equal words, then the longer, wins.
+   of its words; of standing templates that overlap, the one with more equal
+   words wins.
 
-Every template that reduces the block at all is checked, in rank order.
+All templates are checked, in rank order: a short template may save nothing in
+a long block.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ TEMPLATES = {
     "all-rights-reserved": "All rights reserved.",
     "public-domain": "This work is dedicated to the public domain.",
 }
-KEYWORDS = r"(?i)licen[sc]e|rights\s+reserved|permission\s+is|free\s+software|redistribution|public\s+domain"
+KEYWORDS = r"(?i)licen[sc]e|reserved|granted|redistribut|dedicated"
 _KEY = re.compile(KEYWORDS)
 _WORD = re.compile(r"[^\W_]+")
 
@@ -109,7 +110,7 @@ class Scanner:
         data = block.lower().encode()
         alone = len(self.plain.compress(data))
         saved = [(alone - len(c.compress(data))) / s for c, s in zip(self.given, self.size)]
-        return sorted(((s, i) for i, s in enumerate(saved) if s > 0), key=lambda x: (-x[0], x[1]))
+        return sorted(((s, i) for i, s in enumerate(saved)), key=lambda x: (-x[0], x[1]))
 
     def scan(self, text: str) -> list[dict]:
         """Standing templates: license, start, end (code points), differences,
@@ -125,9 +126,9 @@ class Scanner:
                 for d, x, y in align(t, ws):
                     if d > self.slack * len(t):
                         break
-                    hits.append((d / len(t), -len(t), x, y, i, d, saved, rank))
+                    hits.append((d - len(t), d, x, y, i, saved, rank))
             taken: list[tuple[int, int]] = []
-            for _, _, x, y, i, d, saved, rank in sorted(hits):
+            for _, d, x, y, i, saved, rank in sorted(hits):
                 if all(y <= p or x >= q for p, q in taken):
                     taken.append((x, y))
                     found.append({"license": self.names[i], "start": a + at[x][0], "end": a + at[y - 1][1],

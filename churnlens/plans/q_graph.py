@@ -360,7 +360,7 @@ _DIST_AGG = ("(SELECT count(*) AS n FROM NV) n, (SELECT count(*) AS pairs, coale
     _DIST_CTES))
 def q_diameter(spark, sf_dir):
     """Diameter of the undirected graph; null when it is not connected."""
-    return _distance_summary(spark, sf_dir).select("diameter")
+    return spark.createDataFrame([(paths.diameter(fx.edges(spark, sf_dir)),)], "diameter int")
 
 
 @register("avg_path_length", _gsql(

@@ -74,3 +74,34 @@ def test_tolerance_ends_the_rounds(spark, star):
     assert all(a[i] == pytest.approx(b[i], abs=1e-3) for i in a)
 
 
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_diameter_by_bounds(spark, seed):
+    from churnlens.operators import paths
+    rng = random.Random(seed)
+    n = 24
+    edges = {(f"v{i:03d}", f"v{max(0, i - 1 - rng.randrange(1 + 3 * seed)):03d}") for i in range(1, n)}
+    near = {}
+    for s, d in edges:
+        near.setdefault(s, set()).add(d)
+        near.setdefault(d, set()).add(s)
+
+    def far(s):
+        seen, level, d = {s}, {s}, 0
+        while level := {y for x in level for y in near[x]} - seen:
+            seen |= level
+            d += 1
+        return d
+
+    e = spark.createDataFrame(sorted(edges), "src string, dst string").select("dst", "src")
+    assert paths.diameter(e, sources=4) == max(map(far, near))
+
+
+def test_diameter_of_other_graphs(spark):
+    from churnlens.operators import paths
+    make = lambda rows: spark.createDataFrame(rows, "src string, dst string").select("dst", "src")
+    assert paths.diameter(make([("a", "b"), ("c", "d")])) is None
+    assert paths.diameter(make([(None, "b")])) is None
+    assert paths.diameter(make([("a", "a")])) == 0
+    assert paths.diameter(make([("a", "b"), ("b", "a")])) == 1

@@ -20,6 +20,7 @@ HEADLINE = [
     "call_edges", "degree_ratios", "onehot_features", "kpi_summary", "tenure_risk",
     "triangle_count", "avg_clustering_directed", "neighbour_averages", "pagerank",
     "label_propagation", "connected_components", "graph_features", "pagerank_normalised",
+    "combined_features", "diameter",
 ]
 
 

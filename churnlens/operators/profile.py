@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -75,12 +77,18 @@ def numeric_histogram(df: DataFrame, x: str, color: str, bin_width: float = 6.0)
 
 
 def bootstrap_sample(df: DataFrame, n: int = 10000, seed: int = 123) -> DataFrame:
-    """Sample with replacement of about ``n`` rows (Poisson per row).
+    """Exactly ``n`` rows drawn with replacement (none from an empty table).
 
-    Spark samples by fraction, so the size is ``n`` in expectation; the
-    fraction uses the row count (one small job).
+    Each row is drawn a Poisson number of times, at a rate that gives a few
+    more than ``n`` rows, and ``n`` of those are kept at random, which is the
+    law of ``n`` independent draws. Too small a total is drawn again.
     """
     total = df.count()
     if total == 0:
         return df
-    return df.sample(withReplacement=True, fraction=n / total, seed=seed)
+    more = n + 5 * math.sqrt(n) + 10
+    while True:
+        drawn = df.sample(withReplacement=True, fraction=more / total, seed=seed)
+        if drawn.count() >= n:
+            return drawn.withColumn("_order", F.rand(seed)).orderBy("_order").limit(n).drop("_order")
+        more, seed = more + 5 * math.sqrt(n) + 10, seed + 1

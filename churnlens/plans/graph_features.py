@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from churnlens.functions.columns import clustering_coefficient
 from churnlens.operators import community, degrees, labels, neighbours, pagerank, triangles
-from churnlens.operators.iterate import persist
+from churnlens.operators.iterate import StateLoop
 
 GRAPH_FEATURE_COLUMNS = [
     "customer_id", "degree", "in_degree", "out_degree", "in_degree_ratio",
@@ -29,9 +29,10 @@ def graph_features(customers: DataFrame, e: DataFrame, pagerank_iter: int = 10,
     and communities use edges with both ends known (decision D2).
 
     Every partial result is keyed by customer id and joined once; the edge
-    table is cached because six operators read it.
+    table is stored by a checkpoint because six operators read it, and goes
+    when the result is no longer referred to.
     """
-    e = persist(e.select("dst", "src"))
+    e = StateLoop().finish(e.select("dst", "src"))
     v = customers.select(F.col("customer_id").alias("id"), "monthly_charges",
                          "total_charges", "tenure")
     ids = v.select("id")

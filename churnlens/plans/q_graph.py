@@ -329,6 +329,57 @@ def q_node_display(spark, sf_dir):
     return rounded_fine(node_display(size, color, scheme="viridis", label_threshold=0.1), ["size_metric", "color_metric"])
 
 
+def _display_sql(metric: str, palette: list[str], percentile: float) -> str:
+    """Display table of one (id, m) metric as size and colour."""
+    return f"""
+SELECT s.id, {r11('s.m')} AS size_metric, {r11('s.m')} AS color_metric,
+  {r4("10 + 40 * (s.m - x.lo) / x.width")} AS size, {r4("(s.m - x.lo) / x.width")} AS color_value,
+  {palette}[CAST(floor((s.m - x.lo) / x.width * 3) AS INT) + 1] AS color, s.m >= x.threshold AS show_label
+FROM ({metric}) s, (SELECT min(m) AS lo, CASE WHEN max(m) = min(m) THEN 1 ELSE max(m) - min(m) END AS width,
+  quantile_cont(m, {percentile}) AS threshold FROM ({metric}) y) x"""
+
+
+_VALUE_METRIC = "SELECT d.id, (d.dc + p.pagerank) / 2 AS m FROM DCT d JOIN NP p ON p.id = d.id"
+
+
+@register("node_display_value", _gsql(
+    _display_sql(_VALUE_METRIC, ["#0D0887", "#7E03A8", "#CC4778", "#F89441"], 0.95), _NX_CTES + [("DCT", _DC_SQL)]))
+def q_node_display_value(spark, sf_dir):
+    """Customer value as size and colour, labels for the top 5 percent."""
+    from churnlens.operators.centrality import customer_value
+    from churnlens.operators.iterate import StateLoop
+    m = StateLoop().finish(customer_value(fx.edges(spark, sf_dir), NX_PAGERANK_ROUNDS))
+    out = node_display(m.withColumnRenamed("customer_value", "size_metric"), m.withColumnRenamed("customer_value", "color_metric"),
+                       scheme="plasma", label_threshold=0.05)
+    return rounded_fine(out, ["size_metric", "color_metric"])
+
+
+@register("node_display_community", _gsql(
+    _display_sql("SELECT id, CAST(label AS DOUBLE) AS m FROM LP", ["#003F5C", "#2E4A7B", "#665191", "#A05195"], 0.85)
+    .replace("s.m >= x.threshold", "k.degree >= (SELECT quantile_cont(degree, 0.85) FROM KD)")
+    .replace(f"{r11('s.m')} AS size_metric", f"{r11('k.degree')} AS size_metric")
+    .replace(r4("10 + 40 * (s.m - x.lo) / x.width"), r4(
+        "10 + 40 * (k.degree - (SELECT min(degree) FROM KD)) / (SELECT CAST(CASE WHEN max(degree) = min(degree) THEN 1 "
+        "ELSE max(degree) - min(degree) END AS DOUBLE) FROM KD)"))
+    .replace(") s, (", ") s JOIN KD k ON k.id = s.id, ("),
+    og.known("bucket_edges") + [("V", "SELECT src AS id FROM K UNION SELECT dst FROM K")] + og.degrees("K", "KD")
+    + og.label_propagation(LP_ROUNDS_EXPLORE), bucket=True))
+def q_node_display_community(spark, sf_dir):
+    """Degree as size, community as colour, labels for the top 15 percent."""
+    e = fx.bucket_edges(spark, sf_dir)
+    ids = paths.graph_nodes(e)
+    size = degrees.degree_counts(e).select("id", F.col("degree").cast("double").alias("size_metric"))
+    color = labels.label_propagation(ids, e, max_iter=LP_ROUNDS_EXPLORE).select("id", F.col("label").cast("double").alias("color_metric"))
+    return rounded_fine(node_display(size, color, scheme="cool", label_threshold=0.15), ["size_metric", "color_metric"])
+
+
+@register("pagerank_to_tolerance")
+def q_pagerank_to_tolerance(spark, sf_dir):
+    """PageRank until no rank moves by 0.01 (rows-only: the number of rounds
+    follows the data; tested against fixed rounds)."""
+    return pagerank.pagerank(_vertex_ids(spark, sf_dir), fx.edges(spark, sf_dir), max_iter=100, tol=0.01)
+
+
 @register("edge_display", _gsql(
     "SELECT src, dst, CAST(1.0 AS DOUBLE) AS weight, CAST(1.0 AS DOUBLE) AS width FROM K", og.known()))
 def q_edge_display(spark, sf_dir):

@@ -263,7 +263,7 @@ def q_hist_tenure_churn(spark, sf_dir):
 
 @register("bootstrap_sample")
 def q_bootstrap_sample(spark, sf_dir):
-    """About 10,000 rows drawn with replacement (seed 123); rows-only."""
+    """10,000 rows drawn with replacement (seed 123); rows-only."""
     return profile.bootstrap_sample(silver(spark, sf_dir), 10000, 123)
 
 

@@ -11,14 +11,24 @@ domain partition) hashed with band and range give the signatures.
 A range may be empty, or hold only passages that very many documents share.
 Signatures of empty ranges, and groups of over ``CROWD`` sets, need no
 expansion for a set that has fewer than ``n1 - k`` of both: it agrees with any
-linked set on a range outside them. Sets that have more (the deficient: near
-copies in large groups) stay in their crowded groups. This loses no link.
-
-Groups are resolved without emitting all their pairs. In a round, each set is
-compared with one pivot of its groups; links join components; groups within
-one component are done. When few pairs of different components are left, or
-after ``ROUNDS`` rounds, all of them are compared. Every comparison is on the
-whole shingle sets.
+linked set on ranges outside them, and on how many is known: ``need``, which is
+``n1 - k`` less its empty and crowded ranges. So pairs of smaller groups are
+counted, and only those that agree often enough for both are candidates.
+
+Sets whose need is not positive are deficient: near copies in large groups, or
+short sets of common wording. Among them the enumeration has two levels: the
+domain is cut into fewer, wider ranges, each into parts, of which at most ``k2``
+differ in one range; every choice of the other parts is a signature. It covers
+several times the shingles, so common wording alone does not meet in it. This
+loses no link.
+
+Links are found without emitting all pairs. Each set is first compared with its
+smallest candidate, then with candidates of other components. Of the groups of
+deficient sets, those within one component are done. The others tie their sets
+into families, and a family's sets are compared in blocks of about ``BLOCK``
+shingles: a task holds two blocks, counts shared shingles through their
+postings, and returns only links that join components. Every comparison is on
+the whole shingle sets.
 
 One tokenising pass and one shuffle carry the packed signatures; each task of
 that shuffle reads its buckets one after another, so memory is a bucket's.
@@ -26,6 +36,10 @@ that shuffle reads its buckets one after another, so memory is a bucket's.
 
 from __future__ import annotations
 
+from collections import Counter
+from itertools import combinations
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -37,9 +51,9 @@ from pyspark.sql import functions as F
 from churnlens.llm.common import ASCII_LOWER, written
 
 #: Sets in a signature's group from which on it counts as crowded.
-CROWD = 48
-#: Rounds of pivots, and the pairs a set below which all are compared at once.
-ROUNDS, FEW = 4, 4
+CROWD = 16
+#: Shingles of a block of a family's sets.
+BLOCK = 500_000
 #: Signatures that a map task packs at a time.
 PACK = 1_000_000
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -97,7 +111,7 @@ class Bands:
         """Largest distance of linked sets up to this band's sizes; ranges."""
         top = 100 * int(self.low[band]) // self.percent
         k = (100 - self.percent) * 2 * top // (100 + self.percent)
-        return k, k + 1 + max(1, (k + 1) * 15 // 100) if k else 0
+        return k, k + 1 + max(2, (k + 1) // 5) if k else 0
 
     def signatures(self, s: np.ndarray) -> tuple[np.ndarray, list[int]]:
         """Signatures of a set in its own band and the next one (the lowest
@@ -120,6 +134,38 @@ class Bands:
             out.append(sig & ~np.uint64(1) | np.uint64(b & 1))
         return np.concatenate(out) if out else np.zeros(0, np.uint64), slack
 
+    def deep(self, s: np.ndarray, parity: int) -> np.ndarray:
+        """Two-level signatures of a set in its own band or the next one,
+        whichever has the parity."""
+        band = self.of(len(s))
+        band += (band & 1) != parity
+        k, _ = self.ranges(band)
+        n1, n2, k2 = self.levels(k)
+        part = ((s >> np.uint64(32)) * np.uint64(n1 * n2)) >> np.uint64(32)
+        first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        held = np.zeros(n1 * n2, np.uint64)
+        held[part[first]] = np.add.reduceat(_mix(s ^ _A), first)
+        held = _mix(held + np.arange(n1 * n2, dtype=np.uint64) * _A).reshape(n1, n2)
+        left_out = np.array(list(combinations(range(n2), k2)), np.int64).reshape(-1, k2)
+        rest = held.sum(axis=1, keepdims=True) - held[:, left_out].sum(axis=2)
+        place = np.arange(rest.size, dtype=np.uint64).reshape(rest.shape) + np.uint64(band << 40)
+        return _mix(rest ^ _mix(place)).ravel()
+
+    @staticmethod
+    def levels(k: int) -> tuple[int, int, int]:
+        """(ranges, parts of a range, parts that may differ) of the choice that
+        covers most of the domain, with at most max(256, 4 (k + 1)) signatures."""
+        best = None
+        for k2 in (1, 2, 3, 4):
+            n1 = max(1, -(-(k + 1) // (k2 + 1)))
+            n2 = k2 + 1
+            while n2 < 16 and n1 * comb(n2 + 1, k2) <= max(256, 4 * (k + 1)):
+                n2 += 1
+            cover = (1 - k2 / n2) / n1
+            if n1 * comb(n2, k2) <= max(256, 4 * (k + 1)) and (best is None or cover > best[0]):
+                best = cover, n1, n2, k2
+        return best[1:]
+
 
 def _six(x: np.ndarray) -> bytes:
     return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
@@ -135,8 +181,9 @@ def _signed(x) -> np.ndarray:
     return np.asarray(x, np.uint64).view(np.int64)
 
 
-_PACKED = "bucket long, sig binary, fp binary, doc string, text_key long, set long, n long, even long, odd long"
-_FLAT = "members array<long>, sig long, doc string, text_key long, set long, n long, even long, odd long"
+_DOC = "doc string, text_key long, set long, n long, band long, even long, odd long"
+_PACKED = f"bucket long, sig binary, fp binary, {_DOC}"
+_FLAT = f"members array<long>, sig long, times long, {_DOC}"
 
 
 def _packer(width: int, bands: Bands, buckets: int):
@@ -158,7 +205,7 @@ def _packer(width: int, bands: Bands, buckets: int):
             ends = list(zip(cut[i:i + 256], cut[i + 1:i + 257]))
             none = [None] * len(ends)
             yield rows([int(b[x]) for x, _ in ends], [_six(s[x:y]) for x, y in ends],
-                       [f[x:y].astype("<u8").tobytes() for x, y in ends], *[none] * 6)
+                       [f[x:y].astype("<u8").tobytes() for x, y in ends], *[none] * 7)
 
     def run(batches):
         cache, seen = WordHashes(), set()
@@ -169,7 +216,7 @@ def _packer(width: int, bands: Bands, buckets: int):
                 s = shingles(text, cache, width)
                 fp = xxhash.xxh3_64_intdigest(s.tobytes())
                 got, slack = bands.signatures(s) if len(s) else (np.zeros(0, np.uint64), [1, 1])
-                docs.append((i, key, fp, len(s), *slack))
+                docs.append((i, key, fp, len(s), bands.of(len(s)) if len(s) else 0, *slack))
                 if i is None or not len(got) or fp in seen:
                     continue
                 if len(seen) >= 1_000_000:
@@ -182,10 +229,10 @@ def _packer(width: int, bands: Bands, buckets: int):
                     yield from pack(sigs, fps)
                     sigs, fps, held = [], [], 0
             if docs:
-                i, key, fp, n, even, odd = zip(*docs)
+                i, key, fp, n, band, even, odd = zip(*docs)
                 none = [None] * len(docs)
                 at = [x % buckets for x in fp]
-                yield rows(at, none, none, i, key, _signed(fp), n, even, odd)
+                yield rows(at, none, none, i, key, _signed(fp), n, band, even, odd)
         if sigs:
             yield from pack(sigs, fps)
 
@@ -193,10 +240,11 @@ def _packer(width: int, bands: Bands, buckets: int):
 
 
 def _groups(batches):
-    """Buckets, one after another -> distinct groups of 2 to CROWD sets, single
-    rows of crowded groups, and the documents' rows unchanged."""
-    flat = pa.schema([("members", pa.list_(pa.int64())), ("sig", pa.int64()), ("doc", pa.string())]
-                     + [(c, pa.int64()) for c in ("text_key", "set", "n", "even", "odd")])
+    """Buckets, one after another -> distinct groups of 2 to CROWD sets with
+    their band's parity in sig and how often they occur, the number of crowded
+    groups of a set and parity, and the documents' rows unchanged."""
+    flat = pa.schema([("members", pa.list_(pa.int64())), ("sig", pa.int64()), ("times", pa.int64()), ("doc", pa.string())]
+                     + [(c, pa.int64()) for c in ("text_key", "set", "n", "band", "even", "odd")])
 
     def of(bucket, sigs, fps):
         s = _from_six(b"".join(sigs))
@@ -207,26 +255,27 @@ def _groups(batches):
         s, f = s[new], f[new]
         start = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
         size = np.diff(np.append(start, len(s)))
-        small = {_signed(f[a:a + n]).tobytes() for a, n in zip(start, size) if 1 < n <= CROWD}
+        small = Counter((_signed(f[a:a + n]).tobytes(), int(s[a] & np.uint64(1))) for a, n in zip(start, size) if 1 < n <= CROWD)
         if small:
-            values = [np.frombuffer(x, np.int64) for x in small]
+            values = [np.frombuffer(x, np.int64) for x, _ in small]
             ends = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
             column = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values)))
-            yield pa.record_batch([column] + [pa.nulls(len(small), t.type) for t in list(flat)[1:]], schema=flat)
-        for a, n in zip(start[size > CROWD], size[size > CROWD]):
-            for x in range(a, a + n, 100_000):
-                y = min(x + 100_000, a + n)
-                cols = [pa.nulls(y - x, t.type) for t in flat]
-                cols[1] = pa.array(np.full(y - x, (bucket << 48) | int(s[a]), np.uint64).view(np.int64))
-                cols[4] = pa.array(_signed(f[x:y]))
-                yield pa.record_batch(cols, schema=flat)
+            yield pa.record_batch([column, pa.array([odd for _, odd in small]), pa.array(list(small.values()))]
+                                  + [pa.nulls(len(small), t.type) for t in list(flat)[3:]], schema=flat)
+        crowded = np.repeat(size > CROWD, size)
+        if crowded.any():
+            key, times = np.unique(np.stack([_signed(f[crowded]), (s[crowded] & np.uint64(1)).astype(np.int64)], axis=1),
+                                   axis=0, return_counts=True)
+            cols = [pa.nulls(len(key), t.type) for t in flat]
+            cols[1], cols[2], cols[5] = pa.array(key[:, 1]), pa.array(times), pa.array(key[:, 0])
+            yield pa.record_batch(cols, schema=flat)
 
     at, sigs, fps = None, [], []
     for batch in batches:
         is_doc = pc.is_null(batch.column("sig"))
         docs = batch.filter(is_doc)
         if docs.num_rows:
-            yield pa.record_batch([pa.nulls(docs.num_rows, t.type) if t.name in ("members", "sig") else docs.column(t.name)
+            yield pa.record_batch([pa.nulls(docs.num_rows, t.type) if t.name in ("members", "sig", "times") else docs.column(t.name)
                                    for t in flat], schema=flat)
         rest = batch.filter(pc.invert(is_doc))
         for bucket, s, f in zip(*(rest.column(c).to_pylist() for c in ("bucket", "sig", "fp"))):
@@ -300,6 +349,166 @@ def _compare(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
             .mapInArrow(check, "a long, b long"))
 
 
+def _deep_packer(width: int, bands: Bands, buckets: int):
+    def run(batches):
+        cache, plain = WordHashes(), zstandard.ZstdDecompressor()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                sigs, fps, comps = [], [], []
+                for fp, comp, in0, in1, z in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns)):
+                    s = shingles(plain.decompress(z).decode(), cache, width)
+                    for parity in (0, 1):
+                        if (in0, in1)[parity]:
+                            sigs.append(bands.deep(s, parity))
+                            fps.append(fp)
+                            comps.append(comp)
+                if not sigs:
+                    continue
+                sizes = [len(x) for x in sigs]
+                s, f, c = np.concatenate(sigs), np.repeat(np.array(fps), sizes), np.repeat(np.array(comps), sizes)
+                b = ((s >> np.uint64(44)) * np.uint64(buckets)) >> np.uint64(20)
+                order = np.argsort(b, kind="stable")
+                s, f, c, b = s[order], f[order], c[order], b[order]
+                cut = np.concatenate([[0], np.flatnonzero(b[1:] != b[:-1]) + 1, [len(b)]])
+                ends = list(zip(cut[:-1], cut[1:]))
+                yield pa.record_batch([pa.array([int(b[x]) for x, _ in ends], pa.int64()),
+                                       pa.array([_six(s[x:y]) for x, y in ends], pa.binary())]
+                                      + [pa.array([v[x:y].astype("<i8").tobytes() for x, y in ends], pa.binary()) for v in (f, c)],
+                                      names=["bucket", "sig", "fp", "comp"])
+
+    return run
+
+
+def _ties(batches):
+    """Buckets -> (set, pivot) for the sets of each group that holds several
+    components; the pivot is the group's smallest set."""
+
+    def of(sigs, fps, comps):
+        s, f, c = _from_six(b"".join(sigs)), np.frombuffer(b"".join(fps), "<i8"), np.frombuffer(b"".join(comps), "<i8")
+        order = np.lexsort((f, s))
+        s, f, c = s[order], f[order], c[order]
+        start = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+        size = np.diff(np.append(start, len(s)))
+        several = np.minimum.reduceat(c, start) != np.maximum.reduceat(c, start)
+        pivot = np.repeat(f[start], size)
+        used = np.repeat(several, size) & (f != pivot)
+        rows = np.unique(np.stack([f[used], pivot[used]], axis=1), axis=0)
+        if len(rows):
+            yield pa.record_batch([pa.array(rows[:, 0]), pa.array(rows[:, 1])], names=["set", "pivot"])
+
+    now, held = None, ([], [], [])
+    for batch in batches:
+        for bucket, *row in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            if bucket != now:
+                if held[0]:
+                    yield from of(*held)
+                now, held = bucket, ([], [], [])
+            for h, v in zip(held, row):
+                h.append(v)
+    if held[0]:
+        yield from of(*held)
+
+
+def _block_linker(width: int, percent: int):
+    """Rows (family, i, j, block, comp, z), a pair of blocks after another ->
+    links (a, b) that join components."""
+
+    def of(same, blocks, comps, zs, cache, plain):
+        sets = [shingles(plain.decompress(z).decode(), cache, width) for z in zs]
+        size = np.array([len(x) for x in sets])
+        owner = np.repeat(np.arange(len(sets)), size)
+        _, rank = np.unique(np.concatenate(sets), return_inverse=True)
+        order = np.argsort(rank, kind="stable")
+        posted, ends = owner[order], np.concatenate([[0], np.cumsum(np.bincount(rank))])
+        side, at = np.array(blocks), np.concatenate([[0], np.cumsum(size)])
+        up = {c: c for c in comps}
+
+        def find(x):
+            while up[x] != x:
+                up[x] = up[up[x]]
+                x = up[x]
+            return x
+
+        out = []
+        for k in range(len(sets)):
+            r = rank[at[k]:at[k + 1]]
+            n = ends[r + 1] - ends[r]
+            ahead = np.cumsum(n) - n
+            shared = np.bincount(posted[np.repeat(ends[r] - ahead, n) + np.arange(n.sum())], minlength=len(sets))
+            linked = 100 * shared >= percent * (size[k] + size - shared)
+            linked[:k + 1] = False
+            if not same:
+                linked &= side != side[k]
+            for x in np.flatnonzero(linked):
+                a, b = find(comps[k]), find(comps[x])
+                if a != b:
+                    up[max(a, b)] = min(a, b)
+                    out.append((comps[k], comps[x]))
+        return pa.record_batch([pa.array([r[i] for r in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    def run(batches):
+        cache, plain = WordHashes(), zstandard.ZstdDecompressor()
+        now, held = None, ([], [], [])
+        for batch in batches:
+            for family, i, j, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if (family, i, j) != now:
+                    if held[0]:
+                        yield of(now[1] == now[2], *held, cache, plain)
+                    now, held = (family, i, j), ([], [], [])
+                for h, v in zip(held, row):
+                    h.append(v)
+        if held[0]:
+            yield of(now[1] == now[2], *held, cache, plain)
+
+    return run
+
+
+def _family_links(ties: DataFrame, sizes: DataFrame, labels: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    own = ties.select("set").union(ties.select("pivot")).distinct().select("set", F.col("set").alias("comp"))
+    family = join_labels(written(own, "open-sets"), ties.select(F.col("set").alias("a"), F.col("pivot").alias("b")))
+    sized = family.withColumnRenamed("comp", "family").join(sizes, "set")
+    blocks = written(sized.groupBy("family").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks")), "families")
+    dealt = (sized.join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
+    return (dealt.join(labels, "set").join(texts, "set").select(
+        "family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "comp", "z")
+        .repartition("family", "i", "j").sortWithinPartitions("family", "i", "j")
+        .mapInArrow(_block_linker(width, percent), "a long, b long"))
+
+
+def _candidates(groups: DataFrame, needs: DataFrame) -> DataFrame:
+    """Pairs (pivot < set) that share as many signatures of groups as both
+    need in the band of the larger set."""
+
+    def pairs(batches):
+        for batch in batches:
+            a, b, odd, times = [], [], [], []
+            for m, o, t in zip(*(batch.column(c).to_pylist() for c in ("members", "parity", "times"))):
+                m = np.array(m)
+                x, y = np.triu_indices(len(m), 1)
+                a.append(m[x])
+                b.append(m[y])
+                odd.append(np.full(len(x), o))
+                times.append(np.full(len(x), t))
+                if sum(map(len, a)) > 200_000:
+                    yield table(a, b, odd, times)
+                    a, b, odd, times = [], [], [], []
+            if a:
+                yield table(a, b, odd, times)
+
+    def table(*columns):
+        return pa.record_batch([pa.array(np.concatenate(c)) for c in columns], names=["pivot", "set", "parity", "times"])
+
+    once = groups.groupBy("members", F.col("sig").alias("parity")).agg(F.sum("times").alias("times"))
+    shared = (once.mapInArrow(pairs, "pivot long, set long, parity long, times long")
+              .groupBy("pivot", "set", "parity").agg(F.sum("times").alias("times")))
+    need = lambda k: F.when(F.col("parity") == 0, F.col("need0")).otherwise(F.col("need1")).alias(k)
+    mine = shared.join(needs, "set").select("pivot", "set", "parity", "times", F.col("band").alias("band_a"), need("need_a"))
+    both = mine.join(needs.withColumnRenamed("set", "pivot"), "pivot").select("*", need("need_b"))
+    return both.where((F.greatest("band", "band_a") % 2 == F.col("parity")) & (F.col("times") >= F.greatest("need_a", "need_b"))
+                      ).select("pivot", "set")
+
+
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80,
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_shingles and component_id of every row of ``docs``.
@@ -317,21 +526,22 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80,
     buckets = min(max(64, docs.count() // 256), 1 << 20)
     packed = rows.mapInArrow(_packer(width, bands, buckets), _PACKED)
     flat = written(packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_groups, _FLAT), "groups")
-    seen = flat.where("n is not null").select("doc", "text_key", "set", "n", "even", "odd")
+    seen = flat.where("n is not null").select("doc", "text_key", "set", "n", "band", "even", "odd")
     ident = F.col("doc").cast(id_type)
     classes = written(seen.where("doc is not null and n > 0").groupBy("set").agg(
-        F.min(F.struct(ident.alias("id"), "doc", "text_key")).alias("rep"), F.min("even").alias("even"),
-        F.min("odd").alias("odd")).select("set", "rep.*", "even", "odd"), "sets")
-
-    small = flat.where("members is not null").select("members").distinct().select(
-        F.xxhash64("members").alias("g"), F.explode("members").alias("set"))
-    crowd = flat.where("sig is not null").select("sig", "set", F.pmod("sig", F.lit(2)).alias("odd_band"))
-    lacking = (crowd.groupBy("set", "odd_band").count().join(classes.select("set", "even", "odd"), "set")
-               .where(F.col("count") >= F.when(F.col("odd_band") == 1, F.col("odd")).otherwise(F.col("even")))
-               .select("set", "odd_band"))
-    members = written(small.union(crowd.join(written(lacking, "deficient"), ["set", "odd_band"])
-                                  .select(F.col("sig").alias("g"), "set")), "members")
-    involved = members.select("set").distinct()
+        F.min(F.struct(ident.alias("id"), "doc", "text_key")).alias("rep"), *[F.min(c).alias(c) for c in ("n", "band", "even", "odd")])
+        .select("set", "rep.*", "n", "band", "even", "odd"), "sets")
+
+    crowd = flat.where("members is null and sig is not null")
+    met = crowd.groupBy("set").agg(F.sum(F.when(F.col("sig") == 0, F.col("times"))).alias("c0"),
+                                   F.sum(F.when(F.col("sig") == 1, F.col("times"))).alias("c1"))
+    needs = written(classes.join(met, "set", "left").select(
+        "set", "band", (F.col("even") - F.coalesce("c0", F.lit(0))).alias("need0"),
+        (F.col("odd") - F.coalesce("c1", F.lit(0))).alias("need1")), "needs")
+    lacking = written(needs.where("need0 <= 0 or need1 <= 0").select(
+        "set", (F.col("need0") <= 0).alias("in0"), (F.col("need1") <= 0).alias("in1")), "deficient")
+    candidates = written(_candidates(flat.where("members is not null"), needs), "candidates")
+    involved = (candidates.select(F.explode(F.array("pivot", "set")).alias("set")).union(lacking.select("set"))).distinct()
     labels = written(involved.select("set", F.col("set").alias("comp")), "labels")
 
     @F.pandas_udf("binary")
@@ -340,32 +550,24 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80,
         return t.map(lambda x: c.compress(x.encode()))
 
     reps = written(involved.join(classes, "set").select("set", "doc", "text_key"), "reps")
-    texts = written(rows.where("doc is not null").select("doc", "text_key", squeezed("text").alias("z"))
-                    .join(reps, ["doc", "text_key"]).groupBy("set").agg(F.first("z").alias("z")), "texts")
-    sets = labels.count()
-    for turn in range(1 << 30):
-        now = members.join(labels, "set")
-        open_ = now.groupBy("g").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("g")
-        members = written(now.join(written(open_, "open"), "g", "left_semi").select("g", "set"), "members")
-        if members.isEmpty():
-            break
-        now = written(members.join(labels, "set").select("g", "set", "comp"), "labelled")
-        per = now.groupBy("g", "comp").agg(F.count(F.lit(1)).alias("n"))
-        left = (per.groupBy("g").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("p"))
-                .agg(F.sum("p")).first()[0])
-        last = turn >= ROUNDS or left <= FEW * sets
-        if last:
-            other = now.select("g", F.col("set").alias("pivot"), F.col("comp").alias("b"))
-            pairs = (now.withColumnRenamed("comp", "a").join(other, "g").where("pivot < set and a <> b")
-                     .select("set", "pivot", "a", "b").distinct())
-        else:
-            order = F.struct(F.xxhash64("set", F.lit(turn)).alias("o"), F.col("set").alias("pivot"), F.col("comp").alias("b"))
-            pivots = written(now.groupBy("g").agg(F.min(order).alias("lead")), "pivots")
-            pairs = (now.join(pivots, "g").where("lead.b <> comp").groupBy("set", F.col("comp").alias("a"))
-                     .agg(F.min("lead").alias("lead")).select("set", "lead.pivot", "a", "lead.b"))
-        labels = join_labels(labels, _compare(written(pairs, "pairs"), texts, width, percent))
-        if last:
-            break
+    texts = written(rows.where("doc is not null").join(reps, ["doc", "text_key"]).select("set", squeezed("text").alias("z"))
+                    .groupBy("set").agg(F.first("z").alias("z")), "texts")
+
+    def compare(pairs: DataFrame) -> DataFrame:
+        return join_labels(labels, _compare(written(pairs, "pairs"), texts, width, percent))
+
+    own = F.col("set").alias("a"), F.col("pivot").alias("b")
+    labels = compare(candidates.groupBy("set").agg(F.min("pivot").alias("pivot")).select("set", "pivot", *own))
+    side = labels.select(F.col("set").alias("pivot"), F.col("comp").alias("b"))
+    labels = compare(candidates.join(labels.withColumnRenamed("comp", "a"), "set").join(side, "pivot")
+                     .where("a <> b").select("set", "pivot", "a", "b"))
+    shares = min(max(16, lacking.count() // 256), 1 << 20)
+    packed = (lacking.join(texts, "set").join(labels, "set").select("set", "comp", "in0", "in1", "z")
+              .mapInArrow(_deep_packer(width, bands, shares), "bucket long, sig binary, fp binary, comp binary"))
+    ties = written(packed.repartition("bucket").sortWithinPartitions("bucket")
+                   .mapInArrow(_ties, "set long, pivot long").distinct(), "ties")
+    if not ties.isEmpty():
+        labels = join_labels(labels, _family_links(ties, classes.select("set", "n"), labels, texts, width, percent))
 
     least = written(classes.join(labels, "set", "left").select("set", "id", F.coalesce("comp", "set").alias("comp")), "sets")
     smallest = written(least.groupBy("comp").agg(F.min("id").alias("component_id")), "smallest")

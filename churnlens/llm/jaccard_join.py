@@ -41,6 +41,7 @@ from itertools import combinations
 from math import comb
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -476,6 +477,27 @@ def _family_links(ties: DataFrame, sizes: DataFrame, labels: DataFrame, texts: D
         .mapInArrow(_block_linker(width, percent), "a long, b long"))
 
 
+def _squeezed(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc, text_key, z) of the rows whose text may be wanted, compressed before
+    they are shuffled. A bitmap of 2 MB over hashes of text_key, whatever the
+    input, leaves out most others; it lets all wanted rows pass."""
+    bits = 1 << 24
+    at = F.pmod("text_key", F.lit(bits)) + 1
+    marked = np.zeros(bits // 8, np.uint8)
+    for r in wanted.groupBy(F.bitmap_bucket_number(at).alias("k")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("b")).collect():  # 512 rows of 4 KB at most
+        marked[(r.k - 1) * 4096:r.k * 4096] = np.frombuffer(r.b, np.uint8)
+    shared = rows.sparkSession.sparkContext.broadcast(marked)
+
+    @F.pandas_udf("binary")
+    def squeezed(key, text):
+        c, k = zstandard.ZstdCompressor(level=1), key.to_numpy() % bits
+        held = (shared.value[k >> 3] >> (k & 7)) & 1
+        return pd.Series([c.compress(t.encode()) if h else None for t, h in zip(text, held)])
+
+    return rows.select("doc", "text_key", squeezed("text_key", "text").alias("z")).where("z is not null")
+
+
 def _candidates(groups: DataFrame, needs: DataFrame) -> DataFrame:
     """Pairs (pivot < set) that share as many signatures of groups as both
     need in the band of the larger set."""
@@ -544,13 +566,8 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80,
     involved = (candidates.select(F.explode(F.array("pivot", "set")).alias("set")).union(lacking.select("set"))).distinct()
     labels = written(involved.select("set", F.col("set").alias("comp")), "labels")
 
-    @F.pandas_udf("binary")
-    def squeezed(t):
-        c = zstandard.ZstdCompressor(level=1)
-        return t.map(lambda x: c.compress(x.encode()))
-
     reps = written(involved.join(classes, "set").select("set", "doc", "text_key"), "reps")
-    texts = written(rows.where("doc is not null").join(reps, ["doc", "text_key"]).select("set", squeezed("text").alias("z"))
+    texts = written(_squeezed(rows.where("doc is not null"), reps).join(reps, ["doc", "text_key"])
                     .groupBy("set").agg(F.first("z").alias("z")), "texts")
 
     def compare(pairs: DataFrame) -> DataFrame:

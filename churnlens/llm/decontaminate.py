@@ -205,7 +205,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, share: float = 0.6, overlap: fl
 class Search(dict):
     """A batch of texts -> hits of each in a pass's indexes. As a dict: raw word
     -> its number, which ``terms`` maps to the term of each index; emptied when
-    it holds a million words."""
+    it holds 250,000 words."""
 
     def __init__(self, indexes: list[Index], overlap: float):
         super().__init__()
@@ -216,7 +216,7 @@ class Search(dict):
         self.terms = [np.array([x.term.get(w, -1) for w in names] + [-1, -1]) for x in indexes]
 
     def __missing__(self, raw: str) -> int:
-        if len(self) >= 1_000_000:
+        if len(self) >= 250_000:
             self.clear()
         w = raw if raw.isalnum() else _PUNCTUATION.sub("", raw)
         self[raw] = k = self.number.get(w, len(self.number)) if w else len(self.number) + 1

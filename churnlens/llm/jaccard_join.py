@@ -56,7 +56,7 @@ CROWD = 16
 #: Shingles of a block of a family's sets.
 BLOCK = 500_000
 #: Signatures that a map task packs at a time.
-PACK = 1_000_000
+PACK = 400_000
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -67,10 +67,10 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 
 class WordHashes(dict):
-    """word -> hash; emptied when it holds a million words."""
+    """word -> hash; emptied when it holds 250,000 words."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1_000_000:
+        if len(self) >= 250_000:
             self.clear()
         self[word] = h = xxhash.xxh64_intdigest(word)
         return h
@@ -220,7 +220,7 @@ def _packer(width: int, bands: Bands, buckets: int):
                 docs.append((i, key, fp, len(s), bands.of(len(s)) if len(s) else 0, *slack))
                 if i is None or not len(got) or fp in seen:
                     continue
-                if len(seen) >= 1_000_000:
+                if len(seen) >= 250_000:
                     seen.clear()
                 seen.add(fp)  # copies within a task send their signatures once
                 sigs.append(got)

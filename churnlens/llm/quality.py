@@ -35,10 +35,10 @@ _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
 class _Hashes(dict):
-    """word -> hash; emptied when it holds a million words."""
+    """word -> hash; emptied when it holds 250,000 words."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= 1_000_000:
+        if len(self) >= 250_000:
             self.clear()
         h = xxhash.xxh64_intdigest(word.lower())
         if len(word) > 1 and word.isupper():

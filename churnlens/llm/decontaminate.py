@@ -16,7 +16,8 @@ distinct terms sum to less than the block's lowest threshold, the block holds
 no hit and is skipped. The sums of all passages and blocks of a batch are made
 at once, in place of cursors. The other blocks are scored exactly, and every
 item at or above ``share`` of the score that its own text gets is retrieved: no
-top-k.
+top-k. Where the checks below can be met with a lower score, that is the item's
+threshold, so retrieval loses nothing that the checks would confirm.
 
 Checks. An item's question is its text up to its last sentence, its answer that
 sentence (a text of one sentence is halved). A hit stands when the passage
@@ -70,11 +71,21 @@ def overlap_of(part: set[tuple], ws: list[str], known: dict[int, set]) -> float:
     return len(part & known[n]) / len(part)
 
 
+def least_score(parts: list[set[tuple]], weight: dict[str, float], overlap: float) -> float:
+    """No passage that holds ``overlap`` of the runs of each part scores less:
+    a term's weight is shared out evenly to the runs that hold it, and each
+    part's cheapest runs are summed."""
+    held = Counter(t for p in parts for run in p for t in set(run))
+    cost = [sorted(sum(weight[t] / held[t] for t in set(run)) for run in p) for p in parts]
+    return sum(sum(c[:math.ceil(overlap * len(c) - 1e-9)]) for c in cost)
+
+
 class Index:
     """Inverted index of items of similar length. ``df``: term -> items of the
     whole benchmark that hold it."""
 
-    def __init__(self, items: list[tuple[int, str]], df: dict[str, int], n: int, mean: float, share: float):
+    def __init__(self, items: list[tuple[int, str]], df: dict[str, int], n: int, mean: float, share: float,
+                 overlap: float):
         split = [(sorted(set(w), key=lambda t: (-df[t], t))[:4], len(w), i, w, t) for i, t in items if (w := words(t))]
         split.sort(key=lambda x: x[:3])
         self.items = [(i, *map(runs, question_and_answer(t))) for _, _, i, _, t in split]
@@ -85,7 +96,9 @@ class Index:
             for t, tf in Counter(w).items():
                 idf = math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5))
                 self.weight[self.term[t], col] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size / mean))
-        self.needed = share * self.weight.sum(axis=0)
+        least = [least_score([q, r], {t: self.weight[self.term[t], col] for t in split[col][3]}, overlap)
+                 for col, (_, q, r) in enumerate(self.items)]
+        self.needed = np.minimum(share * self.weight.sum(axis=0), least)
         self.blocks = [(a, min(a + BLOCK, len(split))) for a in range(0, len(split), BLOCK)]
         self.block_max = np.stack([self.weight[:, a:b].max(axis=1) for a, b in self.blocks], axis=1).astype(np.float32)
         # single precision is right to 1e-7 of each sum
@@ -153,7 +166,7 @@ class Index:
         return best
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.6, overlap: float = 0.6,
+def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.5, overlap: float = 0.6,
                  id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
     """id, item_id, score, question_overlap, answer_overlap and first_word, a
     row for each document and item that stand; clean documents give none.
@@ -168,7 +181,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.6, over
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null")
     schema = f"id {id_type}, item {item_type}, score double, question_overlap double, answer_overlap double, first_word long"
     found = docs.sparkSession.createDataFrame([], schema)
-    for index in indexes(benchmark, share, text_col, item_col):
+    for index in indexes(benchmark, share, overlap, text_col, item_col):
 
         def run(batches, index=index):
             at, names = index.value
@@ -187,11 +200,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.6, over
     return found.withColumnsRenamed({"id": id_col, "item": item_col})
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, share: float = 0.6, overlap: float = 0.6,
+def clean(docs: DataFrame, benchmark: DataFrame, share: float = 0.5, overlap: float = 0.6,
           text_col: str = "text", item_col: str = "item_id") -> DataFrame:
     """The rows of ``docs`` in which no item stands, by the rules of
     ``contaminated``; rows without id are judged like others."""
-    for index in indexes(benchmark, share, text_col, item_col):
+    for index in indexes(benchmark, share, overlap, text_col, item_col):
 
         @F.pandas_udf("boolean")
         def holds_none(texts, index=index):
@@ -242,7 +255,7 @@ def parts(batches, rows: int = 128):
             yield batch.slice(at, rows)
 
 
-def indexes(benchmark: DataFrame, share: float, text_col: str, item_col: str):
+def indexes(benchmark: DataFrame, share: float, overlap: float, text_col: str, item_col: str):
     """A broadcast (indexes, item ids) for each pass; an item's number in the
     index is its place in the list, as ids may repeat."""
     spark = benchmark.sparkSession
@@ -268,5 +281,5 @@ def indexes(benchmark: DataFrame, share: float, text_col: str, item_col: str):
             for i, r in enumerate(some):
                 if size := len(words(r["text"])):
                     classes.setdefault(max(2, (size - 1).bit_length() // 2), []).append((i, r["text"]))
-            yield spark.sparkContext.broadcast(([Index(x, df, n, mean, share) for _, x in sorted(classes.items())],
+            yield spark.sparkContext.broadcast(([Index(x, df, n, mean, share, overlap) for _, x in sorted(classes.items())],
                                                 [r["item"] for r in some]))

@@ -75,3 +75,23 @@ def test_empty(case):
     assert d.contaminated(docs.where("false"), bench).count() == 0
     assert d.contaminated(docs, bench.where("false")).count() == 0
     assert d.clean(docs, bench.where("false")).count() == len(rows)
+
+
+def test_edited_items_of_common_words(spark):
+    """The shortest contiguous runs, and the cheapest scattered ones, that pass
+    the overlap checks are hits whatever their score."""
+    rng = random.Random(3)
+    pool = [f"c{k}" for k in range(40)]
+    items, docs = [], []
+    for i in range(40):
+        q = [rng.choice(pool) for _ in range(16)] + [f"q{i}x{k}" for k in range(8)]
+        items.append((i, f"{' '.join(q)}. same closing words of all r{i}a r{i}b r{i}c."))
+        docs.append((i, " ".join(q[:16]) + " other text same closing words of all r%da" % i))
+        cut = [w for k, w in enumerate(q) if k != 20]
+        docs.append((100 + i, " ".join(cut[:17]) + " here closing words of all r%da r%db" % (i, i)))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in d.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert got == brute(docs, items, share=0)
+    assert {(i, i) for i in range(40)} | {(100 + i, i) for i in range(40)} <= got
+    assert got - brute(docs, items, share=0.6) and got - brute(docs, items, share=0.5)
+    assert d.clean(spark.createDataFrame(docs, "doc_id long, text string"), bench).count() == 0

@@ -1,9 +1,12 @@
 """License scan by conditional compression.
 
-1. Documents that hold none of the keywords, one of which is in every template,
-   are filtered out by Spark; they can't hold a template's wording.
-2. Around each keyword, a candidate block as long as the longest template on
-   either side is taken from the whole text; overlapping blocks are one.
+1. Documents that hold none of the anchors are filtered out by Spark. Of each
+   given template, words at more positions than ``slack`` allows differences are
+   anchors: a difference changes one position at most, so wording that stands
+   holds at least one anchor as it is.
+2. Around each anchor, a candidate block as long as the longest template with
+   its differences on either side is taken from the whole text; overlapping
+   blocks are one.
 3. A block is compressed by zstandard without and with each template as a raw
    dictionary. Templates are ranked by the size reduction per byte of template.
 4. The ranked templates are confirmed by exact wording: the words of the
@@ -19,6 +22,7 @@ a long block.
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -41,8 +45,6 @@ TEMPLATES = {
     "all-rights-reserved": "All rights reserved.",
     "public-domain": "This work is dedicated to the public domain.",
 }
-KEYWORDS = r"(?i)licen[sc]e|reserved|granted|redistribut|dedicated"
-_KEY = re.compile(KEYWORDS)
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -50,17 +52,50 @@ def _words(text: str) -> list[str]:
     return [w.lower() for w in _WORD.findall(text)]
 
 
-def blocks(text: str, reach: int) -> list[tuple[int, int]]:
-    """Spans of ``reach`` words before and after each keyword, joined where
+def allowed(template: list[str], slack: float) -> int:
+    """Differences with which a template stands: at least one word is equal."""
+    return min(int(slack * len(template)), len(template) - 1)
+
+
+def anchors(templates: list[list[str]], slack: float) -> set[str]:
+    """Words that stand at ``allowed`` + 1 positions or more of each template;
+    long ones and those of many templates first, as they are fewer."""
+    shared = Counter(w for t in templates for w in set(t))
+    out: set[str] = set()
+    for t in templates:
+        missing = allowed(t, slack) + 1
+        for w, n in sorted(Counter(t).items(), key=lambda x: (-len(x[0]) ** 4 * shared[x[0]], x[0])):
+            if missing <= 0:
+                break
+            out.add(w)
+            missing -= n
+    return out
+
+
+def pattern(words: set[str]) -> str:
+    """Matches, in Java and Python, any text that holds one of the lower-case
+    words in any case (also as part of a word)."""
+    kept = sorted(w for w in words if not any(x != w and x in w for x in words))
+    # the other capitals whose lower case is the letter: the Kelvin sign and the dotted I
+    return "|".join("(?i:%s)" % w.replace("k", "[k\u212a]") if w.isascii() else
+                    "(?iu:%s)" % w.replace("i\u0307", "(?:i\u0307|\u0130)") for w in kept) or "(?!)"
+
+
+KEYWORDS = pattern(anchors([_words(t) for t in TEMPLATES.values()], 0.1))
+_KEY = re.compile(KEYWORDS)
+
+
+def blocks(text: str, reach: int, words: set[str]) -> list[tuple[int, int]]:
+    """Spans of ``reach`` words before and after each of the words, joined where
     they overlap."""
-    at = [(m.start(), m.end()) for m in _WORD.finditer(text)]
-    if not at:
-        return []
-    starts = np.array([a for a, _ in at])
+    at, found = [], []
+    for m in _WORD.finditer(text):
+        if m.group().lower() in words:
+            found.append(len(at))
+        at.append((m.start(), m.end()))
     out: list[tuple[int, int]] = []
-    for m in _KEY.finditer(text):
-        k = int(np.searchsorted(starts, m.start(), "right")) - 1
-        lo, hi = max(0, k - reach), min(len(at), k + reach + 3)
+    for k in found:
+        lo, hi = max(0, k - reach), min(len(at), k + reach + 1)
         span = (at[lo][0], at[hi - 1][1])
         if out and span[0] <= out[-1][1]:
             out[-1] = (out[-1][0], max(out[-1][1], span[1]))
@@ -100,7 +135,8 @@ class Scanner:
     def __init__(self, templates: dict[str, str], slack: float):
         self.names, self.slack = list(templates), slack
         self.words = [_words(templates[n]) for n in self.names]
-        self.reach = max(map(len, self.words))
+        self.anchors = anchors(self.words, slack)
+        self.reach = max((len(t) + allowed(t, slack) for t in self.words), default=0)
         self.plain = zstandard.ZstdCompressor(level=19, write_content_size=False)
         self.given = [zstandard.ZstdCompressor(level=19, write_content_size=False, dict_data=zstandard.ZstdCompressionDict(
             templates[n].lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for n in self.names]
@@ -116,7 +152,7 @@ class Scanner:
         """Standing templates: license, start, end (code points), differences,
         reduction, rank."""
         found = []
-        for a, b in blocks(text, self.reach):
+        for a, b in blocks(text, self.reach, self.anchors):
             block = text[a:b]
             at = [(m.start(), m.end()) for m in _WORD.finditer(block)]
             ws = [block[x:y].lower() for x, y in at]
@@ -145,8 +181,9 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, slac
     row, repeated documents a row each, a null id is returned as null. An empty
     table gives an empty result; other columns are ignored.
     """
-    used = dict(TEMPLATES if templates is None else templates)
-    candidates = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col("text").rlike(KEYWORDS))
+    used = {n: t for n, t in (TEMPLATES if templates is None else templates).items() if _words(t)}
+    keywords = pattern(anchors([_words(t) for t in used.values()], slack))
+    candidates = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col("text").rlike(keywords))
     kind = "array<struct<license:string,start:long,end:long,differences:long,reduction:double,rank:int>>"
 
     @F.pandas_udf(kind)

@@ -62,3 +62,37 @@ def test_longer_template_wins():
     got = ls.Scanner(ls.TEMPLATES, 0.1).scan("x " + ls.TEMPLATES["Apache-2.0-header"] + " y")
     assert [r["license"] for r in got] == ["Apache-2.0-header"]
     assert got[0]["rank"] == 1 and got[0]["reduction"] > 0.3
+
+
+def test_any_allowed_change_is_found(spark):
+    """Every template with as many changed, split or inserted words as slack
+    allows, those of one kind first; the alignment alone is the judge."""
+    rng = random.Random(6)
+    rows = []
+    for name, text in ls.TEMPLATES.items():
+        words = text.split()
+        n = int(0.1 * len(ls._words(text)))
+        for case in range(40 if n else 1):
+            w = list(words)
+            hard = [k for k, x in enumerate(w) if ls.re.search("(?i)licen[sc]e|granted|redistribut|" + ls.KEYWORDS, x)]
+            for k in sorted(rng.sample(hard if case % 2 and len(hard) >= n else range(len(w)), n), reverse=True):
+                if len(ls._words(w[k])) == 1:
+                    w[k:k + 1] = [["given"], [w[k], "inserted"]][case // 2 % 2]
+            rows.append((f"{name} {case}", f"{prose(rng, 50)}\n{' '.join(w)}\n{prose(rng, 50)}"))
+    rows += [("bsd", ls.TEMPLATES["BSD-notice"].replace("Redistribution", "Redistri-\nbution")),
+             ("mit", ls.TEMPLATES["MIT-notice"].replace("granted", "given"))]
+    got = {(r.doc_id, r.license) for r in ls.scan_licenses(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    want = {(i, name) for i, text in rows for name, t in ls.TEMPLATES.items()
+            if brute(ls._words(t), ls._words(text)) <= 0.1 * len(ls._words(t))}
+    assert got <= want and {i for i, _ in got} == {i for i, _ in want} == {i for i, _ in rows}
+    assert {("bsd", "BSD-notice"), ("mit", "MIT-notice")} <= got
+
+
+def test_given_templates(spark):
+    own = {"Unlicense": "This is free and unencumbered software released into the public domain.",
+           "short": "KİLO örnek", "none": "..."}
+    table = spark.createDataFrame([(1, "x " + own["Unlicense"].upper() + " y"), (2, "bir kilo; bir \u212aİLO ÖRNEK"),
+                                   (3, "All rights reserved.")], "doc_id long, text string")
+    got = {(r.doc_id, r.license) for r in ls.scan_licenses(table, own).collect()}
+    assert got == {(1, "Unlicense"), (2, "short")}
+    assert ls.scan_licenses(table, {}).count() == 0

@@ -8,15 +8,15 @@
    its differences on either side is taken from the whole text; overlapping
    blocks are one.
 3. A block is compressed by zstandard without and with each template as a raw
-   dictionary. Templates are ranked by the size reduction per byte of template.
-4. The ranked templates are confirmed by exact wording: the words of the
-   template are aligned to the block (edits anywhere, block ends free), and the
+   dictionary. Templates are ranked by the size reduction per byte of template;
+   this fills the columns reduction and rank and decides no match.
+4. Every template is confirmed by exact wording: the words of the template are aligned to the block (edits anywhere, block ends free), and the
    differences counted. A template stands with differences in at most ``slack``
    of its words; of standing templates that overlap, the one with more equal
    words wins.
 
-All templates are checked, in rank order: a short template may save nothing in
-a long block.
+The ranking selects nothing, as it would lose matches: a block may hold several
+notices, and a short template may save nothing in a long block.
 """
 
 from __future__ import annotations

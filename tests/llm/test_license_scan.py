@@ -96,3 +96,12 @@ def test_given_templates(spark):
     got = {(r.doc_id, r.license) for r in ls.scan_licenses(table, own).collect()}
     assert got == {(1, "Unlicense"), (2, "short")}
     assert ls.scan_licenses(table, {}).count() == 0
+
+
+def test_rank_decides_no_match():
+    rng = random.Random(8)
+    long = " conditions ".join(prose(rng, 40) for _ in range(40))
+    for name, text in ls.TEMPLATES.items():
+        got = ls.Scanner(ls.TEMPLATES, 0.1).scan(f"{long} {text} {long} {ls.TEMPLATES['BSD-notice']}")
+        assert {r["license"] for r in got} == {name, "BSD-notice"}
+        assert name == "BSD-notice" or any(r["rank"] > 1 for r in got)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from churnlens.session import scratch_path
@@ -14,6 +14,15 @@ LOWER = UPPER.lower()
 #: bytes.translate table that lower-cases A-Z only
 ASCII_LOWER = bytes(range(256)).translate(bytes.maketrans(UPPER.encode(), LOWER.encode()))
 
+#: DuckDB CTE with the table of the CRC-32, and the checksum of an ASCII string
+CRC_TABLE_SQL = """crc_table AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+  CASE WHEN c % 2 = 1 THEN xor(3988292384::BIGINT, c // 2) ELSE c // 2 END, i::BIGINT)) AS crc_t)"""
+
+
+def crc32_sql(text: str) -> str:
+    return (f"xor(4294967295::BIGINT, list_reduce(list_transform(string_split({text}, ''), lambda x: ord(x)::BIGINT), "
+            "lambda a, b: xor(a // 256, crc_t[xor(a % 256, b) + 1]), 4294967295::BIGINT))")
+
 
 def scratch(spark: SparkSession, tag: str) -> str:
     """A fresh path in the shared folder of ``spark.checkpoint.dir``."""
@@ -55,3 +64,24 @@ def pairs(batches, rows: int = 256):
         for at in range(0, batch.num_rows, rows):
             part = batch.slice(at, rows)
             yield from zip(part.column(0).to_pylist(), part.column(1).to_pylist())
+
+
+def ranked(df: DataFrame, group: str, order: list[str]) -> DataFrame:
+    """``df`` with ``pos``, a row's position from 0 in its group by ``order``
+    (nulls first), and ``n``, the group's size. ``group`` holds no nulls.
+
+    Rows are range-partitioned by group and order, so a large group lies in many
+    partitions, and written with their place; the group's rows in the
+    partitions before are added to the place within the partition. What is
+    windowed are (partition, group) counts, at most one per partition in a group.
+    """
+    keys = [F.col(c).asc_nulls_first() for c in (group, *order)]
+    placed = written(df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+                     .withColumn("at_", F.monotonically_increasing_id()), "placed")
+    part = F.shiftright("at_", 33).alias("part_")
+    whole, before = Window.partitionBy(group), Window.partitionBy(group).orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)
+    counts = written(placed.groupBy(group, part).agg(F.min("at_").alias("first_"), F.count(F.lit(1)).alias("k_"))
+                     .select(group, "part_", (F.col("first_") - F.coalesce(F.sum("k_").over(before), F.lit(0))).alias("shift_"),
+                             F.sum("k_").over(whole).alias("n")), "counts")
+    return (placed.withColumn("part_", part).join(counts, [group, "part_"])
+            .withColumn("pos", F.col("at_") - F.col("shift_")).drop("at_", "part_", "shift_"))

@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.llm import (chat, decontaminate, exact_dedup, jaccard_join, license_scan, mixing, quality, sharding,
-                           token_count, warc)
+from churnlens.llm import (chat, decontaminate, exact_dedup, jaccard_join, license_scan, merkle, mixing, quality,
+                           sharding, token_count, warc)
 from churnlens.llm.common import scratch, word_count
 from churnlens.sources.fixtures import read_table
 
@@ -87,3 +87,8 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register()
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
+@register(merkle.SQL)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.newline_tampering(read_table(spark, sf_dir, "documents")).drop("copied")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlens.llm import (chat, decontaminate, exact_dedup, jaccard_join, license_scan, merkle, mixing, quality,
-                           sharding, token_count, warc)
+                           repair, sharding, token_count, warc)
 from churnlens.llm.common import scratch, word_count
 from churnlens.sources.fixtures import read_table
 
@@ -92,3 +92,8 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(merkle.SQL)
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.newline_tampering(read_table(spark, sf_dir, "documents")).drop("copied")
+
+
+@register(repair.SQL)
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_damaged(read_table(spark, sf_dir, "conversations"))

@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.llm import (chat, decontaminate, exact_dedup, jaccard_join, license_scan, merkle, mixing, quality,
-                           repair, sharding, token_count, warc)
+from churnlens.llm import (chat, decontaminate, exact_dedup, jaccard_join, license_scan, merkle, mixing, near_vectors,
+                           quality, repair, sharding, token_count, warc)
 from churnlens.llm.common import scratch, word_count
 from churnlens.sources.fixtures import read_table
 
@@ -97,3 +97,8 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(repair.SQL)
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair_damaged(read_table(spark, sf_dir, "conversations"))
+
+
+@register(near_vectors.SQL)
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(read_table(spark, sf_dir, "embeddings"))

@@ -180,6 +180,45 @@ def q_csv_roundtrip(spark, sf_dir):
     return ingest.read_csv(spark, path, ingest.CUSTOMER_SCHEMA)
 
 
+def _source_files(spark, sf_dir) -> dict[str, DataFrame]:
+    """The three source files written from the views and read back as bronze
+    tables. Their columns stand in another order than the schemas', customers
+    under the raw header. Lines that don't fit are added: every 50th customer
+    again with a tenure that is no number, and the calls of every 100th caller
+    again with such a duration."""
+    base = scratch_path(spark, f"source_files/{run_path(sf_dir)}")
+    s, calls = fx.subscribers(spark, sf_dir), fx.call_log(spark, sf_dir)
+    raw = s.drop("mobile_number").toDF(*ingest.RAW_CUSTOMER_HEADER).withColumn("tenure", F.col("tenure").cast("string"))
+    raw = raw.union(raw.where("cast(customerID as long) % 50 = 0").withColumn("tenure", F.lit("n/a")))
+    ingest.write_csv(raw.select(*reversed(raw.columns)), f"{base}/customers")
+    ingest.write_csv(fx.customer_mobile(spark, sf_dir).select("mobile_number", "customer_id"), f"{base}/mobile")
+    log = calls.select("callee_mobile_number", F.col("duration").cast("string").alias("duration"), "caller_mobile_number", "datatime")
+    log = log.union(log.where("cast(right(caller_mobile_number, 7) as long) % 100 = 0").withColumn("duration", F.lit("n/a")))
+    ingest.write_csv(log, f"{base}/calls")
+    return ingest.bronze_tables(spark, f"{base}/customers", f"{base}/mobile", f"{base}/calls")
+
+
+@register("ingest_customers", _silver_sql("SELECT * FROM silver"))
+def q_ingest_customers(spark, sf_dir):
+    """Silver customers from the three source files, matched by header."""
+    return ingest.layered_tables(_source_files(spark, sf_dir))["silver_customers"]
+
+
+@register("ingest_edges", with_views("SELECT dst, src FROM edges", ["edges"]))
+def q_ingest_edges(spark, sf_dir):
+    """Call edges from the three source files."""
+    return ingest.layered_tables(_source_files(spark, sf_dir))["edges"].select("dst", "src")
+
+
+@register("ingest_quarantine", with_views("""
+SELECT 'customers' AS source, count(*) AS bad_rows FROM subscribers WHERE CAST(customer_id AS BIGINT) % 50 = 0
+UNION ALL SELECT 'call_log', count(*) FROM call_log WHERE CAST(right(caller_mobile_number, 7) AS BIGINT) % 100 = 0""",
+    ["subscribers", "call_log"]))
+def q_ingest_quarantine(spark, sf_dir):
+    """Lines of the source files that don't fit, counted per file."""
+    return ingest.quarantine_counts(_source_files(spark, sf_dir)["quarantine"])
+
+
 @register("table_roundtrip", _silver_sql("SELECT * FROM silver"))
 def q_table_roundtrip(spark, sf_dir):
     """Silver customers saved as a (replaced) table and read back."""

@@ -61,13 +61,64 @@ _CSV_OPTS = {"header": "true", "ignoreLeadingWhiteSpace": "false",
              "emptyValue": "\"\"", "mode": "FAILFAST"}
 
 
+#: Holds a line that doesn't fit while it is read.
+CORRUPT = "_corrupt_record"
+
+
+def _matched(spark: SparkSession, path: str, schema: StructType) -> tuple[StructType, dict[str, str]]:
+    """The file's own columns in its order, with the types of ``schema`` where
+    the names agree, as they stand or cleaned; and schema name -> header name.
+    Only the first line is parsed."""
+    header, found = spark.read.option("header", "true").csv(path).columns, {}
+    wanted = set(schema.names)
+    for raw in header:
+        name = raw if raw in wanted else snake_name(raw)
+        if name not in wanted:
+            continue
+        if name in found:
+            raise ValueError(f"columns {found[name]!r} and {raw!r} of {path} are both {name}")
+        found[name] = raw
+    missing = [n for n in schema.names if n not in found]
+    if missing:
+        raise ValueError(f"columns {missing} are missing in {path}, its header is {header}")
+    types = {found[f.name]: f.dataType for f in schema}
+    return StructType([StructField(raw, types.get(raw, StringType())) for raw in header]), found
+
+
+def _read(spark: SparkSession, path: str, whole: StructType, mode: str) -> DataFrame:
+    # enforceSchema=false: a part file whose header differs from the first one's is an error
+    opts = {**_CSV_OPTS, "mode": mode, "enforceSchema": "false", "columnNameOfCorruptRecord": CORRUPT}
+    return spark.read.options(**opts).schema(whole).csv(path)
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """CSV with a header and an explicit schema (no inference pass).
 
+    Columns are matched by header name, in any order; a missing one is an error,
+    others are left out. A value that doesn't fit its type is an error.
     Whitespace is kept, so a blank ``total_charges`` stays ``' '`` and is
     repaired by the silver cast, as with the reference's pandas reader.
     """
-    return spark.read.options(**_CSV_OPTS).schema(schema).csv(path)
+    whole, found = _matched(spark, path, schema)
+    return _read(spark, path, whole, "FAILFAST").select([F.col(f"`{found[f.name]}`").alias(f.name) for f in schema])
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: StructType, source: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rows of a CSV file that fit ``schema`` (matched as by ``read_csv``),
+    and the quarantine: lines with too few or too many fields, or with a value
+    that its type can't hold, as (source, record, file).
+
+    Both read the files when used; together they hold every line. A missing
+    column is no bad row but an error.
+    """
+    whole, found = _matched(spark, path, schema)
+    rows = _read(spark, path, StructType([*whole, StructField(CORRUPT, StringType())]), "PERMISSIVE")
+    # the parser judges the columns that are read: the first condition, true of all rows, reads them all
+    every = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in whole.names]), F.lit(1)) == 0
+    good = rows.where(every & F.col(CORRUPT).isNull()).select([F.col(f"`{found[f.name]}`").alias(f.name) for f in schema])
+    bad = rows.where(every & F.col(CORRUPT).isNotNull()).select(
+        F.lit(source or path).alias("source"), F.col(CORRUPT).alias("record"), F.input_file_name().alias("file"))
+    return good, bad
 
 
 def write_csv(df: DataFrame, path: str, array_lengths: dict[str, int] | None = None) -> None:
@@ -156,12 +207,21 @@ def vertices(silver: DataFrame) -> DataFrame:
 
 
 def bronze_tables(spark: SparkSession, customer_csv: str, mobile_csv: str, call_log_csv: str) -> dict[str, DataFrame]:
-    """The three source files through their schemas: customers (without the
-    number), their numbers, and the call log."""
+    """The three source files through their schemas, by cleaned header names:
+    customers (without the number), their numbers, and the call log; and
+    ``quarantine``, the lines of all three that don't fit."""
     customers = StructType([f for f in CUSTOMER_SCHEMA if f.name != "mobile_number"])
-    return {"customers": read_csv(spark, customer_csv, customers),
-            "mobile": read_csv(spark, mobile_csv, MOBILE_SCHEMA),
-            "call_log": read_csv(spark, call_log_csv, CALL_LOG_SCHEMA)}
+    out, bad = {}, None
+    for name, path, schema in (("customers", customer_csv, customers), ("mobile", mobile_csv, MOBILE_SCHEMA),
+                               ("call_log", call_log_csv, CALL_LOG_SCHEMA)):
+        out[name], held = read_csv_checked(spark, path, schema, name)
+        bad = held if bad is None else bad.union(held)
+    return {**out, "quarantine": bad}
+
+
+def quarantine_counts(quarantine: DataFrame) -> DataFrame:
+    """How many lines of each source are in the quarantine."""
+    return quarantine.groupBy("source").agg(F.count(F.lit(1)).alias("bad_rows"))
 
 
 def layered_tables(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -189,3 +189,50 @@ def test_three_source_files_to_layers(spark, tmp_path):
     assert layers["silver_customers"].count() == s.count() and layers["silver_call_log"].count() == calls.count()
     assert sorted(map(tuple, layers["edges"].select("dst", "src").collect()), key=str) == sorted(
         map(tuple, fx.edges(spark, sf).select("dst", "src").collect()), key=str)
+
+
+def _file(path, *lines):
+    path.mkdir()
+    (path / "part-0.csv").write_text("\n".join(lines) + "\n")
+    return str(path)
+
+
+def test_csv_columns_are_matched_by_name(spark, tmp_path):
+    mobile = _file(tmp_path / "m", "mobileNumber,note,customerID", "555-1,x,A", ",y,B")
+    rows = ingest.read_csv(spark, mobile, ingest.MOBILE_SCHEMA)
+    assert sorted(map(tuple, rows.collect()), key=str) == [("A", "555-1"), ("B", None)]
+    calls = _file(tmp_path / "l", "duration,callee_mobile_number,datatime,caller_mobile_number", "9,555-2,2024-01-01T00:00:00Z,555-1")
+    row, = ingest.read_csv(spark, calls, ingest.CALL_LOG_SCHEMA).collect()
+    assert (row.caller_mobile_number, row.callee_mobile_number, row.duration) == ("555-1", "555-2", 9)
+    header = list(reversed(ingest.RAW_CUSTOMER_HEADER))
+    customers = _file(tmp_path / "c", ",".join(header), ",".join("7" if c in ("tenure", "SeniorCitizen", "MonthlyCharges") else c for c in header))
+    bronze = ingest.bronze_tables(spark, customers, mobile, calls)
+    row, = bronze["customers"].collect()
+    assert row.customer_id == "customerID" and row.tenure == 7 and row.churn == "Churn" and row.monthly_charges == 7.0
+    assert bronze["customers"].columns == [c for c in ingest.CUSTOMER_COLUMNS if c != "mobile_number"]
+    assert bronze["quarantine"].count() == 0
+    assert [r.mobile_number for r in ingest.layered_tables(bronze)["silver_customers"].collect()] == [None]
+
+
+def test_csv_missing_and_repeated_columns_are_errors(spark, tmp_path):
+    with pytest.raises(ValueError, match="mobile_number.*missing"):
+        ingest.read_csv(spark, _file(tmp_path / "a", "customer_id,phone", "A,1"), ingest.MOBILE_SCHEMA)
+    with pytest.raises(ValueError, match="both customer_id"):
+        ingest.read_csv_checked(spark, _file(tmp_path / "b", "customerID,customer_id,mobile_number", "A,B,1"), ingest.MOBILE_SCHEMA)
+    two = _file(tmp_path / "c", "customer_id,mobile_number", "A,1")
+    (tmp_path / "c" / "part-1.csv").write_text("mobile_number,customer_id\n2,B\n")
+    with pytest.raises(Exception):
+        ingest.read_csv(spark, two, ingest.MOBILE_SCHEMA).collect()
+
+
+def test_bad_csv_rows_go_to_the_quarantine(spark, tmp_path):
+    header = "duration,callee_mobile_number,caller_mobile_number,datatime"
+    lines = ["9,555-2,555-1,t1", "10,555-2", "ten,555-3,555-1,t2", "11,555-4,555-1,t3,more", ",555-5,555-1,t4"]
+    good, bad = ingest.read_csv_checked(spark, _file(tmp_path / "l", header, *lines), ingest.CALL_LOG_SCHEMA, "call_log")
+    assert sorted((r.datatime, r.duration) for r in good.collect()) == [("t1", 9), ("t4", None)]
+    assert good.select("datatime").count() == 2  # the same with fewer columns read
+    assert sorted(r.record for r in bad.collect()) == sorted(lines[1:4])
+    assert {(r.source, r.file.endswith("part-0.csv")) for r in bad.collect()} == {("call_log", True)}
+    assert [tuple(r) for r in ingest.quarantine_counts(bad).collect()] == [("call_log", 3)]
+    with pytest.raises(Exception):
+        ingest.read_csv(spark, str(tmp_path / "l"), ingest.CALL_LOG_SCHEMA).collect()

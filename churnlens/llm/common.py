@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +32,42 @@ def scratch(spark: SparkSession, tag: str) -> str:
     return scratch_path(spark, f"{tag}-{uuid.uuid4().hex}")
 
 
+#: Rows and bytes of an Arrow batch that goes to a Python worker. A batch lies
+#: in the JVM's buffers, in the worker's, and in part as Python objects.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20}
+
+
+def _size(setting: str | None) -> int:
+    """A number, or bytes with a unit; 0 where there is none."""
+    number, unit = re.fullmatch(r"(-?\d*)\s*([kmgt]?)b?", (setting or "").lower()).groups()
+    return int(number or 0) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Arrow batches of at most BATCH for what is run inside; smaller settings
+    of the session hold."""
+    before = {k: spark.conf.get(k, None) for k in BATCH}
+    try:
+        for k, most in BATCH.items():
+            now = _size(before[k])
+            spark.conf.set(k, str(min(now, most) if now > 0 else most))
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def released(batches):
+    """Batches of a Python stage; when the task is done, Arrow gives what it
+    holds back to the system, as the worker lives on for other tasks."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -37,7 +76,8 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     Spark's own size check, a large one is shuffled and skew-split).
     """
     path = scratch(df.sparkSession, tag)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -57,6 +97,13 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"[^ \t-\r]+")).cast("long")
 
 
+def slices(batches, rows: int = 256):
+    """Arrow batches of a few rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def pairs(batches, rows: int = 256):
     """Values of the first two columns of Arrow batches, a few rows at a time:
     a batch of long texts is never held as Python strings at once."""

@@ -30,6 +30,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import written
+from churnlens.llm.common import slices, written
 
 BLOCK, PASS_ITEMS, PASS_BYTES = 16, 1024, 1 << 20
 K1, B = 1.2, 0.75
@@ -186,7 +187,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.5, over
         def run(batches, index=index):
             at, names = index.value
             search = Search(at, overlap)
-            for batch in parts(batches):
+            for batch in slices(batches, 128):
                 out = [[] for _ in range(6)]
                 for i, found in zip(batch.column(0).to_pylist(), search(batch.column(1).to_pylist())):
                     for item, got in sorted(found.items()):
@@ -205,14 +206,18 @@ def clean(docs: DataFrame, benchmark: DataFrame, share: float = 0.5, overlap: fl
     """The rows of ``docs`` in which no item stands, by the rules of
     ``contaminated``; rows without id are judged like others."""
     for index in indexes(benchmark, share, overlap, text_col, item_col):
+        docs = docs.where(_holds_none(index, overlap)(F.coalesce(F.col(text_col), F.lit(""))))
+    return docs
 
-        @F.pandas_udf("boolean")
-        def holds_none(texts, index=index):
-            search = Search(index.value[0], overlap)
-            return pd.Series([not x for k in range(0, len(texts), 128) for x in search(list(texts[k:k + 128]))])
 
-        docs = docs.where(holds_none(F.coalesce(F.col(text_col), F.lit(""))))
-    return docs
+def _holds_none(index, overlap: float):
+    @F.pandas_udf("boolean")
+    def holds_none(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        search = Search(index.value[0], overlap)  # one for a task
+        for texts in batches:
+            yield pd.Series([not x for k in range(0, len(texts), 128) for x in search(list(texts[k:k + 128]))])
+
+    return holds_none
 
 
 class Search(dict):
@@ -248,13 +253,6 @@ class Search(dict):
         return out
 
 
-def parts(batches, rows: int = 128):
-    """Arrow batches of a few rows."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
-
-
 def indexes(benchmark: DataFrame, share: float, overlap: float, text_col: str, item_col: str):
     """A broadcast (indexes, item ids) for each pass; an item's number in the
     index is its place in the list, as ids may repeat."""

@@ -49,7 +49,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import ASCII_LOWER, written
+from churnlens.llm.common import ASCII_LOWER, released, slices, written
 
 #: Sets in a signature's group from which on it counts as crowded.
 CROWD = 16
@@ -211,7 +211,7 @@ def _packer(width: int, bands: Bands, buckets: int):
     def run(batches):
         cache, seen = WordHashes(), set()
         sigs, fps, held = [], [], 0
-        for batch in batches:
+        for batch in slices(batches):
             docs = []
             for i, key, text in zip(*(c.to_pylist() for c in batch.columns)):
                 s = shingles(text, cache, width)
@@ -279,13 +279,14 @@ def _groups(batches):
             yield pa.record_batch([pa.nulls(docs.num_rows, t.type) if t.name in ("members", "sig", "times") else docs.column(t.name)
                                    for t in flat], schema=flat)
         rest = batch.filter(pc.invert(is_doc))
-        for bucket, s, f in zip(*(rest.column(c).to_pylist() for c in ("bucket", "sig", "fp"))):
-            if bucket != at:
-                if sigs:
-                    yield from of(at, sigs, fps)
-                at, sigs, fps = bucket, [], []
-            sigs.append(s)
-            fps.append(f)
+        for some in slices([rest]):
+            for bucket, s, f in zip(*(some.column(c).to_pylist() for c in ("bucket", "sig", "fp"))):
+                if bucket != at:
+                    if sigs:
+                        yield from of(at, sigs, fps)
+                    at, sigs, fps = bucket, [], []
+                sigs.append(s)
+                fps.append(f)
     if sigs:
         yield from of(at, sigs, fps)
 
@@ -546,8 +547,9 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80,
     rows = docs.select(F.col(id_col).cast("string").alias("doc"), F.xxhash64(text_col).alias("text_key"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     buckets = min(max(64, docs.count() // 256), 1 << 20)
-    packed = rows.mapInArrow(_packer(width, bands, buckets), _PACKED)
-    flat = written(packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_groups, _FLAT), "groups")
+    pack = _packer(width, bands, buckets)
+    packed = rows.mapInArrow(lambda b: released(pack(b)), _PACKED)
+    flat = written(packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda b: released(_groups(b)), _FLAT), "groups")
     seen = flat.where("n is not null").select("doc", "text_key", "set", "n", "band", "even", "odd")
     ident = F.col("doc").cast(id_type)
     classes = written(seen.where("doc is not null and n > 0").groupBy("set").agg(

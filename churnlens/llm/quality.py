@@ -18,14 +18,16 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import written
+from churnlens.llm.common import slices, written
 
 WORDS = re.compile(r"\w+|[^\w\s]+")
 _SAME = np.uint64(xxhash.xxh64_intdigest("<same>"))
@@ -102,7 +104,7 @@ def train(labelled: DataFrame, max_rows: int = 12_000, shards: int = 4, rounds:
 
     def extract(batches):
         cache = _Hashes()
-        for b in batches:
+        for b in slices(batches):
             got = [features(t, bits, cache) for t in b.column("text").to_pylist()]
             yield pa.record_batch(
                 [b.column("h"), b.column("label"), pa.array([a.astype("<i4").tobytes() for a, _ in got], pa.binary()),
@@ -144,21 +146,18 @@ def score(docs: DataFrame, w: np.ndarray, id_col: str = "doc_id", text_col: str
     bits = (len(w) - 1).bit_length() - 1
 
     @F.pandas_udf("double")
-    def probability(texts):
-        import pandas as pd
-        w, cache = shared.value, _CACHE
-        got = np.empty(len(texts))
-        for i, t in enumerate(texts):
-            at, x = features(t or "", bits, cache)
-            got[i] = w[at] @ x + w[-1]
-        return pd.Series(1 / (1 + np.exp(-np.clip(got, -35, 35))))
+    def probability(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        w, cache = shared.value, _Hashes()  # the cache goes with the task
+        for texts in parts:
+            got = np.empty(len(texts))
+            for i, t in enumerate(texts):
+                at, x = features(t or "", bits, cache)
+                got[i] = w[at] @ x + w[-1]
+            yield pd.Series(1 / (1 + np.exp(-np.clip(got, -35, 35))))
 
     return docs.withColumn(name, probability(F.coalesce(F.col(text_col), F.lit(""))))
 
 
-_CACHE = _Hashes()
-
-
 def held_out(doc_id) -> F.Column:
     """crc32 of the id's text, modulo 5, is 0."""
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 5 == 0, F.lit(False))

@@ -24,6 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -124,11 +125,12 @@ def train(labelled: DataFrame, max_rows: int = 12_000, shards: int = 4, rounds:
             for turn in range(epochs):
                 rng = np.random.default_rng(k * epochs + turn)
                 ftrl((data[i][1:] for i in rng.permutation(len(data))), *mine, alpha, beta, l1, l2)
-            return pa.table({"z": [mine[0].tobytes()], "n": [mine[1].tobytes()]})
+            pack = zstandard.ZstdCompressor()  # most coordinates are zero
+            return pa.table({"z": [pack.compress(mine[0].tobytes())], "n": [pack.compress(mine[1].tobytes())]})
 
-        got = rows.groupBy("shard").applyInArrow(fit, "z binary, n binary").collect()  # one state per shard
-        if got:
-            z, sq = (np.mean([np.frombuffer(r[c]) for r in got], axis=0) for c in ("z", "n"))
+        got = rows.groupBy("shard").applyInArrow(fit, "z binary, n binary").toArrow()  # one state per shard
+        if got.num_rows:
+            z, sq = (sum(np.frombuffer(zstandard.decompress(x.as_py())) for x in got.column(c)) / got.num_rows for c in ("z", "n"))
         state.destroy()
     w = weights(z, sq, alpha, beta, l1, l2)
     w[-1] = -z[-1] * alpha / (beta + np.sqrt(sq[-1]))

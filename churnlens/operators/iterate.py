@@ -1,53 +1,44 @@
 """Loop support for iterated graph operators.
 
-Each round builds a new state DataFrame from the previous one, so the plan
-grows with the round count. Every ``every`` rounds the state is written with
-a reliable ``checkpoint()`` into the session's checkpoint directory (shared
-storage on a cluster), which cuts the lineage: a lost executor then
-recomputes at most ``every`` rounds, from files, not from the beginning.
-Between checkpoints each state is persisted so the next round and the stop
-test read it once; all persisted copies are released after a checkpoint
-(they are no longer needed to recompute anything).
+Each round builds a new state DataFrame from the previous one. The state is
+written as a table next to the session's checkpoint directory (shared storage
+on a cluster) and read back: that cuts the lineage, so a lost executor rereads
+files, and it shows the planner the true size of the state. A small state is
+then broadcast by Spark's own size check; a large one is shuffled, and as
+neither side of its joins was aggregated in place, AQE splits hot keys. The
+tables are scratch of a run; the owner of the folder clears it.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from churnlens.session import ensure_checkpoint_dir
+from churnlens.session import scratch_path
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to shared storage once and read from there."""
+    path = scratch_path(df.sparkSession, f"state/{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 class StateLoop:
-    def __init__(self, every: int = 4):
-        self.every = max(1, every)
-        self._held: list[DataFrame] = []
-        self._round = 0
+    """Rounds of a state; ``every`` is kept for callers that name it: each
+    state is stored, as each is read by the next round and its stop test."""
+
+    def __init__(self, every: int = 1):
+        self.every = every
 
     def advance(self, state: DataFrame) -> DataFrame:
-        """Register round ``state``; return the DataFrame to build on."""
-        self._round += 1
-        if self._round % self.every == 0:
-            return self._checkpoint(state)
-        out = state.persist(StorageLevel.MEMORY_AND_DISK)
-        self._held.append(out)
-        return out
+        """Store round ``state``; return the DataFrame to build on."""
+        return stored(state)
 
     def finish(self, state: DataFrame) -> DataFrame:
-        """Write the final state and release every cached round."""
-        return self._checkpoint(state)
-
-    def _checkpoint(self, state: DataFrame) -> DataFrame:
-        """Reliable checkpoint; the state is cached first because writing the
-        checkpoint files is a second job over the same lineage."""
-        ensure_checkpoint_dir(state.sparkSession)
-        cached = state.persist(StorageLevel.MEMORY_AND_DISK)
-        out = cached.checkpoint(eager=True)
-        cached.unpersist(blocking=False)
-        for df in self._held:
-            df.unpersist(blocking=False)
-        self._held = []
-        return out
+        return stored(state)
 
 
 def persist(df: DataFrame) -> DataFrame:

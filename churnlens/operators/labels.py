@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.operators.iterate import StateLoop, persist
+from churnlens.operators.dense import DenseGraph
+from churnlens.operators.iterate import StateLoop, persist, stored
 from churnlens.operators.skew import PART, copies, deal, heavy_keys
 
 
@@ -17,8 +18,41 @@ def _vote_edges(e: DataFrame) -> DataFrame:
             .unionByName(k.select(F.col("src").alias("to"), F.col("dst").alias("frm"))))
 
 
-def label_propagation(vertex_ids: DataFrame, e: DataFrame, max_iter: int = 5,
-                      checkpoint_every: int = 3) -> DataFrame:
+def ballots(g: DenseGraph, votes: DataFrame) -> tuple[Column, Column]:
+    """An aggregate over (label, n) rows that ranks labels by votes, then the
+    smaller first, and the winning label of that aggregate, named ``key``.
+
+    Votes and label are packed into one number, which Spark aggregates by
+    hashing; where a vertex has so many votes that they don't fit, a struct is
+    ranked instead, by sorting.
+    """
+    bits = max(1, (g.n - 1).bit_length())
+    most = votes.groupBy("to").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    last = F.lit((1 << bits) - 1)
+    if most.bit_length() + bits < 63:
+        return (F.max(F.shiftleft("n", bits) + last - F.col("label")).alias("key"), last - F.col("key").bitwiseAND(last))
+    return F.max(F.struct("n", (last - F.col("label")).alias("l"))).alias("key"), last - F.col("key.l")
+
+
+def label_rounds(g: DenseGraph, max_iter: int) -> DataFrame:
+    """(id, label) of the vertices with neighbours after ``max_iter`` rounds."""
+    votes_edges = _vote_edges(g.edges)
+    n_parts = int(g.edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    best, winner = ballots(g, votes_edges)
+    heavy = heavy_keys(votes_edges.groupBy("frm").agg(F.count(F.lit(1)).alias("n")), "frm")
+    votes_edges = persist(deal(votes_edges, heavy, "frm", "to").repartition(n_parts, "frm", PART))
+    labels = votes_edges.select(F.col("to").alias("id")).distinct().select("id", F.col("id").alias("label"))
+    loop = StateLoop()
+    for _ in range(max_iter):
+        msgs = (votes_edges.join(copies(labels.select(F.col("id").alias("frm"), "label"), heavy, "frm"), ["frm", PART])
+                .groupBy("to", "label").agg(F.count(F.lit(1)).alias("n")))
+        labels = loop.advance(msgs.groupBy(F.col("to").alias("id")).agg(best).select("id", winner.alias("label")))
+    labels = labels if max_iter else stored(labels)
+    votes_edges.unpersist(blocking=False)
+    return labels
+
+
+def label_propagation(vertex_ids: DataFrame, e: DataFrame, max_iter: int = 5, graph: DenseGraph | None = None) -> DataFrame:
     """Synchronous label propagation for ``max_iter`` rounds; (id, label).
 
     Every vertex starts with its own id. Each round every vertex takes the
@@ -26,32 +60,17 @@ def label_propagation(vertex_ids: DataFrame, e: DataFrame, max_iter: int = 5,
     edge, both directions; a reciprocal pair votes twice, a self-loop not at
     all); ties go to the smallest label; a vertex without neighbours keeps its
     label. Votes are counted per (vertex, label) with a partial aggregate and
-    the winner is picked with ``min_by`` over (-count, label), so a hub's
+    the winner is the largest packed number of votes and label, so a hub's
     votes are reduced map-side and never collected as a list.
 
     The loop state holds only vertices with neighbours (they receive votes
-    every round); all other vertices keep their id and are added once at the
-    end. The vote edges are hash-partitioned by sender (a heavy one by parts)
-    once and cached, so a round moves only the label state and the counted
-    votes.
+    every round), as dense ids; all other vertices keep their id and are added
+    once at the end. The vote edges are hash-partitioned by sender (a heavy one
+    by parts) once and cached, so a round moves only the label state and the
+    counted votes. ``graph`` is the dense form of ``e``, where it is known.
     """
-    votes_edges = _vote_edges(e)
-    n_parts = e.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    heavy = heavy_keys(votes_edges.groupBy("frm").agg(F.count(F.lit(1)).alias("n")), "frm")
-    votes_edges = persist(deal(votes_edges, heavy, "frm", "to").repartition(int(n_parts), "frm", PART))
-    labels = votes_edges.select(F.col("to").alias("id")).distinct().select(
-        "id", F.col("id").alias("label"))
-    loop = StateLoop(checkpoint_every)
-    for _ in range(max_iter):
-        msgs = (votes_edges.join(copies(labels.select(F.col("id").alias("frm"), "label"), heavy, "frm"), ["frm", PART])
-                .groupBy("to", "label").agg(F.count(F.lit(1)).alias("n")))
-        new = (msgs.groupBy("to")
-               .agg(F.min_by("label", F.struct((-F.col("n")).alias("k"), F.col("label").alias("l")))
-                    .alias("label"))
-               .withColumnRenamed("to", "id"))
-        labels = loop.advance(new)
-    labels = loop.finish(labels)
-    votes_edges.unpersist(blocking=False)
+    g = graph or DenseGraph.of(e)
+    labels = g.back(label_rounds(g, max_iter), "id", "label")
     return (vertex_ids.select("id").distinct().join(labels, "id", "left")
             .select("id", F.coalesce("label", "id").alias("label")))
 
@@ -63,59 +82,47 @@ def _undirected_pairs(e: DataFrame) -> DataFrame:
                     F.least("src", "dst").alias("small")).distinct()
 
 
-def _large_star(p: DataFrame) -> DataFrame:
-    """Link every larger neighbour of u to the minimum of u's closed
-    neighbourhood."""
-    d = (p.select(F.col("big").alias("u"), F.col("small").alias("v"))
-         .unionByName(p.select(F.col("small").alias("u"), F.col("big").alias("v"))))
-    m = persist(d.groupBy("u").agg(F.min("v").alias("mv"), F.count(F.lit(1)).alias("n")))
-    heavy = heavy_keys(m, "u")
-    out = (deal(d, heavy, "u", "v").join(copies(m, heavy, "u"), ["u", PART]).where(F.col("v") > F.col("u"))
-           .select(F.col("v").alias("big"), F.least("mv", "u").alias("small")))
-    return out.where(F.col("big") != F.col("small")).distinct(), m
-
+def _both_ways(p: DataFrame) -> DataFrame:
+    return (p.select(F.col("big").alias("u"), F.col("small").alias("v"))
+            .unionByName(p.select(F.col("small").alias("u"), F.col("big").alias("v"))))
 
-def _small_star(p: DataFrame) -> DataFrame:
-    """Link u and its smaller neighbours to the minimum of them."""
-    m = p.groupBy("big").agg(F.min("small").alias("m"), F.count(F.lit(1)).alias("n"))
-    heavy = heavy_keys(m, "big")
-    j = deal(p, heavy, "big", "small").join(copies(m, heavy, "big"), ["big", PART])
-    out = (j.select(F.col("small").alias("big"), F.col("m").alias("small"))
-           .unionByName(m.select("big", F.col("m").alias("small"))))
-    return out.where(F.col("big") != F.col("small")).distinct()
 
+def component_rounds(pairs: DataFrame) -> DataFrame:
+    """(big, small) stars of the components of (big, small) pairs.
 
-def _converged(p: DataFrame) -> bool:
-    """True when the pairs form stars: each vertex has at most one smaller
-    partner and no partner of that kind has a smaller partner itself."""
-    multi = p.groupBy("big").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > 1)
-    chained = p.join(p.select(F.col("big").alias("small")).distinct(), "small", "left_semi")
-    return multi.limit(1).count() == 0 and chained.limit(1).count() == 0
-
-
-def connected_components(vertex_ids: DataFrame, e: DataFrame, checkpoint_every: int = 1) -> DataFrame:
+    A round first stores each vertex's least neighbour and number of
+    neighbours. Where every vertex with several neighbours is smaller than all
+    of them, the pairs are stars and the rounds end. The table of one row per
+    vertex is stored and not aggregated in place, so AQE can split a hub's part
+    of the joins with it.
+    """
+    p = stored(pairs)
+    while True:
+        near = stored(_both_ways(p).groupBy("u").agg(F.min("v").alias("mv"), F.count(F.lit(1)).alias("n")))
+        if near.where("n > 1 and mv < u").isEmpty():
+            return p
+        # large star: every larger neighbour of u to the minimum of u's closed neighbourhood
+        large = stored(_both_ways(p).join(near.select("u", "mv"), "u").where(F.col("v") > F.col("u"))
+                       .select(F.col("v").alias("big"), F.least("mv", "u").alias("small")).distinct())
+        # small star: u and its smaller neighbours to the minimum of them
+        least = stored(large.groupBy("big").agg(F.min("small").alias("m")))
+        p = stored(large.join(least, "big").select(F.col("small").alias("big"), F.col("m").alias("small"))
+                   .unionByName(least.select("big", F.col("m").alias("small")))
+                   .where(F.col("big") != F.col("small")).distinct())
+
+
+def connected_components(vertex_ids: DataFrame, e: DataFrame, graph: DenseGraph | None = None) -> DataFrame:
     """Weakly connected components; (id, component), component = smallest id.
 
     Alternating large-star / small-star rounds (Kiveris et al., 2014) over
-    the undirected pair set; each round is a few joins and aggregates over at
-    most the current pairs, and the number of rounds grows with log^2 of the
-    vertex count rather than with the graph diameter. On exit every vertex
-    points at its component's smallest id; vertices without edges are their
-    own component. A round reads the pair set several times, so lineage is
-    cut after every round by default.
+    the undirected pair set of dense ids; each round is a few joins and
+    aggregates over at most the current pairs, and the number of rounds grows
+    with log^2 of the vertex count rather than with the graph diameter. On exit
+    every vertex points at its component's smallest id; vertices without edges
+    are their own component.
     """
-    first = p = persist(_undirected_pairs(e))
-    loop = StateLoop(checkpoint_every)
-    while True:
-        large, m = _large_star(p)
-        large = persist(large)
-        p = loop.advance(_small_star(large))
-        for df in (large, m):
-            df.unpersist(blocking=False)
-        if _converged(p):
-            break
-    p = loop.finish(p)
-    first.unpersist(blocking=False)
-    return (vertex_ids.select("id").distinct()
-            .join(p.select(F.col("big").alias("id"), F.col("small").alias("component")), "id", "left")
+    g = graph or DenseGraph.of(e)
+    p = component_rounds(_undirected_pairs(g.edges))
+    found = g.back(p.select(F.col("big").alias("id"), F.col("small").alias("component")), "id", "component")
+    return (vertex_ids.select("id").distinct().join(found, "id", "left")
             .select("id", F.coalesce("component", "id").alias("component")))

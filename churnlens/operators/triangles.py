@@ -7,9 +7,10 @@ a < b < c is the path a->b->c closed by a->c, found by one equi-join on the
 middle vertex and one on the (a, c) pair. A vertex keeps at most sqrt(2m)
 out-edges under this orientation, so the middle-vertex join emits at most
 O(m^1.5) paths in total, and a hub (high degree, hence few out-edges) is
-never asked to pair up its own neighbours. Joins on a hub are dealt over parts
-of its edges (``skew``): the degree lookups of the orientation, and the
-middle-vertex join, whose left side holds the hub's many in-edges.
+never asked to pair up its own neighbours. Edges and degrees are stored
+tables, so both sides of every join are shuffled for it and AQE splits a hub's
+part: in the degree lookups of the orientation, and in the middle-vertex join,
+whose left side holds the hub's many in-edges.
 """
 
 from __future__ import annotations
@@ -18,8 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.operators.degrees import degree_counts
-from churnlens.operators.iterate import StateLoop
-from churnlens.operators.skew import PART, copies, deal, heavy_keys
+from churnlens.operators.iterate import stored
 
 
 def weighted_simple_edges(e: DataFrame) -> DataFrame:
@@ -36,12 +36,9 @@ def oriented_edges(simple: DataFrame) -> DataFrame:
     """Orient each undirected edge low -> high by (undirected degree, id)."""
     ends = simple.select(F.inline(F.array(F.struct(F.col("u").alias("x")),
                                           F.struct(F.col("v").alias("x")))))
-    deg = ends.groupBy("x").agg(F.count(F.lit(1)).alias("d"))
-    heavy = heavy_keys(deg, "x", "d")
-    hu, hv = heavy.withColumnRenamed("x", "u"), heavy.withColumnRenamed("x", "v")
-    du = copies(deg.select(F.col("x").alias("u"), F.col("d").alias("du")), hu, "u")
-    dv = copies(deg.select(F.col("x").alias("v"), F.col("d").alias("dv")), hv, "v")
-    j = deal(deal(simple, hu, "u", "v").join(du, ["u", PART]).drop(PART), hv, "v", "u").join(dv, ["v", PART])
+    deg = stored(ends.groupBy("x").agg(F.count(F.lit(1)).alias("d")))
+    j = (simple.join(deg.select(F.col("x").alias("u"), F.col("d").alias("du")), "u")
+         .join(deg.select(F.col("x").alias("v"), F.col("d").alias("dv")), "v"))
     u_first = (F.col("du") < F.col("dv")) | ((F.col("du") == F.col("dv")) & (F.col("u") < F.col("v")))
     return j.select(F.when(u_first, F.col("u")).otherwise(F.col("v")).alias("a"),
                     F.when(u_first, F.col("v")).otherwise(F.col("u")).alias("b"),
@@ -50,13 +47,11 @@ def oriented_edges(simple: DataFrame) -> DataFrame:
 
 def list_triangles(e: DataFrame) -> DataFrame:
     """One row per undirected triangle: (a, b, c, w_ab, w_bc, w_ac)."""
-    o = StateLoop().finish(oriented_edges(weighted_simple_edges(e)))  # read three times
+    o = stored(oriented_edges(stored(weighted_simple_edges(e))))  # each is read several times
     ab = o.select("a", "b", F.col("w").alias("w_ab"))
     bc = o.select(F.col("a").alias("b"), F.col("b").alias("c"), F.col("w").alias("w_bc"))
     ac = o.select("a", F.col("b").alias("c"), F.col("w").alias("w_ac"))
-    heavy = heavy_keys(ab.groupBy("b").agg(F.count(F.lit(1)).alias("n")), "b")
-    return (deal(ab, heavy, "b", "a").join(copies(bc, heavy, "b"), ["b", PART]).join(ac, ["a", "c"])
-            .select("a", "b", "c", "w_ab", "w_bc", "w_ac"))
+    return ab.join(bc, "b").join(ac, ["a", "c"]).select("a", "b", "c", "w_ab", "w_bc", "w_ac")
 
 
 def triangle_counts(e: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from churnlens.functions.columns import clustering_coefficient
 from churnlens.operators import community, degrees, labels, neighbours, pagerank, triangles
-from churnlens.operators.iterate import StateLoop
+from churnlens.operators.dense import DenseGraph
+from churnlens.operators.iterate import stored
 
 GRAPH_FEATURE_COLUMNS = [
     "customer_id", "degree", "in_degree", "out_degree", "in_degree_ratio",
@@ -29,17 +30,18 @@ def graph_features(customers: DataFrame, e: DataFrame, pagerank_iter: int = 10,
     and communities use edges with both ends known (decision D2).
 
     Every partial result is keyed by customer id and joined once; the edge
-    table is stored by a checkpoint because six operators read it, and goes
-    when the result is no longer referred to.
+    table is stored because six operators read it, and so is its dense form, on
+    which the iterated ones run.
     """
-    e = StateLoop().finish(e.select("dst", "src"))
+    e = stored(e.select("dst", "src"))
+    g = DenseGraph.of(e)
     v = customers.select(F.col("customer_id").alias("id"), "monthly_charges",
                          "total_charges", "tenure")
     ids = v.select("id")
     deg = degrees.with_degree_ratios(degrees.degree_features(customers, e))
-    pr = pagerank.pagerank(ids, e, max_iter=pagerank_iter).withColumnRenamed("id", "customer_id")
-    tri = triangles.triangle_counts(e).withColumnRenamed("id", "customer_id")
-    lab = labels.label_propagation(ids, e, max_iter=label_iter)
+    pr = pagerank.pagerank(ids, e, max_iter=pagerank_iter, graph=g).withColumnRenamed("id", "customer_id")
+    tri = g.back(triangles.triangle_counts(g.edges), "id").withColumnRenamed("id", "customer_id")
+    lab = labels.label_propagation(ids, e, max_iter=label_iter, graph=g)
     comm = (community.community_deviation(lab, v).drop("label")
             .withColumnRenamed("id", "customer_id"))
     nb = (neighbours.neighbour_averages(v, e, neighbour_direction)

@@ -51,6 +51,21 @@ FROM {prefix}V v LEFT JOIN (
     return ctes
 
 
+def pagerank_active(tol: float = 0.01, vertices: str = "V", k: str = "K", prefix: str = "PA") -> list[tuple[str, str]]:
+    """Residuals of at least one round after another until none is above the
+    tolerance; a rank is all that a vertex received."""
+    return [(f"{prefix}W", f"SELECT {k}.src, {k}.dst, o.od FROM {k} JOIN "
+             f"(SELECT src, count(*) AS od FROM {k} GROUP BY src) o ON o.src = {k}.src"),
+            (f"{prefix}D(round, id, delta)", f"""
+SELECT 0, id, CAST(0.15 AS DOUBLE) FROM {vertices}
+UNION ALL
+SELECT d.round + 1, w.dst, CAST(0.85 AS DOUBLE) * sum(d.delta / w.od) FROM {prefix}D d JOIN {prefix}W w ON w.src = d.id
+WHERE d.delta > CAST({tol} AS DOUBLE) GROUP BY d.round, w.dst"""),
+            (f"{prefix}R", f"SELECT id, sum(delta) AS rank FROM {prefix}D GROUP BY id"),
+            (prefix, f"SELECT id, rank * (SELECT CAST(count(*) AS DOUBLE) FROM {prefix}R) / (SELECT sum(rank) FROM {prefix}R) AS pagerank "
+             f"FROM {prefix}R")]
+
+
 def label_propagation(rounds: int, vertices: str = "V", k: str = "K", prefix: str = "LP") -> list[tuple[str, str]]:
     ctes = [(f"{prefix}E", f"SELECT dst AS tgt, src AS frm FROM {k} WHERE src <> dst "
              f"UNION ALL SELECT src AS tgt, dst AS frm FROM {k} WHERE src <> dst"),

@@ -373,11 +373,12 @@ def q_node_display_community(spark, sf_dir):
     return rounded_fine(node_display(size, color, scheme="cool", label_threshold=0.15), ["size_metric", "color_metric"])
 
 
-@register("pagerank_to_tolerance")
+@register("pagerank_to_tolerance", _gsql(
+    f"SELECT id, {r4('pagerank')} AS pagerank FROM PA", [_V] + og.known() + og.pagerank_active()))
 def q_pagerank_to_tolerance(spark, sf_dir):
-    """PageRank until no rank moves by 0.01 (rows-only: the number of rounds
-    follows the data; tested against fixed rounds)."""
-    return pagerank.pagerank(_vertex_ids(spark, sf_dir), fx.edges(spark, sf_dir), max_iter=100, tol=0.01)
+    """PageRank with the reference's stop rule: a vertex passes its residual on
+    while that is above 0.01."""
+    return rounded(pagerank.pagerank_active(_vertex_ids(spark, sf_dir), fx.edges(spark, sf_dir), tol=0.01))
 
 
 @register("edge_display", _gsql(

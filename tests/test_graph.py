@@ -92,6 +92,81 @@ def test_pagerank_nx(spark, edge_frame, vs, es):
     assert sum(got.values()) == pytest.approx(1.0)
 
 
+def _sequential_active(vs, es, tol):
+    """Residual PageRank one round and vertex at a time; (ranks, active vertices by round)."""
+    out = {}
+    for s, d in bf.known(es):
+        out.setdefault(s, []).append(d)
+    rank, active, sizes = {v: 0.15 for v in vs}, {v: 0.15 for v in vs if 0.15 > tol}, []
+    ends = {x for p in bf.known(es) for x in p}
+    active = {v: d for v, d in active.items() if v in ends}
+    while active:
+        sizes.append(len(active))
+        got = {}
+        for v, d in active.items():
+            for w in out.get(v, []):
+                got[w] = got.get(w, 0) + d / len(out[v])
+        for w in got:
+            got[w] *= 0.85
+            rank[w] += got[w]
+        active = {w: d for w, d in got.items() if d > tol}
+    return rank, sizes
+
+
+@pytest.mark.parametrize("vs,es", GRAPHS)
+@pytest.mark.parametrize("tol", [0.2, 0.05, 0.001])
+def test_pagerank_by_active_vertices(spark, edge_frame, id_frame, vs, es, tol):
+    sent = []
+    got = _map(pagerank.pagerank_active(id_frame(vs), edge_frame(es), tol, normalise="none", sent=sent), "id", "pagerank")
+    want, sizes = _sequential_active(vs, es, tol)
+    assert set(got) == set(vs) and sent == sizes
+    for k in vs:
+        assert got[k] == pytest.approx(want[k], rel=1e-9)
+
+
+def test_active_vertices_grow_fewer(spark, edge_frame, id_frame):
+    vs, es = random_graph(7, 60, 240)
+    sent = []
+    a = _map(pagerank.pagerank_active(id_frame(vs), edge_frame(es), 1e-3, sent=sent), "id", "pagerank")
+    b = _map(pagerank.pagerank(id_frame(vs), edge_frame(es), max_iter=60), "id", "pagerank")
+    assert sent[0] > sent[-1] and len(sent) > 9  # more rounds than are summed at a time
+    assert all(a[k] == pytest.approx(b[k], abs=0.1) for k in vs)
+    assert sum(a.values()) == pytest.approx(len(vs))
+
+
+def test_dense_ids_keep_the_order(spark):
+    from churnlens.operators.dense import DenseGraph, dictionary
+    ids = [f"{i * 37 % 2000}" for i in range(3000)] + [None, "é", ""]
+    got = dictionary(spark.createDataFrame([(i,) for i in ids], "id string").repartition(7)).collect()
+    want = sorted({i for i in ids if i is not None}, key=lambda s: s.encode())
+    assert [r.id for r in sorted(got, key=lambda r: r.k)] == want and sorted(r.k for r in got) == list(range(len(want)))
+    e = spark.createDataFrame(HAND, "src string, dst string").select("dst", "src")
+    g = DenseGraph.of(e)
+    assert sorted((r.src, r.dst) for r in g.back(g.edges, "src", "dst").collect()) == sorted(bf.known(HAND))
+    assert DenseGraph.of(e.limit(0)).n == 0
+
+
+def test_rounds_hash_aggregate(spark, edge_frame):
+    from churnlens.operators.dense import DenseGraph
+    g = DenseGraph.of(edge_frame(HAND))
+    votes = labels._vote_edges(g.edges)
+    best, winner = labels.ballots(g, votes)
+    msgs = votes.join(g.vertices.select(F.col("id").alias("frm"), F.col("id").alias("label")), "frm").groupBy("to", "label").agg(
+        F.count(F.lit(1)).alias("n"))
+    near = labels._both_ways(labels._undirected_pairs(g.edges)).groupBy("u").agg(F.min("v"), F.count(F.lit(1)))
+    for df in (msgs.groupBy("to").agg(best).select("to", winner.alias("label")), near):
+        assert "SortAggregate" not in df._jdf.queryExecution().toString()
+
+
+def test_ballots_beyond_one_number(spark):
+    from churnlens.operators.dense import DenseGraph
+    g = DenseGraph(None, None, 1 << 62)  # so many vertices that votes and label don't fit in 63 bits
+    votes = spark.createDataFrame([(0, 5), (0, 6)], "to long, frm long")
+    best, winner = labels.ballots(g, votes)
+    rows = spark.createDataFrame([(0, 9, 2), (0, 7, 3), (0, 8, 3)], "to long, label long, n long")
+    assert rows.groupBy("to").agg(best).select(winner.alias("w")).first().w == 7
+
+
 @pytest.mark.parametrize("vs,es", GRAPHS)
 @pytest.mark.parametrize("rounds", [1, 3, 6])
 def test_label_propagation(spark, edge_frame, id_frame, vs, es, rounds):

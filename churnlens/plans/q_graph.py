@@ -389,7 +389,7 @@ def q_edge_display(spark, sf_dir):
 
 # ---------------------------------------------------------------- paths
 
-from churnlens.operators import paths  # noqa: E402
+from churnlens.operators import paths, reach  # noqa: E402
 
 _NV = ("NV", "SELECT src AS id FROM K UNION SELECT dst FROM K")
 _UNDIRECTED_ARCS = "SELECT src AS u, dst AS w FROM K WHERE src <> dst UNION SELECT dst, src FROM K WHERE src <> dst"
@@ -399,7 +399,7 @@ _IN_ARCS = "SELECT dst AS u, src AS w FROM K WHERE src <> dst"
 def _distance_summary(spark, sf_dir):
     """One-row all-pairs summary of the undirected known-end graph; each
     path query below computes it from the tables itself."""
-    return paths.distance_summary(fx.edges(spark, sf_dir))
+    return reach.distance_summary(fx.edges(spark, sf_dir))
 
 
 _DIST_CTES = og.known() + [_NV] + og.bfs(_UNDIRECTED_ARCS)
@@ -441,7 +441,28 @@ def q_distance_summary(spark, sf_dir):
 SELECT s AS id, {r11("CASE WHEN sum(d) > 0 THEN (count(*) - 1) / CAST(sum(d) AS DOUBLE) * ((count(*) - 1) / CAST((SELECT count(*) - 1 FROM NV) AS DOUBLE)) ELSE 0.0 END")} AS closeness
 FROM BFS GROUP BY s""", og.known() + [_NV] + og.bfs(_IN_ARCS)))
 def q_closeness(spark, sf_dir):
-    return rounded_fine(paths.closeness(fx.edges(spark, sf_dir)), ["closeness"])
+    return rounded_fine(reach.closeness(fx.edges(spark, sf_dir)), ["closeness"])
+
+
+@register("closeness_sketch")
+def q_closeness_sketch(spark, sf_dir):
+    """Closeness from a distinct-count sketch per vertex, with its error
+    (rows-only: an estimate; measured against the exact form in the tests)."""
+    return reach.sketch_closeness(fx.edges(spark, sf_dir))
+
+
+@register("avg_path_length_sketch")
+def q_avg_path_length_sketch(spark, sf_dir):
+    """Average path length of the undirected graph from sketches (rows-only)."""
+    return reach.sketch_path_length(fx.edges(spark, sf_dir))
+
+
+@register("betweenness_sampled")
+def q_betweenness_sampled(spark, sf_dir):
+    """Betweenness from sampled shortest paths with its greatest error
+    (rows-only: an estimate; measured against the exact form in the tests)."""
+    from churnlens.operators.path_samples import sampled_betweenness
+    return sampled_betweenness(fx.edges(spark, sf_dir))
 
 
 @register("betweenness")

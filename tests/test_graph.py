@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import bruteforce as bf
 from churnlens.operators import (community, degrees, labels, neighbours, pagerank,
-                                 paths, triangles)
+                                 path_samples, paths, reach, triangles)
 
 # triangle a-b-c (b->a reciprocated), tail c->d, self-loop e, off-network
 # ends (null), a separate path f->g->h, and isolated z (vertex only).
@@ -185,7 +185,7 @@ def test_components(spark, edge_frame, id_frame, vs, es):
 
 @pytest.mark.parametrize("vs,es", GRAPHS)
 def test_closeness(spark, edge_frame, vs, es):
-    got = _map(paths.closeness(edge_frame(es), batch_size=5), "id", "closeness")
+    got = _map(reach.closeness(edge_frame(es), words=1), "id", "closeness")
     want = bf.closeness(es)
     assert set(got) == set(want)
     for k in want:
@@ -203,7 +203,7 @@ def test_betweenness(spark, edge_frame, vs, es):
 
 @pytest.mark.parametrize("vs,es", GRAPHS)
 def test_distance_summary(spark, edge_frame, vs, es):
-    got = paths.distance_summary(edge_frame(es), batch_size=5).first().asDict()
+    got = reach.distance_summary(edge_frame(es), words=1).first().asDict()
     want = bf.distance_summary(es)
     for k, v in want.items():
         assert got[k] == v
@@ -211,6 +211,57 @@ def test_distance_summary(spark, edge_frame, vs, es):
         assert got["diameter"] is None and got["avg_shortest_path"] is None
 
 
+@pytest.fixture(scope="module")
+def wide(spark):
+    """A graph of over 64 vertices: several words and passes of source bits."""
+    vs, es = random_graph(11, 150, 400)
+    return es, spark.createDataFrame(es, "src string, dst string").select("dst", "src")
+
+
+def test_distances_of_several_passes(wide):
+    es, e = wide
+    got, want = _map(reach.closeness(e, words=1), "id", "closeness"), bf.closeness(es)
+    assert set(got) == set(want) and all(got[k] == pytest.approx(want[k], abs=1e-12) for k in want)
+    row = reach.distance_summary(e, words=2).first().asDict()
+    assert all(row[k] == v for k, v in bf.distance_summary(es).items())
+
+
+@pytest.mark.parametrize("lg_k", [5, 11])
+def test_sketches_stay_near_the_exact_values(wide, lg_k):
+    es, e = wide
+    row, want = reach.sketch_path_length(e, lg_k).first(), bf.distance_summary(es)
+    exact = want["sum_distance"] / want["n_pairs"]
+    assert row.rel_std_error == pytest.approx(reach.sketch_error(lg_k))
+    assert abs(row.avg_shortest_path / exact - 1) < 3 * row.rel_std_error and row.hops >= want["max_distance"] - 1
+    got, near = _map(reach.sketch_closeness(e, lg_k), "id", "closeness"), bf.closeness(es)
+    off = [abs(got[k] / near[k] - 1) for k in near if near[k]]
+    assert set(got) == set(near) and sum(off) / len(off) < 3 * reach.sketch_error(lg_k)
+    assert all(got[k] == 0 for k in near if not near[k])
+
+
+def test_sampled_betweenness_keeps_its_bound(wide):
+    es, e = wide
+    rows = path_samples.sampled_betweenness(e, eps=0.06).collect()
+    want = bf.betweenness(es)
+    assert {r.id for r in rows} == set(want)
+    assert max(abs(r.betweenness - want[r.id]) for r in rows) < rows[0].max_error
+    top = max(want, key=want.get)
+    assert top in sorted((r.id for r in rows), key=lambda i: -next(r.betweenness for r in rows if r.id == i))[:5]
+
+
+def test_sampled_paths_in_small_batches(spark, edge_frame):
+    es = [("a", "b"), ("b", "c"), ("c", "d"), ("a", "x"), ("x", "c"), ("e", "e"), ("d", "a")]
+    a = _map(path_samples.sampled_betweenness(edge_frame(es), eps=0.12, rows=1), "id", "betweenness")
+    want = bf.betweenness(es)
+    assert all(abs(a[k] - want[k]) < 0.12 * 5 / 3 + 0.02 for k in want) and a["e"] == 0
+    assert {r.betweenness for r in path_samples.sampled_betweenness(edge_frame([("a", "b")])).collect()} == {0.0}
+
+
+def test_sample_size():
+    assert path_samples.sample_size(0.05, 0.1, 10) == -(-200 * (3 + 1 + 2.302585092994046) // 1)
+    assert path_samples.sample_size(0.05, 0.1, 2) == 1
+
+
 def test_neighbour_directions(spark, edge_frame):
     v = spark.createDataFrame([("a", 1.0, 10.0, 1), ("b", 2.0, None, 2), ("c", 4.0, 40.0, 4)],
                               "id string, monthly_charges double, total_charges double, tenure int")

@@ -505,3 +505,11 @@ def q_louvain_modularity(spark, sf_dir):
     return spark.createDataFrame([(q_lv, n_lv, q_lp)],
                                  "louvain_modularity double, louvain_communities long, "
                                  "label_propagation_modularity double")
+
+
+@register("community_labels")
+def q_community_labels(spark, sf_dir):
+    """Communities by semi-synchronous label propagation, the reference's
+    fallback (rows-only; the tests compare a sequential form)."""
+    from churnlens.operators.colouring import semi_synchronous_labels
+    return semi_synchronous_labels(_vertex_ids(spark, sf_dir), fx.bucket_edges(spark, sf_dir))

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from churnlens.sources.versions import location, replace_table, set_properties
+
 
 def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
     """Key values that are null or appear more than once (empty when valid)."""
@@ -23,40 +25,39 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def _checked(name: str, keys: list[str]):
+    """Refuses a written version whose key is null or repeated."""
+    def check(written: DataFrame) -> None:
+        if keys and not key_violations(written, keys).isEmpty():
+            raise ValueError(f"primary key {keys} of {name} is null or not unique")
+    return check
+
+
 def create_table(spark: SparkSession, name: str, df: DataFrame, primary_keys: list[str],
                  description: str, path: str | None = None) -> int:
-    """Replace feature table ``name`` with ``df`` after checking its key.
+    """Replace feature table ``name`` with ``df``, written as a new version and
+    checked there, so ``df`` is computed once.
 
-    Returns the row count. Raises if a key value is null or repeated.
+    Returns the row count. Raises if a key value is null or repeated; the table
+    is then as it was.
     """
-    bad = key_violations(df, primary_keys).limit(1).count()
-    if bad:
-        raise ValueError(f"primary key {primary_keys} of {name} is null or not unique")
-    w = df.write.mode("overwrite").format("parquet")
-    if path:
-        w = w.option("path", path)
-    w.saveAsTable(name)
-    desc = description.replace("\\", "\\\\").replace("'", "\\'")
-    keys = ",".join(primary_keys)
-    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('primary_keys' = '{keys}')")
-    spark.sql(f"COMMENT ON TABLE {name} IS '{desc}'")
-    return spark.table(name).count()
+    n = replace_table(df, name, path, _checked(name, primary_keys))
+    set_properties(spark, name, {"primary_keys": ",".join(primary_keys)}, description)
+    return n
 
 
 def write_table(spark: SparkSession, name: str, df: DataFrame) -> int:
-    """Overwrite the rows of an existing feature table, keeping its properties.
+    """Replace the rows of an existing feature table, keeping its properties.
 
     Columns are matched by name; missing or extra ones are an error, and so is
-    a null or repeated key.
+    a null or repeated key; the table is then as it was.
     """
     columns = spark.table(name).columns
     if set(df.columns) != set(columns) or len(df.columns) != len(columns):
         raise ValueError(f"columns of {name} are {columns}, given are {df.columns}")
-    keys = get_table(spark, name)["primary_keys"]
-    if keys and key_violations(df, keys).limit(1).count():
-        raise ValueError(f"primary key {keys} of {name} is null or not unique")
-    df.select(columns).write.mode("overwrite").insertInto(name, overwrite=True)
-    return spark.table(name).count()
+    rows = df.select([F.col(f.name).cast(f.dataType) for f in spark.table(name).schema])
+    home = location(spark, name).rsplit("/", 1)[0]
+    return replace_table(rows, name, home, _checked(name, get_table(spark, name)["primary_keys"]))
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

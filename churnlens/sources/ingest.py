@@ -8,6 +8,7 @@ from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, StringType,
                                StructField, StructType)
 
 from churnlens.functions.names import snake_name
+from churnlens.sources.versions import replace_table
 
 # Column order of the bronze customer table (notebook 01).
 CUSTOMER_COLUMNS = [
@@ -151,14 +152,10 @@ def write_csv(df: DataFrame, path: str, array_lengths: dict[str, int] | None = N
 def write_table(df: DataFrame, name: str, path: str | None = None) -> int:
     """Replace table ``name`` (schema included) and return its row count.
 
-    With ``path`` the table is external at that location (a shared folder);
-    otherwise it is managed in the session's warehouse.
+    Versions lie under ``path`` (a shared folder) or the session's warehouse;
+    the table moves to the new one when that is whole (``versions``).
     """
-    w = df.write.mode("overwrite").format("parquet")
-    if path:
-        w = w.option("path", path)
-    w.saveAsTable(name)
-    return df.sparkSession.table(name).count()
+    return replace_table(df, name, path)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -169,6 +166,11 @@ def ensure_schema(spark: SparkSession, schema: str) -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
 
 
+def current_namespace(spark: SparkSession) -> tuple[str, str]:
+    """Catalog and schema that unqualified names refer to."""
+    return tuple(spark.sql("SELECT current_catalog(), current_schema()").first())
+
+
 def use_schema(spark: SparkSession, schema: str) -> str:
     """Switch the current namespace and return it as read back."""
     spark.catalog.setCurrentDatabase(schema)

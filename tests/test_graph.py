@@ -321,3 +321,42 @@ def test_louvain_beats_singletons(spark, edge_frame, vs, es):
     singletons = {x: x for x in lab}
     assert q == pytest.approx(_brute_modularity(es, lab), abs=1e-12)
     assert q >= _brute_modularity(es, singletons) - 1e-12
+
+
+def _sequential_labels(vs, es):
+    """Greedy colours in the order of priority, then labels one vertex at a time."""
+    import hashlib
+    near = {v: set() for v in {x for p in bf.known(es) for x in p}}
+    for a, b in bf.known(es):
+        near[a].add(b)
+        near[b].add(a)
+    colour = {}
+    for v in sorted(near, key=lambda x: hashlib.md5(x.encode()).hexdigest() + x):
+        used = {colour[w] for w in near[v] if w != v and w in colour}
+        colour[v] = next(c for c in range(len(near) + 1) if c not in used)
+    label, moved = {v: v for v in near}, True
+    while moved:
+        moved = False
+        for v in sorted(near, key=lambda x: colour[x]):
+            votes = {}
+            for w in near[v]:
+                votes[label[w]] = votes.get(label[w], 0) + 1
+            best = [x for x, n in votes.items() if n == max(votes.values())]
+            if label[v] not in best:
+                label[v], moved = max(best), True
+    return colour, {v: label.get(v, v) for v in vs}
+
+
+@pytest.mark.parametrize("vs,es", [GRAPHS[0], random_graph(5, 40, 70)])
+def test_labels_by_colours(spark, edge_frame, id_frame, vs, es):
+    from churnlens.operators.colouring import colouring, neighbours_of, semi_synchronous_labels
+    from churnlens.operators.dense import DenseGraph
+    colour, label = _sequential_labels(vs, es)
+    g, rounds, changes = DenseGraph.of(edge_frame(es)), [], []
+    found = colouring(g, rounds)
+    assert _map(g.back(found, "id"), "id", "colour") == colour and sum(rounds) == len(colour)
+    ends = neighbours_of(g).join(found.withColumnRenamed("id", "u"), "u").join(
+        found.select(F.col("id").alias("v"), F.col("colour").alias("other")), "v")
+    assert ends.where("colour = other").isEmpty()
+    assert _map(semi_synchronous_labels(id_frame(vs), edge_frame(es), g, changes), "id", "label") == label
+    assert changes[-1] == 0

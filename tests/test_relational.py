@@ -236,3 +236,35 @@ def test_bad_csv_rows_go_to_the_quarantine(spark, tmp_path):
     assert [tuple(r) for r in ingest.quarantine_counts(bad).collect()] == [("call_log", 3)]
     with pytest.raises(Exception):
         ingest.read_csv(spark, str(tmp_path / "l"), ingest.CALL_LOG_SCHEMA).collect()
+
+
+def test_failing_writes_leave_the_table(spark, tmp_path):
+    from churnlens.sources import feature_table as ft
+    from churnlens.sources.versions import previous_version
+    name = "churnlens_test_versions"
+    ft.drop_table(spark, name)
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "customer_id string, x int")
+    ft.create_table(spark, name, df, ["customer_id"], "first", str(tmp_path / "t"))
+    assert previous_version(spark, name) is None
+    broken = df.withColumn("x", F.when(F.col("x") == 2, F.raise_error(F.lit("no"))).otherwise(F.col("x")).cast("int"))
+    for write in (lambda: ft.write_table(spark, name, broken), lambda: ft.create_table(spark, name, broken, ["customer_id"], "bad"),
+                  lambda: ingest.write_table(broken, name), lambda: ft.write_table(spark, name, df.union(df))):
+        with pytest.raises(Exception):
+            write()
+        assert rows(spark.table(name)) == [("a", 1), ("b", 2)] and ft.get_table(spark, name)["description"] == "first"
+    # a table replaced by what is read from it, then by other columns
+    assert ft.write_table(spark, name, spark.table(name).withColumn("x", F.col("x") * 10)) == 2
+    assert rows(spark.table(name)) == [("a", 10), ("b", 20)] and rows(previous_version(spark, name)) == [("a", 1), ("b", 2)]
+    assert ingest.write_table(df.withColumn("y", F.lit("z")), name, str(tmp_path / "u")) == 2
+    assert spark.table(name).columns == ["customer_id", "x", "y"] and rows(previous_version(spark, name)) == [("a", 10), ("b", 20)]
+    assert ft.get_table(spark, name) == {"name": name, "primary_keys": ["customer_id"], "description": "first"}
+    ft.drop_table(spark, name)
+
+
+def test_current_namespace(spark):
+    ingest.ensure_schema(spark, "churnlens_test")
+    ingest.use_schema(spark, "churnlens_test")
+    assert ingest.current_namespace(spark) == ("spark_catalog", "churnlens_test")
+    spark.catalog.setCurrentDatabase("default")
+    assert ingest.current_namespace(spark) == ("spark_catalog", "default")

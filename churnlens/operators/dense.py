@@ -12,7 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from itertools import accumulate
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.operators.iterate import stored
@@ -31,6 +31,22 @@ def dictionary(ids: DataFrame, id_col: str = "id") -> DataFrame:
         "id", (F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("before")).alias("k"))
 
 
+def positions(df: DataFrame, group: str, order: list[str]) -> DataFrame:
+    """``df`` with ``pos``, a row's place from 0 in its group by ``order``.
+
+    Range-partitioned by group and order, so a large group lies in many
+    partitions; what is windowed are the counts of (group, partition).
+    """
+    placed = stored(df.repartitionByRange(group, *order).sortWithinPartitions(group, *order)
+                    .withColumn("at_", F.monotonically_increasing_id()))
+    part = F.shiftright("at_", 33).alias("part_")
+    earlier = Window.partitionBy(group).orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)
+    counts = stored(placed.groupBy(group, part).agg(F.min("at_").alias("first_"), F.count(F.lit(1)).alias("k_"))
+                    .select(group, "part_", (F.col("first_") - F.coalesce(F.sum("k_").over(earlier), F.lit(0))).alias("shift_")))
+    return (placed.withColumn("part_", part).join(counts, [group, "part_"])
+            .withColumn("pos", F.col("at_") - F.col("shift_")).drop("at_", "part_", "shift_"))
+
+
 @dataclass
 class DenseGraph:
     """Known-end edges (dst, src) as numbers, and the way back."""

@@ -12,16 +12,21 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
+from pyspark.util import inheritable_thread_target
+
+from churnlens.operators.dense import positions
+from churnlens.operators.iterate import stored
 
 TARGET = "churn"
 KEY = "customer_id"
@@ -112,11 +117,66 @@ def search(df: DataFrame, target: str = TARGET, exclude: list[str] | None = None
     return res
 
 
+def search_halving(df: DataFrame, target: str = TARGET, exclude: list[str] | None = None, eta: int = 3, rungs: int = 3,
+                   parallel: int = 4, seed: int = 42, candidates: list | None = None, train_fraction: float = 0.8) -> SearchResult:
+    """Successive halving: all candidates are fitted on a small sample of the
+    training rows, the best 1 / ``eta`` of them by held-out log loss on ``eta``
+    times the rows, and so on to the last rung, which trains on all of them.
+
+    Samples are nested and chosen by the hash of key and seed; the held-out rows
+    are those of ``search``, and all of them are scored on every rung. The trials
+    of a rung run side by side, each in a scheduler pool of its own (with
+    ``spark.scheduler.mode`` FAIR they share the cluster evenly). A trial that
+    ends on an early rung is recorded with its metrics and where it stopped.
+    """
+    started = time.time()
+    feats = feature_columns(df, target, exclude)
+    spark, sc = df.sparkSession, df.sparkSession.sparkContext
+    place = F.pmod(F.xxhash64(KEY, F.lit(seed)), F.lit(10_000))
+    cut = int(train_fraction * 10_000)
+    # assembled once, not once a trial
+    data = VectorAssembler(inputCols=feats, outputCol="features").transform(
+        df.select(KEY, *feats, F.col(target).cast("double").alias("label"))).select(KEY, "features", "label", place.alias("place")).cache()
+    test = data.where(F.col("place") >= cut)
+    res = SearchResult(run_id=uuid.uuid4().hex[:12], features=feats, n_rows=data.count(), created=started)
+    left = list(enumerate(candidates or default_candidates(seed)))
+    inner = F.pmod(F.xxhash64(F.lit("rung"), KEY, F.lit(seed)), F.lit(1 << 20))
+
+    def fit(i, given, est, train):
+        sc.setLocalProperty("spark.scheduler.pool", f"trial-{i}")
+        t0 = time.time()
+        model = est.fit(train)
+        return i, model, {**given, **_metrics(model.transform(test)), "duration_s": time.time() - t0}
+
+    for rung in range(rungs):
+        last = rung == rungs - 1
+        share = 1.0 if last else float(eta) ** (rung - rungs + 1)
+        train = data.where((F.col("place") < cut) & (inner < int(share * (1 << 20))))
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            runs = [pool.submit(inheritable_thread_target(spark)(fit), i,
+                                {"trial": i, "algorithm": algo, "params": json.dumps(params, sort_keys=True), "rung": rung, "train_share": share},
+                                est, train) for i, (algo, est, params) in left]
+            done = sorted((r.result() for r in runs), key=lambda x: (x[2]["log_loss"], x[0]))
+        keep = len(done) if last else max(1, -(-len(done) // eta))
+        for k, (i, model, trial) in enumerate(done):
+            if last:
+                res.trials.append(trial)
+            elif k >= keep:
+                res.trials.append({**trial, "skipped": f"stopped at rung {rung}"})
+        if last and done:
+            res.best, best = done[0][2], done[0][1]
+            res.best_model = PipelineModel([VectorAssembler(inputCols=feats, outputCol="features"), best])
+        staying = {i for i, *_ in done[:keep]}
+        left = [c for c in left if c[0] in staying]
+    res.trials.sort(key=lambda t: t["trial"])
+    data.unpersist()
+    res.duration_s = time.time() - started
+    return res
+
+
 def trials_frame(spark: SparkSession, res: SearchResult) -> DataFrame:
     rows = [{"run_id": res.run_id, "created": res.created, **t} for t in res.trials]
-    schema = ("run_id string, created double, trial int, algorithm string, params string, "
-              "log_loss double, accuracy double, precision double, recall double, f1 double, "
-              "duration_s double, skipped string")
+    schema = TRIALS_SCHEMA
     names = [c.split()[0] for c in schema.split(", ")]
     return spark.createDataFrame([tuple(r.get(c) for c in names) for r in rows], schema=schema)
 
@@ -127,6 +187,29 @@ def append_trials(trials: DataFrame, path: str) -> DataFrame:
     return trials.sparkSession.read.schema(trials.schema).parquet(path)
 
 
+TRIALS_SCHEMA = ("run_id string, created double, trial int, algorithm string, params string, "
+                 "log_loss double, accuracy double, precision double, recall double, f1 double, "
+                 "duration_s double, skipped string, rung int, train_share double")
+
+
+def read_trials(spark: SparkSession, path: str) -> DataFrame:
+    """The history at ``path``; older runs have no rungs."""
+    return spark.read.schema(TRIALS_SCHEMA).parquet(path)
+
+
+def run_history(trials: DataFrame) -> DataFrame:
+    """(run_id, created, trials, best_trial, best_log_loss), the newest first."""
+    whole = F.when(F.col("skipped").isNull(), F.struct("log_loss", "trial"))
+    return (trials.groupBy("run_id", "created").agg(F.count(F.lit(1)).alias("trials"), F.min(whole).alias("best"))
+            .select("run_id", "created", "trials", F.col("best.trial").alias("best_trial"), F.col("best.log_loss").alias("best_log_loss"))
+            .orderBy(F.desc("created"), "run_id"))
+
+
+def held_out(df: DataFrame, seed: int = 42, train_fraction: float = 0.8) -> DataFrame:
+    """The rows that the searches don't train on."""
+    return df.where(F.pmod(F.xxhash64(KEY, F.lit(seed)), F.lit(10_000)) >= int(train_fraction * 10_000))
+
+
 def result_record(spark: SparkSession, res: SearchResult, model_path: str) -> DataFrame:
     """One row describing the search (the reference's result dict)."""
     b = res.best or {}
@@ -169,6 +252,38 @@ def feature_importance(model: PipelineModel, features: list[str], data: DataFram
             .orderBy(F.desc("importance"), "feature"))
 
 
+def permutation_importance(model: PipelineModel, features: list[str], data: DataFrame, target: str = TARGET,
+                           key: str = KEY, seed: int = 7) -> DataFrame:
+    """(feature, importance, base_log_loss) sorted descending: by how much the
+    log loss over ``data`` rises when a feature's values are dealt to other rows.
+
+    The same measure for every kind of model. A feature's values are permuted by
+    two ranks of keyed hashes: a row takes the value of the row whose second rank
+    is its first. All features are then scored in one pass, each row once for
+    every feature.
+    """
+    spark, n = data.sparkSession, len(features)
+    rows = stored(data.select(F.col(key).cast("string").alias("key"), F.col(target).cast("int").alias(TARGET),
+                              F.array(*[F.col(f).cast("double") for f in features]).alias("x")))
+    # group 2 j for the row that takes, 2 j + 1 for the one that gives
+    cells = rows.select("key", F.posexplode("x").alias("j", "value")).select(
+        "key", "value", F.explode(F.array(F.col("j") * 2, F.col("j") * 2 + 1)).alias("g"))
+    placed = positions(cells.withColumn("h", F.xxhash64("key", "g", F.lit(seed))), "g", ["h", "key"])
+    takes = placed.where("g % 2 = 0").select((F.col("g") / 2).cast("int").alias("j"), "pos", "key")
+    gives = placed.where("g % 2 = 1").select((F.floor(F.col("g") / 2)).cast("int").alias("j"), "pos", "value")
+    dealt = takes.join(gives, ["j", "pos"]).groupBy("key").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("j", "value"))), lambda c: c["value"]).alias("y"))  # one row's features
+    swapped = rows.join(dealt, "key").select(TARGET, "x", F.posexplode("y").alias("j", "v"))
+    vectors = swapped.select("j", TARGET, F.transform("x", lambda old, i: F.when(i == F.col("j"), F.col("v")).otherwise(old)).alias("x"))
+    every = vectors.union(rows.select(F.lit(-1), TARGET, "x")).select("j", TARGET, array_to_vector("x").alias("features"))
+    p = F.get(vector_to_array("probability"), F.lit(1))
+    q = F.least(F.greatest(F.when(F.col(TARGET) == 1, p).otherwise(1.0 - p), F.lit(1e-15)), F.lit(1 - 1e-15))
+    loss = model.stages[-1].transform(every).groupBy("j").agg(F.avg(-F.log(q)).alias("loss")).collect()  # a row a feature
+    base = next((r.loss for r in loss if r.j == -1), None)
+    out = [(features[r.j], r.loss - base, base) for r in loss if r.j >= 0]
+    return spark.createDataFrame(out, "feature string, importance double, base_log_loss double").orderBy(F.desc("importance"), "feature")
+
+
 def save_model(model: PipelineModel, path: str) -> str:
     model.write().overwrite().save(path)
     return path

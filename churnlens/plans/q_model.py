@@ -12,7 +12,7 @@ from churnlens.plans import model as mdl
 from churnlens.plans.q_graph import (_GF_CTES, _GF_SQL, LP_ROUNDS_FEATURES,
                                      PAGERANK_ROUNDS)
 from churnlens.plans.q_relational import (FEATURES_SQL, SILVER_SQL, customer_facts,
-                                          run_path, silver)
+                                          input_path, run_path, silver)
 from churnlens.plans.queries import r4, r11, register, rounded, rounded_fine
 from churnlens.session import scratch_path
 from churnlens.sources import fixtures as fx
@@ -53,15 +53,16 @@ def combined_features(spark, sf_dir):
 
 
 def search_result(spark, sf_dir):
-    """The search over all candidates, with the model and its vocabulary saved."""
+    """The search over all candidates, with the model and its vocabulary saved.
+    Its trials are added to the input's history, which all runs over it share."""
     k = _key(spark, sf_dir, "search")
     if k not in _WRITTEN:
         data = combined_features(spark, sf_dir)
-        res = mdl.search(data)
-        root = scratch_path(spark, f"models/{run_path(sf_dir)}")
+        res = mdl.search_halving(data)
+        root = scratch_path(spark, f"models/{input_path(sf_dir)}")
         path = mdl.save_model(res.best_model, f"{root}/{res.run_id}")
         mdl.save_vocabulary(spark, mdl.load_vocabulary(spark, _WRITTEN[_key(spark, sf_dir, "combined")]), path)
-        mdl.append_trials(mdl.trials_frame(spark, res), f"{root}/trials")
+        mdl.append_trials(mdl.trials_frame(spark, res), f"{root}/trials")  # after the model, so the history names none that is missing
         _WRITTEN[k] = (res, root, path)
     return _WRITTEN[k]
 
@@ -116,8 +117,27 @@ def q_model_result(spark, sf_dir):
 
 @register("best_trial")
 def q_best_trial(spark, sf_dir):
+    """The best trial of the newest run in the input's history."""
+    _, root, _ = search_result(spark, sf_dir)
+    return mdl.best_trial(mdl.read_trials(spark, f"{root}/trials"))
+
+
+@register("trial_history")
+def q_trial_history(spark, sf_dir):
+    """Runs over this input, newest first: a second, smaller search follows the
+    first, and its best trial is then the newest (rows-only)."""
+    _, root, _ = search_result(spark, sf_dir)
+    data = combined_features(spark, sf_dir)
+    again = mdl.search_halving(data, candidates=mdl.default_candidates()[:3], rungs=1)
+    mdl.save_model(again.best_model, f"{root}/{again.run_id}")
+    return mdl.run_history(mdl.append_trials(mdl.trials_frame(spark, again), f"{root}/trials"))
+
+
+@register("permutation_importance")
+def q_permutation_importance(spark, sf_dir):
+    """Rise of the held-out log loss when a feature is permuted (rows-only)."""
     res, _, _ = search_result(spark, sf_dir)
-    return mdl.best_trial(mdl.trials_frame(spark, res))
+    return mdl.permutation_importance(res.best_model, res.features, mdl.held_out(combined_features(spark, sf_dir)))
 
 
 @register("feature_importance")

@@ -51,11 +51,15 @@ def dashboard(spark, sf_dir) -> DataFrame:
     return dash.dashboard_rows(predictions(spark, sf_dir), customer_facts(spark, sf_dir))
 
 
+def input_path(sf_dir: str) -> str:
+    """A name for an input folder: the hash of its whole path."""
+    return hashlib.sha256(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
+
+
 def run_path(sf_dir: str) -> str:
-    """A name for one run over one input folder: the hash of its whole path
-    and a fresh id, so no two runs share files."""
-    whole = hashlib.sha256(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
-    return f"{whole}_{uuid.uuid4().hex[:12]}"
+    """A name for one run over one input folder: its name and a fresh id, so no
+    two runs share files."""
+    return f"{input_path(sf_dir)}_{uuid.uuid4().hex[:12]}"
 
 
 # ------------------------------------------------------------ oracle CTEs

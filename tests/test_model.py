@@ -71,3 +71,50 @@ def test_unreadable_model_is_an_error(spark, tmp_path):
         mdl.load_best_model(str(tmp_path / "broken"), str(tmp_path / "absent"))
     with pytest.raises(FileNotFoundError):
         mdl.load_best_model(str(tmp_path / "absent"))
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
+def test_halving_finds_the_winner_of_the_grid(spark):
+    df = customer_features(spark, SF).cache()
+    some = [c for i, c in enumerate(mdl.default_candidates()) if i in (0, 1, 2, 3, 7)]
+    halved, grid = mdl.search_halving(df, candidates=some), mdl.search(df, candidates=some)
+    assert halved.best["trial"] == grid.best["trial"]
+    assert halved.best["log_loss"] == pytest.approx(grid.best["log_loss"], rel=1e-3)
+    assert [t["trial"] for t in halved.trials] == [0, 1, 2, 3, 4]
+    assert {t["rung"] for t in halved.trials} == {0, 1, 2} and all(t["log_loss"] > 0 for t in halved.trials)
+    assert [t.get("skipped") for t in halved.trials].count(None) == 1
+    trials = mdl.trials_frame(spark, halved)
+    assert mdl.best_trial(trials).first().trial == grid.best["trial"]
+    test = mdl.held_out(df)
+    base = mdl._metrics(halved.best_model.transform(test.withColumn("label", F.col("churn").cast("double"))))
+    assert base["log_loss"] == pytest.approx(halved.best["log_loss"], rel=1e-9)  # the kept model assembles by itself
+
+
+def test_permutation_importance_of_all_kinds(spark):
+    rows = spark.range(1200).select(
+        F.col("id").cast("string").alias("customer_id"), F.pmod(F.xxhash64("id"), F.lit(100)).cast("double").alias("good"),
+        F.pmod(F.xxhash64("id", F.lit(1)), F.lit(100)).cast("double").alias("useless"), F.lit(3.0).alias("constant"))
+    rows = rows.withColumn("churn", ((F.col("good") + F.pmod(F.xxhash64("customer_id", F.lit(2)), F.lit(30))) > 60).cast("int")).cache()
+    some = mdl.default_candidates()
+    for candidate in (some[0], some[3], some[7]):
+        res = mdl.search_halving(rows, candidates=[candidate], rungs=1)
+        got = {r.feature: r.importance for r in mdl.permutation_importance(res.best_model, res.features, mdl.held_out(rows)).collect()}
+        assert got["good"] > 0.3 and abs(got["useless"]) < 0.1 * got["good"] and got["constant"] == pytest.approx(0, abs=1e-9)
+
+
+def test_a_permutation_keeps_the_values(spark):
+    from churnlens.operators.dense import positions
+    df = spark.range(900).selectExpr("id % 3 AS g", "id", "id * 7919 % 1000 AS h").repartition(6)
+    got = positions(df, "g", ["h", "id"]).collect()
+    for g in range(3):
+        mine = sorted((r for r in got if r.g == g), key=lambda r: (r.h, r.id))
+        assert [r.pos for r in mine] == list(range(300))
+
+
+def test_history_of_two_runs(spark, tmp_path):
+    make = lambda run, created, trial, loss, skipped: (run, created, trial, "a", "{}", loss, *[0.5] * 4, 1.0, skipped, 0, 1.0)
+    for rows in ([make("old", 1.0, 0, 0.2, None), make("old", 1.0, 1, 0.1, "stopped at rung 0")], [make("new", 2.0, 0, 0.4, None)]):
+        history = mdl.append_trials(spark.createDataFrame(rows, mdl.TRIALS_SCHEMA), str(tmp_path / "t"))
+    assert [(r.run_id, r.trials, r.best_trial, r.best_log_loss) for r in mdl.run_history(history).collect()] == [
+        ("new", 1, 0, 0.4), ("old", 2, 0, 0.2)]
+    assert mdl.best_trial(mdl.read_trials(spark, str(tmp_path / "t"))).first().run_id == "new"

@@ -1,23 +1,26 @@
 """Benchmark decontamination: BM25 over an inverted index of test items,
-pruned by block maxima, with overlap checks on question and answer.
+searched by block-max WAND, with overlap checks on question and answer.
 
 Index. Items of similar length (a factor of 4) share an index; in it, items
 with the same frequent terms lie next to each other, in blocks of ``BLOCK``.
-For each term an index holds its BM25 weight in each item, and per block the
-largest of them. Document frequencies are counted over all items. At most about
+Each term has a posting list, the items that hold it with their BM25 weights,
+cut by blocks, and the largest weight of each block. Document frequencies are counted over all items. At most about
 ``PASS_ITEMS`` items and ``PASS_BYTES`` of text are searched in one pass over
 the corpus; a larger benchmark takes more passes, so what is broadcast is
 bounded.
 
 Queries. A document's passages are windows of twice an index's longest item,
-one such length apart, so any run of an item lies whole in one of them. The
-pruning rule is that of block-max WAND: where the block maxima of a passage's
-distinct terms sum to less than the block's lowest threshold, the block holds
-no hit and is skipped. The sums of all passages and blocks of a batch are made
-at once, in place of cursors. The other blocks are scored exactly, and every
-item at or above ``share`` of the score that its own text gets is retrieved: no
-top-k. Where the checks below can be met with a lower score, that is the item's
-threshold, so retrieval loses nothing that the checks would confirm.
+one such length apart, so any run of an item lies whole in one of them. A
+passage's distinct terms are ordered by their largest weight. Those whose sum,
+from the smallest on, stays below every threshold can't make a hit by
+themselves: only blocks in the lists of the others, from the pivot on, are
+candidates. Where the block maxima of all the passage's terms sum to less than
+the block's lowest threshold, the block is skipped, its postings unread. The
+other blocks are scored exactly, and every item at or above ``share`` of the
+score that its own text gets is retrieved: no top-k. The walk is made for many
+passages at once, in arrays. Where the checks below can be met with a lower
+score, that is the item's threshold, so retrieval loses nothing that the checks
+would confirm.
 
 Checks. An item's question is its text up to its last sentence, its answer that
 sentence (a text of one sentence is halved). A hit stands when the passage
@@ -41,6 +44,8 @@ from pyspark.sql import functions as F
 from churnlens.llm.common import slices, written
 
 BLOCK, PASS_ITEMS, PASS_BYTES = 16, 1024, 1 << 20
+#: (term of a passage, block) pairs that a step of the walk holds.
+ENTRIES = 500_000
 K1, B = 1.2, 0.75
 _PUNCTUATION = re.compile(r"[\W_]+")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
@@ -81,6 +86,13 @@ def least_score(parts: list[set[tuple]], weight: dict[str, float], overlap: floa
     return sum(sum(c[:math.ceil(overlap * len(c) - 1e-9)]) for c in cost)
 
 
+def _spread(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each i the numbers from low[i] to high[i]: (i, number)."""
+    n = high.astype(np.int64) - low
+    i = np.repeat(np.arange(len(n)), n)
+    return i, np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+
+
 class Index:
     """Inverted index of items of similar length. ``df``: term -> items of the
     whole benchmark that hold it."""
@@ -92,18 +104,29 @@ class Index:
         self.items = [(i, *map(runs, question_and_answer(t))) for _, _, i, _, t in split]
         self.longest = max(x[1] for x in split)
         self.term = {t: k for k, t in enumerate(sorted({x for r in split for x in r[3]}))}
-        self.weight = np.zeros((len(self.term), len(split)))
+        rows, self.needed = [], np.zeros(len(split))
         for col, (_, size, _, w, _) in enumerate(split):
+            weight = {}
             for t, tf in Counter(w).items():
                 idf = math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5))
-                self.weight[self.term[t], col] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size / mean))
-        least = [least_score([q, r], {t: self.weight[self.term[t], col] for t in split[col][3]}, overlap)
-                 for col, (_, q, r) in enumerate(self.items)]
-        self.needed = np.minimum(share * self.weight.sum(axis=0), least)
-        self.blocks = [(a, min(a + BLOCK, len(split))) for a in range(0, len(split), BLOCK)]
-        self.block_max = np.stack([self.weight[:, a:b].max(axis=1) for a, b in self.blocks], axis=1).astype(np.float32)
-        # single precision is right to 1e-7 of each sum
-        self.lowest = np.array([self.needed[a:b].min() * (1 - 1e-4) for a, b in self.blocks], np.float32)
+                weight[t] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size / mean))
+            rows += [(self.term[t], col, x) for t, x in weight.items()]
+            _, q, r = self.items[col]
+            self.needed[col] = min(share * sum(weight.values()), least_score([q, r], weight, overlap))
+        rows.sort(key=lambda x: x[:2])
+        term = np.array([r[0] for r in rows])
+        self.col, self.weight = np.array([r[1] for r in rows], np.int32), np.array([r[2] for r in rows])
+        # entry: a term's postings in a block; ``posting`` are their starts, ``entry`` those of a term's entries
+        block = self.col // BLOCK
+        starts = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (block[1:] != block[:-1])]))
+        self.posting = np.append(starts, len(rows)).astype(np.int32)
+        self.block, self.block_max = block[starts], np.maximum.reduceat(self.weight, starts)
+        self.entry = np.searchsorted(term[starts], np.arange(len(self.term) + 1)).astype(np.int32)
+        self.top = np.maximum.reduceat(self.block_max, self.entry[:-1])
+        self.blocks = -(-len(split) // BLOCK)
+        # a sum may be off in its last digits
+        self.lowest = np.minimum.reduceat(self.needed, np.arange(0, len(split), BLOCK)) * (1 - 1e-9)
+        self.met, self.skipped = 0, 0
 
     def windows(self, size: int) -> int:
         """Passages of a document of so many words."""
@@ -130,22 +153,47 @@ class Index:
             return
         key = key[np.concatenate([[True], key[1:] != key[:-1]])]
         window, term = key // width, key % width
+        ends = np.append(np.flatnonzero(window[1:] != window[:-1]) + 1, len(key))
+        done = np.cumsum(self.entry[term + 1] - self.entry[term])
+        at = 0
+        while at < len(key):  # whole passages of about ENTRIES entries
+            k = np.searchsorted(done[ends - 1], (done[at - 1] if at else 0) + ENTRIES, "right")
+            to = ends[max(k - 1, np.searchsorted(ends, at, "right"))]
+            for w, col, score in self._walk(window[at:to], term[at:to]):
+                d = int(np.searchsorted(first, w, "right")) - 1
+                yield d, int(w - first[d]) * step, col, score
+            at = to
+
+    def _walk(self, window: np.ndarray, term: np.ndarray) -> list[tuple]:
+        """(passage, column, score) of what reaches its threshold, for the
+        distinct terms of passages, sorted by passage."""
         start = np.flatnonzero(np.concatenate([[True], window[1:] != window[:-1]]))
-        bound = np.add.reduceat(self.block_max[term], start, axis=0) >= self.lowest
-        size = np.diff(np.append(start, len(term)))
-        found = []
-        for k, (low, high) in enumerate(self.blocks):
-            i = np.flatnonzero(bound[:, k])
-            if not len(i):
-                continue
-            ahead = np.concatenate([[0], np.cumsum(size[i])])
-            rows = np.repeat(start[i] - ahead[:-1], size[i]) + np.arange(ahead[-1])
-            score = np.add.reduceat(self.weight[:, low:high][term[rows]], ahead[:-1], axis=0)
-            x, y = np.nonzero(score >= self.needed[low:high] - 1e-9)
-            found += zip(window[start[i[x]]].tolist(), (low + y).tolist(), score[x, y].tolist())
-        for w, col, score in sorted(found):
-            d = int(np.searchsorted(first, w, "right")) - 1
-            yield d, int(w - first[d]) * step, col, score
+        of = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(window))))
+        order = np.lexsort((self.top[term], of))
+        total = np.cumsum(self.top[term[order]])
+        below = np.concatenate([[0], total])[start]
+        pivot = np.zeros(len(term), bool)
+        pivot[order] = total - below[of] >= self.lowest.min() * (1 - 1e-9)
+        if not pivot.any():
+            return []
+        pair, entry = _spread(self.entry[term], self.entry[term + 1])
+        place = of[pair] * self.blocks + self.block[entry]
+        held = np.zeros(len(start) * self.blocks, bool)
+        held[place[pivot[pair]]] = True
+        bound = np.bincount(place, self.block_max[entry], len(held))
+        walked = held & (bound.reshape(-1, self.blocks) >= self.lowest).ravel()
+        self.met += len(np.unique(place))
+        self.skipped += len(np.unique(place)) - int(walked.sum())
+        entry, place = entry[walked[place]], place[walked[place]]
+        if not len(entry):
+            return []
+        mine, posting = _spread(self.posting[entry], self.posting[entry + 1])
+        key, inverse = np.unique(place[mine] // self.blocks * len(self.needed) + self.col[posting], return_inverse=True)
+        score = np.bincount(inverse, self.weight[posting])
+        col = key % len(self.needed)
+        hit = score >= self.needed[col] - 1e-9
+        names = window[start]
+        return list(zip(names[key[hit] // len(self.needed)].tolist(), col[hit].tolist(), score[hit].tolist()))
 
     def hits(self, texts: list[str], ids: list[np.ndarray], overlap: float) -> list[dict[int, tuple]]:
         """For each document: item -> (score, question overlap, answer overlap,

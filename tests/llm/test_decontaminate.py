@@ -1,3 +1,4 @@
+import pickle
 import random
 
 import numpy as np
@@ -27,7 +28,7 @@ def case(spark):
             spark.createDataFrame([(*x, "c") for x in items], "item_id long, text string, id string"), docs, items, planted)
 
 
-def brute(docs, items, share=0.6, overlap=0.6):
+def brute(docs, items, share=0.5, overlap=0.6):
     """All passages against all items, no pruning."""
     used = [(i, t) for i, t in items if t and d.words(t)]
     df = {}
@@ -95,3 +96,45 @@ def test_edited_items_of_common_words(spark):
     assert {(i, i) for i in range(40)} | {(100 + i, i) for i in range(40)} <= got
     assert got - brute(docs, items, share=0.6) and got - brute(docs, items, share=0.5)
     assert d.clean(spark.createDataFrame(docs, "doc_id long, text string"), bench).count() == 0
+
+
+def _index(rng, n, vocabulary, length):
+    pool = [f"w{k}" for k in range(vocabulary)]
+    texts = [" ".join(pool[int(len(pool) * rng.random() ** 3)] for _ in range(length)) + ". The end." for _ in range(n)]
+    df = {}
+    for t in texts:
+        for w in set(d.words(t)):
+            df[w] = df.get(w, 0) + 1
+    return texts, d.Index(list(enumerate(texts)), df, n, float(length + 2), 0.5, 0.6)
+
+
+def test_a_large_index_is_small_and_skips_blocks():
+    rng = random.Random(4)
+    texts, index = _index(rng, 1024, 60_000, 150)
+    assert len(pickle.dumps(index)) < 20 << 20 and len(index.term) > 20_000
+    docs = [" ".join(rng.choice(texts).split()[20:100]) for _ in range(150)] + texts[:50]
+    ids = [np.array([index.term[w] for w in d.words(t)]) for t in docs]
+    found = index.hits(docs, ids, 0.6)
+    assert all(k in f for k, f in enumerate(found[150:]))
+    assert index.skipped > 0.9 * index.met > 0  # postings of most blocks stay unread
+
+
+@pytest.mark.parametrize("entries", [1, 700, 500_000])
+def test_walk_retrieves_all_above_their_thresholds(monkeypatch, entries):
+    monkeypatch.setattr(d, "ENTRIES", entries)
+    rng = random.Random(6)
+    texts, index = _index(rng, 90, 200, 30)
+    docs = [" ".join(rng.choice(texts).split()[:rng.randint(5, 30)] + [f"w{rng.randrange(200)}" for _ in range(60)]) for _ in range(40)] + [""]
+    ids = [np.array([index.term.get(w, -1) for w in d.words(t)], np.int64) for t in docs]
+    dense = np.zeros((len(index.term), 90))
+    for t in range(len(index.term)):
+        for e in range(index.entry[t], index.entry[t + 1]):
+            p = slice(index.posting[e], index.posting[e + 1])
+            dense[t, index.col[p]] = index.weight[p]
+    want = set()
+    for k, i in enumerate(ids):
+        for w in range(index.windows(len(i))):
+            part = i[w * index.longest:(w + 2) * index.longest]
+            score = dense[np.unique(part[part >= 0])].sum(axis=0)
+            want |= {(k, w * index.longest, int(c)) for c in np.flatnonzero(score >= index.needed - 1e-9)}
+    assert {x[:3] for x in index.candidates(ids)} == want and want

@@ -31,6 +31,7 @@ def main() -> None:
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
 
     from churnlens.session import local_session
+    from churnlens.plans.q_model import forget_written
     from churnlens.plans.queries import QUERIES
 
     spark = local_session(cpus, shuffle_partitions=max(8, int(cpus) * 2), app="churnlens-bench")
@@ -41,6 +42,7 @@ def main() -> None:
     for n in names:
         runs = []
         for _ in range(repeat):
+            forget_written()  # else a second run would only read what the first wrote
             t0 = time.perf_counter()
             df = QUERIES[n](spark, sf_dir)
             df.write.format("noop").mode("overwrite").save()

@@ -34,15 +34,3 @@ def build_edges(calls: DataFrame, customers: DataFrame) -> DataFrame:
             .join(dst, "callee_mobile_number", "left")
             .select("dst", "src")
             .distinct())
-
-
-def undirected(e: DataFrame) -> DataFrame:
-    """Both directions of every edge with two known, distinct ends, as (u, v).
-
-    Duplicates (a reciprocal pair gives the same (u, v) twice) are removed.
-    """
-    known = e.where(F.col("src").isNotNull() & F.col("dst").isNotNull()
-                    & (F.col("src") != F.col("dst")))
-    return (known.select(F.col("src").alias("u"), F.col("dst").alias("v"))
-            .unionByName(known.select(F.col("dst").alias("u"), F.col("src").alias("v")))
-            .distinct())

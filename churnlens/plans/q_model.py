@@ -24,6 +24,11 @@ from churnlens.sources.fixtures import with_views
 _WRITTEN: dict = {}
 
 
+def forget_written() -> None:
+    """Compute the next query's tables and models anew (for measurements)."""
+    _WRITTEN.clear()
+
+
 def _key(spark, sf_dir, what):
     tables = (fx.subscribers(spark, sf_dir), fx.call_log(spark, sf_dir))
     sums = [t.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*t.columns).cast("decimal(20,0)"))).first() for t in tables]

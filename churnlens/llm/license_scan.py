@@ -7,22 +7,28 @@
 2. Around each anchor, a candidate block as long as the longest template with
    its differences on either side is taken from the whole text; overlapping
    blocks are one.
-3. A block is compressed by zstandard without and with each template as a raw
-   dictionary. Templates are ranked by the size reduction per byte of template;
-   this fills the columns reduction and rank and decides no match.
-4. Every template is confirmed by exact wording: the words of the template are aligned to the block (edits anywhere, block ends free), and the
-   differences counted. A template stands with differences in at most ``slack``
-   of its words; of standing templates that overlap, the one with more equal
-   words wins.
-
-The ranking selects nothing, as it would lose matches: a block may hold several
-notices, and a short template may save nothing in a long block.
+3. For each template, the block is cut into windows of twice the template's
+   length, one length apart, so a place of it lies whole in one of them. A window
+   that holds one of its anchors is compressed by zstandard, as plain words,
+   without and with the template as a raw dictionary. Templates are ranked by
+   their best size reduction, and a template is a candidate in the windows whose
+   reduction per byte of template reaches ``CUT``.
+4. Candidates are confirmed by exact wording: the words of the template are
+   aligned to its windows (edits anywhere, ends free), and the differences
+   counted. A template stands with differences in at most ``slack`` of its words;
+   of standing templates that overlap, the one with more equal words wins.
+
+``CUT`` lies between what edited wording and other text save: with all allowed
+differences, 720 edited templates amid other text saved 0.35 of the template's
+size or more, 720 windows of other text 0.11 at most. The tests compare the scan
+with an alignment of every template to the whole text.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -131,22 +137,42 @@ def align(template: list[str], block: list[str]) -> list[tuple[int, int, int]]:
     return out
 
 
+#: Size reduction per byte of template from which on a window is a candidate,
+#: and templates of so few bytes that compression can't tell: always candidates.
+CUT, TINY = 0.2, 16
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str], slack: float):
         self.names, self.slack = list(templates), slack
         self.words = [_words(templates[n]) for n in self.names]
+        self.own = [anchors([t], slack) | (anchors(self.words, slack) & set(t)) for t in self.words]
         self.anchors = anchors(self.words, slack)
         self.reach = max((len(t) + allowed(t, slack) for t in self.words), default=0)
         self.plain = zstandard.ZstdCompressor(level=19, write_content_size=False)
+        given = [" ".join(t).encode() for t in self.words]
+        self.size = [len(x) for x in given]
         self.given = [zstandard.ZstdCompressor(level=19, write_content_size=False, dict_data=zstandard.ZstdCompressionDict(
-            templates[n].lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for n in self.names]
-        self.size = [len(templates[n].encode()) for n in self.names]
-
-    def rank(self, block: str) -> list[tuple[float, int]]:
-        data = block.lower().encode()
-        alone = len(self.plain.compress(data))
-        saved = [(alone - len(c.compress(data))) / s for c, s in zip(self.given, self.size)]
-        return sorted(((s, i) for i, s in enumerate(saved)), key=lambda x: (-x[0], x[1]))
+            x, dict_type=zstandard.DICT_TYPE_RAWCONTENT)) if len(x) > TINY else None for x in given]
+        self.read, self.aligned = 0, 0  # windows compressed, and aligned
+
+    def windows(self, i: int, ws: list[str]) -> list[tuple[float, int, int]]:
+        """(reduction, first word, end) of the windows of template i that hold
+        an anchor of it."""
+        step, out = len(self.words[i]) + allowed(self.words[i], self.slack), []
+        hits = np.array([k for k, w in enumerate(ws) if w in self.own[i]], np.int64)
+        for a in range(0, max(1, len(ws) - step), step):
+            b = min(len(ws), a + 2 * step)
+            if np.searchsorted(hits, a) < np.searchsorted(hits, b):
+                out.append((self.reduction(i, ws[a:b]), a, b))
+        return out
+
+    def reduction(self, i: int, ws: list[str]) -> float:
+        self.read += 1
+        if self.given[i] is None:
+            return 1.0
+        data = " ".join(ws).encode()
+        return (len(self.plain.compress(data)) - len(self.given[i].compress(data))) / self.size[i]
 
     def scan(self, text: str) -> list[dict]:
         """Standing templates: license, start, end (code points), differences,
@@ -156,13 +182,18 @@ class Scanner:
             block = text[a:b]
             at = [(m.start(), m.end()) for m in _WORD.finditer(block)]
             ws = [block[x:y].lower() for x, y in at]
+            cut = [self.windows(i, ws) for i in range(len(self.names))]
+            best = [max((w[0] for w in x), default=-1.0) for x in cut]
+            order = sorted(range(len(best)), key=lambda i: (-best[i] * self.size[i], i))
             hits = []
-            for rank, (saved, i) in enumerate(self.rank(block)):
+            for rank, i in enumerate(order):
                 t = self.words[i]
-                for d, x, y in align(t, ws):
-                    if d > self.slack * len(t):
-                        break
-                    hits.append((d - len(t), d, x, y, i, saved, rank))
+                for low, high in _joined([(x, y) for saved, x, y in cut[i] if saved >= CUT]):
+                    self.aligned += 1
+                    for d, x, y in align(t, ws[low:high]):
+                        if d > self.slack * len(t):
+                            break
+                        hits.append((d - len(t), d, low + x, low + y, i, best[i], rank))
             taken: list[tuple[int, int]] = []
             for _, d, x, y, i, saved, rank in sorted(hits):
                 if all(y <= p or x >= q for p, q in taken):
@@ -172,6 +203,17 @@ class Scanner:
         return sorted(found, key=lambda r: r["start"])
 
 
+def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted spans, those that touch or overlap as one."""
+    out: list[tuple[int, int]] = []
+    for x, y in spans:
+        if out and x <= out[-1][1]:
+            out[-1] = (out[-1][0], max(y, out[-1][1]))
+        else:
+            out.append((x, y))
+    return out
+
+
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, slack: float = 0.1,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, license, start, end, differences, reduction and rank of every
@@ -187,9 +229,10 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, slac
     kind = "array<struct<license:string,start:long,end:long,differences:long,reduction:double,rank:int>>"
 
     @F.pandas_udf(kind)
-    def standing(texts: pd.Series) -> pd.Series:
-        scanner = Scanner(used, slack)
-        return texts.map(scanner.scan)
+    def standing(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scanner = Scanner(used, slack)  # one for a task
+        for texts in batches:
+            yield texts.map(scanner.scan)
 
     return candidates.select("id", F.explode(standing("text")).alias("f")).select(
         F.col("id").alias(id_col), "f.license", "f.start", "f.end", "f.differences",

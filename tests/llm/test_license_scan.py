@@ -105,3 +105,42 @@ def test_rank_decides_no_match():
         got = ls.Scanner(ls.TEMPLATES, 0.1).scan(f"{long} {text} {long} {ls.TEMPLATES['BSD-notice']}")
         assert {r["license"] for r in got} == {name, "BSD-notice"}
         assert name == "BSD-notice" or any(r["rank"] > 1 for r in got)
+
+
+def whole_text(text, slack=0.1):
+    """Every template aligned to all words of the text: no anchors, blocks, windows or compression."""
+    at = [(m.start(), m.end()) for m in ls._WORD.finditer(text)]
+    ws = [text[x:y].lower() for x, y in at]
+    hits, taken, out = [], [], []
+    for i, (name, t) in enumerate(ls.TEMPLATES.items()):
+        t = ls._words(t)
+        hits += [(d - len(t), d, x, y, i, name) for d, x, y in ls.align(t, ws) if d <= slack * len(t)]
+    for _, d, x, y, _, name in sorted(hits):
+        if all(y <= p or x >= q for p, q in taken):
+            taken.append((x, y))
+            out.append((at[x][0], at[y - 1][1], name, d))
+    return sorted(out)
+
+
+def test_scan_against_the_whole_text():
+    """No anchor, window or cut-off loses a match: edited notices, alone, several
+    in a block, split over lines, amid text that shares their words."""
+    rng = random.Random(12)
+    scanner, seen = ls.Scanner(ls.TEMPLATES, 0.1), 0
+    names = list(ls.TEMPLATES)
+    for case in range(240):
+        parts = [prose(rng, rng.randint(0, 120))]
+        for name in rng.choices(names, k=rng.randint(0, 3)):
+            w = ls.TEMPLATES[name].split()
+            for _ in range(rng.randint(0, len(ls._words(ls.TEMPLATES[name])) // 10)):
+                k = rng.randrange(len(w))
+                w[k:k + 1] = rng.choice([["other"], [], [w[k], "more"]])
+            parts += [rng.choice([" ", "\n# ", "  * "]).join(w), prose(rng, rng.choice([0, 3, 60]))]
+        parts += rng.choices(["license", "Permission", "the License.", "free software", "Redistribution"], k=rng.randint(0, 4))
+        text = "\n".join(parts)
+        want = whole_text(text)
+        got = sorted((r["start"], r["end"], r["license"], r["differences"]) for r in scanner.scan(text))
+        assert {x[2] for x in got} == {x[2] for x in want} and len(got) == len(want), case
+        assert [x[3] for x in got] == [x[3] for x in want], case
+        seen += len(want)
+    assert seen > 200 and scanner.aligned < scanner.read  # the reductions choose what is aligned

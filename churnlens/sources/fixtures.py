@@ -210,6 +210,6 @@ def with_views(sql: str, views: list[str], extra: list[tuple[str, str]] | None =
     ctes += [f"{name} AS ({body}\n)" for name, body in (extra or [])]
     if not ctes:
         return sql
-    recursive = any("USING KEY" in name for name, _ in (extra or []))
+    recursive = any("(" in name for name, _ in (extra or []))  # only recursive ones name their columns
     head = "WITH RECURSIVE " if recursive else "WITH "
     return head + ",\n".join(ctes) + "\n" + sql

@@ -24,8 +24,10 @@ loses no link.
 
 Links are found without emitting all pairs. Each set is first compared with its
 smallest candidate, then with candidates of other components. Of the groups of
-deficient sets, those within one component are done. The others tie their sets
-into families, and a family's sets are compared in blocks of about ``BLOCK``
+deficient sets, those within one component are done. In the others each set is
+compared with its group's smallest set, so near copies of one text become one
+component in as many comparisons as there are sets. Only groups that still hold
+several tie their sets into families, and a family's sets are compared in blocks of about ``BLOCK``
 shingles: a task holds two blocks, counts shared shingles through their
 postings, and returns only links that join components. Every comparison is on
 the whole shingle sets.
@@ -586,7 +588,19 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80,
     ties = written(packed.repartition("bucket").sortWithinPartitions("bucket")
                    .mapInArrow(_ties, "set long, pivot long").distinct(), "ties")
     if not ties.isEmpty():
-        labels = join_labels(labels, _family_links(ties, classes.select("set", "n"), labels, texts, width, percent))
+        # each set against one pivot, then against those of other components
+        side = labels.select(F.col("set").alias("pivot"), F.col("comp").alias("b"))
+        first = ties.groupBy("set").agg(F.min("pivot").alias("pivot"))
+        for pairs in (first, ties):
+            apart = pairs.join(labels.withColumnRenamed("comp", "a"), "set").join(side, "pivot").where("a <> b")
+            labels = join_labels(labels, _compare(written(apart.select("set", "pivot", "a", "b"), "pairs"), texts, width, percent))
+            side = labels.select(F.col("set").alias("pivot"), F.col("comp").alias("b"))
+        # groups that still hold several components: some member's differs from its pivot's
+        still = written(ties.join(labels.withColumnRenamed("comp", "a"), "set").join(side, "pivot").where("a <> b")
+                        .select("pivot").distinct(), "open-pivots")
+        if not still.isEmpty():
+            ties = written(ties.join(still, "pivot", "left_semi"), "open-ties")
+            labels = join_labels(labels, _family_links(ties, classes.select("set", "n"), labels, texts, width, percent))
 
     least = written(classes.join(labels, "set", "left").select("set", "id", F.coalesce("comp", "set").alias("comp")), "sets")
     smallest = written(least.groupBy("comp").agg(F.min("id").alias("component_id")), "smallest")

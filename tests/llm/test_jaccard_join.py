@@ -101,3 +101,19 @@ def test_shingles_are_the_word_sets(texts):
 
 def test_empty(empty):
     assert jaccard_components(empty).count() == 0
+
+
+def test_near_copies_of_one_text_need_no_blocks(spark, monkeypatch):
+    """Each is within reach of the group's smallest set, so none is left for the
+    comparison of all with all."""
+    from churnlens.llm import jaccard_join as jj
+    monkeypatch.setattr(jj, "_family_links", lambda *a: (_ for _ in ()).throw(AssertionError("blocks")))
+    rng = random.Random(21)
+    base = prose(rng, 120).split()
+    rows = []
+    for i in range(150):
+        w = list(base)
+        w[rng.randrange(len(w))] = f"new{i}"
+        rows.append((i, " ".join(w)))
+    got = jj.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert {r.component_id for r in got} == {0} and len(got) == 150

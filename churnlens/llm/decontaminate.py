@@ -182,8 +182,10 @@ class Index:
         held[place[pivot[pair]]] = True
         bound = np.bincount(place, self.block_max[entry], len(held))
         walked = held & (bound.reshape(-1, self.blocks) >= self.lowest).ravel()
-        self.met += len(np.unique(place))
-        self.skipped += len(np.unique(place)) - int(walked.sum())
+        touched = np.zeros(len(held), bool)
+        touched[place] = True
+        self.met += int(touched.sum())
+        self.skipped += int(touched.sum() - walked.sum())
         entry, place = entry[walked[place]], place[walked[place]]
         if not len(entry):
             return []

@@ -323,6 +323,38 @@ def test_louvain_beats_singletons(spark, edge_frame, vs, es):
     assert q >= _brute_modularity(es, singletons) - 1e-12
 
 
+@pytest.mark.parametrize("resolution", [1.0, 0.5])
+def test_louvain_keeps_its_modularity_from_the_moves(spark, edge_frame, resolution):
+    """Planted groups, a hub tied to half of all vertices, loops and edges given
+    both ways: every round raises the modularity, which at the end is that of
+    the whole partition."""
+    import random
+    from churnlens.operators.louvain import louvain, modularity
+    rnd = random.Random(5)
+    ids = [f"v{i:02d}" for i in range(48)]
+    es = [(a, ids[(i // 12) * 12 + rnd.randrange(12)]) for i, a in enumerate(ids) for _ in range(4)]
+    es += [(b, a) for a, b in es[::3]] + [("hub", a) for a in ids[::2]] + [("v01", "v01"), ("alone", "alone")]
+    e = edge_frame(es)
+    trace = []
+    lab = _map(louvain(e, resolution, trace), "id", "community")
+    assert trace == sorted(set(trace)) and set(lab) == {*ids, "hub", "alone"}
+    assert lab["alone"] == "alone"
+    for c in set(lab.values()):
+        assert c == min(v for v in lab if lab[v] == c)
+    q = modularity(e, spark.createDataFrame(list(lab.items()), "id string, label string"), resolution)
+    assert trace[-1] == pytest.approx(q, abs=1e-9)
+    if resolution == 1.0:
+        assert q == pytest.approx(_brute_modularity(es, lab), abs=1e-9)
+        planted = {v: str((i // 12)) for i, v in enumerate(ids)} | {"hub": "0", "alone": "alone"}
+        assert q >= _brute_modularity(es, planted) - 0.02
+
+
+def test_louvain_of_no_edges(spark, edge_frame):
+    from churnlens.operators.louvain import louvain
+    none = spark.createDataFrame([("a", None)], "dst string, src string")
+    assert louvain(none).count() == 0
+
+
 def _sequential_labels(vs, es):
     """Greedy colours in the order of priority, then labels one vertex at a time."""
     import hashlib

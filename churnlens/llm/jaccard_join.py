@@ -200,7 +200,7 @@ def _packer(width: int, bands: Bands, buckets: int):
     def pack(sigs, fps):
         s = np.concatenate(sigs)
         f = np.repeat(np.array(fps, np.uint64), [len(x) for x in sigs])
-        b = ((s >> np.uint64(44)) * np.uint64(buckets)) >> np.uint64(20)
+        b = ((s >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
         order = np.argsort(b, kind="stable")
         s, f, b = s[order], f[order], b[order]
         cut = np.concatenate([[0], np.flatnonzero(b[1:] != b[:-1]) + 1, [len(b)]])
@@ -370,7 +370,7 @@ def _deep_packer(width: int, bands: Bands, buckets: int):
                     continue
                 sizes = [len(x) for x in sigs]
                 s, f, c = np.concatenate(sigs), np.repeat(np.array(fps), sizes), np.repeat(np.array(comps), sizes)
-                b = ((s >> np.uint64(44)) * np.uint64(buckets)) >> np.uint64(20)
+                b = ((s >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
                 order = np.argsort(b, kind="stable")
                 s, f, c, b = s[order], f[order], c[order], b[order]
                 cut = np.concatenate([[0], np.flatnonzero(b[1:] != b[:-1]) + 1, [len(b)]])
@@ -548,7 +548,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80,
     spark, id_type, bands = docs.sparkSession, docs.schema[id_col].dataType, Bands(percent)
     rows = docs.select(F.col(id_col).cast("string").alias("doc"), F.xxhash64(text_col).alias("text_key"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    buckets = min(max(64, docs.count() // 256), 1 << 20)
+    buckets = max(64, docs.count() // 256)
     pack = _packer(width, bands, buckets)
     packed = rows.mapInArrow(lambda b: released(pack(b)), _PACKED)
     flat = written(packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda b: released(_groups(b)), _FLAT), "groups")
@@ -582,7 +582,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80,
     side = labels.select(F.col("set").alias("pivot"), F.col("comp").alias("b"))
     labels = compare(candidates.join(labels.withColumnRenamed("comp", "a"), "set").join(side, "pivot")
                      .where("a <> b").select("set", "pivot", "a", "b"))
-    shares = min(max(16, lacking.count() // 256), 1 << 20)
+    shares = max(16, lacking.count() // 256)
     packed = (lacking.join(texts, "set").join(labels, "set").select("set", "comp", "in0", "in1", "z")
               .mapInArrow(_deep_packer(width, bands, shares), "bucket long, sig binary, fp binary, comp binary"))
     ties = written(packed.repartition("bucket").sortWithinPartitions("bucket")

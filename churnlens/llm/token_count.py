@@ -174,7 +174,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 1024,
     """
     id_type = docs.schema[id_col].dataType
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    buckets = min(max(256, docs.count() // 256), 1 << 20)
+    buckets = max(256, docs.count() // 256)
 
     def batches_of(found):
         done, held = [], 0

@@ -49,8 +49,12 @@ def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: st
     size: UTF-8 bytes of the text, 0 if null, plus 1. Sizes of shards are near
     equal, with tokens (words) and rows balanced as far as they go along. Null
     and empty texts are one group. slot counts a shard's rows from 0 without
-    gaps. Ids may be null or repeat. An empty table gives an empty result; other
-    columns are ignored.
+    gaps, a unit after another and by id within (then size and checksum; rows that
+    agree in all of these are alike, so either order is the same result). Equal
+    texts share a shard, however long, unless their group has more bytes than a
+    shard: it is then cut by the hash of the ids. Groups below 1 / ``FINE`` of a
+    shard are placed as bundles. Ids may be null or repeat. An empty table gives an
+    empty result; other columns are ignored.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))

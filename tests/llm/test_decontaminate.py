@@ -138,3 +138,15 @@ def test_walk_retrieves_all_above_their_thresholds(monkeypatch, entries):
             score = dense[np.unique(part[part >= 0])].sum(axis=0)
             want |= {(k, w * index.longest, int(c)) for c in np.flatnonzero(score >= index.needed - 1e-9)}
     assert {x[:3] for x in index.candidates(ids)} == want and want
+
+
+def test_repeated_documents_and_a_very_long_text(spark):
+    """An item is found at the end of 300,000 words, and in each repeated row."""
+    rng = random.Random(12)
+    item = prose(rng, 40) + ". " + prose(rng, 6) + "."
+    long = prose(rng, 1000) + " "
+    docs = [(1, item), (1, item), (2, long * 300 + item), (3, long * 300), (1, long)]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item), (8, prose(rng, 30) + ". " + prose(rng, 5) + ".")], "item_id long, text string")
+    assert sorted((r.doc_id, r.item_id) for r in d.contaminated(table, bench).collect()) == [(1, 7), (1, 7), (2, 7)]
+    assert sorted((r.doc_id, len(r.text)) for r in d.clean(table, bench).collect()) == sorted([(1, len(long)), (3, len(long) * 300)])

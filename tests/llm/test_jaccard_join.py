@@ -118,3 +118,13 @@ def test_near_copies_of_one_text_need_no_blocks(spark, monkeypatch):
         rows.append((i, " ".join(w)))
     got = jj.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
     assert {r.component_id for r in got} == {0} and len(got) == 150
+
+
+def test_rows_of_one_id_with_different_texts(spark):
+    """Each row follows its own text; the id alone joins nothing."""
+    rng = random.Random(8)
+    a, b = prose(rng, 60), prose(rng, 60)
+    table = spark.createDataFrame([(5, a), (3, a), (5, b), (4, b), (5, a)], "doc_id long, text string")
+    n = len(word_set(a)), len(word_set(b))
+    assert result(jaccard_components(table)) == sorted(
+        [("5", n[0], "3"), ("5", n[0], "3"), ("3", n[0], "3"), ("5", n[1], "4"), ("4", n[1], "4")])

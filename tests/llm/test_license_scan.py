@@ -144,3 +144,11 @@ def test_scan_against_the_whole_text():
         assert [x[3] for x in got] == [x[3] for x in want], case
         seen += len(want)
     assert seen > 200 and scanner.aligned < scanner.read  # the reductions choose what is aligned
+
+
+def test_null_ids_and_repeated_rows(spark):
+    text = "x y z " + ls.TEMPLATES["MIT-notice"] + " a b c"
+    table = spark.createDataFrame([(1, text), (1, text), (None, text), (None, None)], "doc_id long, text string")
+    got = ls.scan_licenses(table).collect()
+    assert sorted(str(r.doc_id) for r in got if r.license == "MIT-notice") == ["1", "1", "None"]
+    assert len({(r.license, r.start, r.end, r.differences) for r in got}) * 3 == len(got)

@@ -72,3 +72,12 @@ def test_documents(docs, empty):
     rows = mixing.document_rows(docs, F.length("text"))
     assert mixing.mix(rows, mixing.WEIGHTS, 0.7, 1, 1).count() > 0
     assert mixing.mix(mixing.document_rows(empty, F.length("text")), mixing.WEIGHTS, 0.7).count() == 0
+
+
+def test_repeated_ids_follow_their_tokens(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET", 4)
+    rows = [(i // 3, f"d{i % 2}", "en", f"s{i % 4}", 5 + (i * 7) % 23) for i in range(120)]
+    rows += rows[:10]
+    table = spark.createDataFrame(rows, "id long, domain string, lang string, source string, tokens long")
+    got = [(r.id, r.epoch, r.domain, r.lang, r.source) for r in mixing.mix(table, {}, 0.45, 1, 5).collect()]
+    assert sorted(got) == sorted(brute(rows, {}, 0.45, 1, 5))

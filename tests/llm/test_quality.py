@@ -36,9 +36,15 @@ def test_edge_cases(spark, docs, empty):
 
 
 def test_bounded_sample(spark):
+    """The rows with the smallest hashes alone give the same weights."""
+    from pyspark.sql import functions as F
     labels = read_table(spark, SF, "labels")
-    w = q.fitted(read_table(spark, SF, "documents"), labels, max_rows=50, rounds=2)
+    rows = read_table(spark, SF, "documents").join(labels, "doc_id").select(
+        F.col("doc_id").alias("id"), "text", F.col("quality").alias("label"))
+    least = rows.orderBy(F.xxhash64(F.col("id").cast("string"), F.lit("sample"))).limit(50)
+    w, same = q.train(rows, max_rows=50, rounds=2), q.train(least, rounds=2)
     assert len(w) == 2 ** 18 + 1 and np.any(w[:-1])
+    assert np.allclose(w, same) and not np.allclose(w, q.train(rows, max_rows=51, rounds=2))
 
 
 def test_features():

@@ -1,3 +1,5 @@
+import hashlib
+import random
 import zlib
 from collections import defaultdict
 
@@ -53,3 +55,36 @@ def test_place_prefers_the_residual_direction():
 
 def test_empty(empty):
     assert sharding.shard(empty).count() == 0
+
+
+def test_against_brute_force(spark):
+    """Groups of over 1 / 512 of a shard: each placed by decreasing size where
+    the dot product with the residual is highest, slots in order of unit and id."""
+    rng = random.Random(4)
+    texts = [f"{k} " + " ".join("x" * rng.randint(1, 12) for _ in range(rng.randint(20, 300))) for k in range(90)]
+    rows = list(enumerate(t for t in texts for _ in range(rng.randint(1, 9)))) + [(900, None), (901, "")]
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 4).collect()
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[t or ""].append(i)
+    size = {t: (len(ids) * (len(t) + 1), len(ids) * len(t.split()), len(ids)) for t, ids in groups.items()}
+    cap = [max(1, sum(v[k] for v in size.values())) / 4 for k in range(3)]
+    share = {t: [v[k] / cap[k] for k in range(3)] for t, v in size.items()}
+    assert all(1 / 512 < max(v) and v[0] < 1 for v in share.values())
+    unit = {t: hashlib.md5(t.encode()).hexdigest() + "/0" for t in groups}
+    left, at = [[1.0] * 3 for _ in range(4)], {}
+    for t in sorted(groups, key=lambda t: (-max(share[t]), unit[t])):
+        fits = [s for s in range(4) if left[s][0] >= share[t][0] - 1e-12]
+        at[t] = (max(fits, key=lambda s: (sum(a * b for a, b in zip(left[s], share[t])), -s)) if fits
+                 else max(range(4), key=lambda s: (left[s][0], -s)))
+        left[at[t]] = [a - b for a, b in zip(left[at[t]], share[t])]
+    want = {}
+    for s in range(4):
+        inside = sorted((unit[t], i) for t, ids in groups.items() if at[t] == s for i in ids)
+        want |= {i: (s, k) for k, (_, i) in enumerate(inside)}
+    assert {r.doc_id: (r.shard, r.slot) for r in got} == want
+
+
+def test_ties_of_slots_and_very_long_texts(spark):
+    rows = [(1, "same"), (1, "same"), (1, "same"), (2, "w " * 2_000_000), (3, "é" * 1_000_000)]
+    check(spark.createDataFrame(rows, "doc_id long, text string"), 3)

@@ -67,3 +67,18 @@ def test_empty(spark, pages):
     path = scratch(spark, "test-warc")
     warc.write_warc(warc.plan_records(pages.where("false")), path)
     assert warc.read_warc(spark, path).count() == 0
+
+
+def test_null_ids_and_repeated_rows(spark):
+    """A null id never wins and revisits the largest id; rows that repeat the
+    winning id are responses; among null ids alone none revisits."""
+    body, other = "<p>same</p>" * 200, "<p>other</p>" * 200
+    rows = [(4, "u", body), (9, "u", body), (9, "u", body), (None, "u", body), (None, "u", other), (None, "u", other)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    path = scratch(spark, "test-warc")
+    warc.write_warc(warc.plan_records(pages), path)
+    got = sorted((str(r.page_id), r.record_type, str(r.refers_to), r.payload_bytes)
+                 for r in warc.page_digests(warc.read_warc(spark, path)).collect())
+    n, m = len(body), len(other)
+    assert got == sorted([("4", "revisit", "9", n), ("9", "response", "None", n), ("9", "response", "None", n), ("None", "revisit", "9", n),
+                          ("None", "response", "None", m), ("None", "response", "None", m)])

@@ -102,6 +102,20 @@ def test_permutation_importance_of_all_kinds(spark):
         assert got["good"] > 0.3 and abs(got["useless"]) < 0.1 * got["good"] and got["constant"] == pytest.approx(0, abs=1e-9)
 
 
+def test_models_score_in_a_session_that_has_observed(spark):
+    from pyspark.sql import Observation
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3
+    rows = spark.range(200).select(F.col("id").cast("string").alias("customer_id"), (F.col("id") % 7).cast("double").alias("x"),
+                                   (F.col("id") % 7 > 3).cast("int").alias("churn")).cache()
+    some = mdl.default_candidates()
+    for candidate in (some[1], some[3], some[7]):
+        for res in (mdl.search(rows, candidates=[candidate]), mdl.search_halving(rows, candidates=[candidate], rungs=1)):
+            assert mdl.score(res.best_model, rows).count() == 200 and res.best["log_loss"] >= 0
+            assert len(mdl.score(res.best_model, rows).collect()) == 200
+
+
 def test_a_permutation_keeps_the_values(spark):
     from churnlens.operators.dense import positions
     df = spark.range(900).selectExpr("id % 3 AS g", "id", "id * 7919 % 1000 AS h").repartition(6)

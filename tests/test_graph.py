@@ -392,3 +392,17 @@ def test_labels_by_colours(spark, edge_frame, id_frame, vs, es):
     assert ends.where("colour = other").isEmpty()
     assert _map(semi_synchronous_labels(id_frame(vs), edge_frame(es), g, changes), "id", "label") == label
     assert changes[-1] == 0
+
+
+def test_sketches_keep_two_states_on_disk(spark, edge_frame):
+    import os
+    from churnlens.operators.dense import DenseGraph
+    from churnlens.operators.reach import sketch_reach
+    from churnlens.session import scratch_path
+    g = DenseGraph.of(edge_frame([(f"{i:02d}", f"{i + 1:02d}") for i in range(9)]))
+    at = scratch_path(spark, "state").removeprefix("file:")
+    before = set(os.listdir(at))
+    reach, hops = sketch_reach(g, "undirected")
+    assert hops == 9 and len(set(os.listdir(at)) - before) == 3  # the arcs and two states, not one a hop
+    assert {r.id: (r.reached, r.far) for r in reach.collect()} == {
+        k: (10, sum(abs(k - x) for x in range(10))) for k in range(10)}

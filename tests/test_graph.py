@@ -174,6 +174,25 @@ def test_label_propagation(spark, edge_frame, id_frame, vs, es, rounds):
     assert got == bf.label_propagation(vs, es, rounds)
 
 
+@pytest.mark.parametrize("es,rounds,counted", [
+    ([("a", "b")], 25, [2, 2]),  # labels take turns for ever
+    ([("a", "b")], 24, [2, 2]),
+    ([("h", f"l{i}") for i in range(9)] + [("x", "y"), ("y", "z"), ("z", "x")], 25, None),
+    # most settle soon, the end of a long path moves on: late rounds count its surroundings alone
+    ([(f"t{i}{x}", f"t{i}{y}") for i in range(60) for x, y in ("ab", "bc", "ca")] + [(f"p{i:02}", f"p{i + 1:02}") for i in range(24)], 17, None),
+    ([(f"p{i:02}", f"p{i + 1:02}") for i in range(24)], 40, None)])
+def test_label_rounds_end_when_labels_stand_or_alternate(spark, edge_frame, es, rounds, counted):
+    from churnlens.operators.dense import DenseGraph
+    vs, recomputed = sorted({v for e in es for v in e}), []
+    g = DenseGraph.of(edge_frame(es))
+    got = _map(g.back(labels.label_rounds(g, rounds, recomputed), "id", "label"), "id", "label")
+    assert got == bf.label_propagation(vs, es, rounds)
+    if counted is not None:
+        assert recomputed == counted
+    if len(vs) > 100:
+        assert recomputed[0] == len(vs) and 0 < min(recomputed) <= 25
+
+
 @pytest.mark.parametrize("vs,es", GRAPHS + [(
     [f"{i}" for i in range(30)], [(f"{i}", f"{i + 1}") for i in range(29)])])
 def test_components(spark, edge_frame, id_frame, vs, es):

@@ -238,6 +238,17 @@ def test_bad_csv_rows_go_to_the_quarantine(spark, tmp_path):
         ingest.read_csv(spark, str(tmp_path / "l"), ingest.CALL_LOG_SCHEMA).collect()
 
 
+def test_renamed_columns_give_few_constraints(spark, tmp_path):
+    from pyspark.sql.types import StringType, StructField, StructType
+    names = [f"col_{c}" for c in "abcdefghij"]
+    raw = [f"Col{c}" for c in "ABCDEFGHIJ"]
+    schema = StructType([StructField(n, StringType()) for n in names])
+    good, bad = ingest.read_csv_checked(spark, _file(tmp_path / "w", ",".join(raw), ",".join("abcdefghij"), "a,b"), schema)
+    assert [tuple(r) for r in good.collect()] == [tuple("abcdefghij")] and good.select("col_c").count() == 1
+    assert [r.record for r in bad.collect()] == ["a,b"]
+    assert good._jdf.queryExecution().optimizedPlan().validConstraints().size() < 100  # not 2 to the number of columns
+
+
 def test_failing_writes_leave_the_table(spark, tmp_path):
     from churnlens.sources import feature_table as ft
     from churnlens.sources.versions import previous_version

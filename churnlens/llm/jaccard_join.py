@@ -24,10 +24,12 @@ loses no link.
 
 Links are found without emitting all pairs. Each set is first compared with its
 smallest candidate, then with candidates of other components. Of the groups of
-deficient sets, those within one component are done. In the others each set is
-compared with its group's smallest set, so near copies of one text become one
-component in as many comparisons as there are sets. Only groups that still hold
-several tie their sets into families, and a family's sets are compared in blocks of about ``BLOCK``
+deficient sets, those within one component are done. In the others, the open
+ones, each set is compared with the smallest set of one of its groups, so near
+copies of one text become one component in as many comparisons as there are
+sets. Only groups that are open after ``LEADS`` times tie their sets into
+families; a set gives one row a bucket for this, whatever its signatures and the
+sizes of their groups. A family's sets are compared in blocks of about ``BLOCK``
 shingles: a task holds two blocks, counts shared shingles through their
 postings, and returns only links that join components. Every comparison is on
 the whole shingle sets.
@@ -57,6 +59,8 @@ from churnlens.llm.common import ASCII_LOWER, released, slices, written
 CROWD = 16
 #: Shingles of a block of a family's sets.
 BLOCK = 500_000
+#: Times that deficient sets are compared with one of their pivots.
+LEADS = 2
 #: Signatures that a map task packs at a time.
 PACK = 400_000
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -383,9 +387,10 @@ def _deep_packer(width: int, bands: Bands, buckets: int):
     return run
 
 
-def _ties(batches):
-    """Buckets -> (set, pivot) for the sets of each group that holds several
-    components; the pivot is the group's smallest set."""
+def _open_groups(batches):
+    """Buckets, one after another -> (set, its component, pivot, the pivot's
+    component) of all places in groups that hold several components; the pivot
+    is the group's smallest set."""
 
     def of(sigs, fps, comps):
         s, f, c = _from_six(b"".join(sigs)), np.frombuffer(b"".join(fps), "<i8"), np.frombuffer(b"".join(comps), "<i8")
@@ -393,24 +398,51 @@ def _ties(batches):
         s, f, c = s[order], f[order], c[order]
         start = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
         size = np.diff(np.append(start, len(s)))
-        several = np.minimum.reduceat(c, start) != np.maximum.reduceat(c, start)
-        pivot = np.repeat(f[start], size)
-        used = np.repeat(several, size) & (f != pivot)
-        rows = np.unique(np.stack([f[used], pivot[used]], axis=1), axis=0)
-        if len(rows):
-            yield pa.record_batch([pa.array(rows[:, 0]), pa.array(rows[:, 1])], names=["set", "pivot"])
+        used = np.repeat(np.minimum.reduceat(c, start) != np.maximum.reduceat(c, start), size)
+        first = np.repeat(start, size)[used]
+        return f[used], c[used], f[first], c[first]
 
     now, held = None, ([], [], [])
     for batch in batches:
         for bucket, *row in zip(*(batch.column(i).to_pylist() for i in range(4))):
             if bucket != now:
                 if held[0]:
-                    yield from of(*held)
+                    yield of(*held)
                 now, held = bucket, ([], [], [])
             for h, v in zip(held, row):
                 h.append(v)
     if held[0]:
-        yield from of(*held)
+        yield of(*held)
+
+
+def _leads(batches):
+    """Buckets -> (set, pivot) for the sets of open groups, each once a bucket:
+    with its smallest pivot of another component, or itself where it has none."""
+    for f, c, pivot, other in _open_groups(batches):
+        sets, at = np.unique(f, return_inverse=True)
+        least = sets.copy()
+        np.minimum.at(least, at, np.where(c != other, pivot, f))
+        if len(sets):
+            yield pa.record_batch([pa.array(sets), pa.array(least)], names=["set", "pivot"])
+
+
+def _families(batches):
+    """Buckets -> (set, pivot) for the sets of open groups, each once a bucket:
+    with the smallest set that the bucket's open groups connect it to."""
+    for f, _, pivot, _ in _open_groups(batches):
+        sets, ends = np.unique(np.concatenate([f, pivot]), return_inverse=True)
+        a, b = ends[:len(f)], ends[len(f):]
+        root, met = np.arange(len(sets)), len(sets) > 0
+        while met:
+            least = np.minimum(root[a], root[b])
+            up = root.copy()
+            np.minimum.at(up, root[a], least)
+            np.minimum.at(up, root[b], least)
+            while (up[up] != up).any():
+                up = up[up]
+            root, met = up, (up != root).any()
+        if len(sets):
+            yield pa.record_batch([pa.array(sets), pa.array(sets[root])], names=["set", "pivot"])
 
 
 def _block_linker(width: int, percent: int):
@@ -582,25 +614,27 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80,
     side = labels.select(F.col("set").alias("pivot"), F.col("comp").alias("b"))
     labels = compare(candidates.join(labels.withColumnRenamed("comp", "a"), "set").join(side, "pivot")
                      .where("a <> b").select("set", "pivot", "a", "b"))
-    shares = max(16, lacking.count() // 256)
-    packed = (lacking.join(texts, "set").join(labels, "set").select("set", "comp", "in0", "in1", "z")
-              .mapInArrow(_deep_packer(width, bands, shares), "bucket long, sig binary, fp binary, comp binary"))
-    ties = written(packed.repartition("bucket").sortWithinPartitions("bucket")
-                   .mapInArrow(_ties, "set long, pivot long").distinct(), "ties")
-    if not ties.isEmpty():
-        # each set against one pivot, then against those of other components
+    def open_groups(some: DataFrame, rows) -> DataFrame:
+        """``rows`` (_leads, _families) of the groups of the deficient sets ``some``."""
+        shares = max(16, some.count() // 256)
+        packed = (some.join(texts, "set").join(labels, "set").select("set", "comp", "in0", "in1", "z")
+                  .mapInArrow(_deep_packer(width, bands, shares), "bucket long, sig binary, fp binary, comp binary"))
+        return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(rows, "set long, pivot long")
+
+    def compare_apart(pairs: DataFrame) -> DataFrame:
         side = labels.select(F.col("set").alias("pivot"), F.col("comp").alias("b"))
-        first = ties.groupBy("set").agg(F.min("pivot").alias("pivot"))
-        for pairs in (first, ties):
-            apart = pairs.join(labels.withColumnRenamed("comp", "a"), "set").join(side, "pivot").where("a <> b")
-            labels = join_labels(labels, _compare(written(apart.select("set", "pivot", "a", "b"), "pairs"), texts, width, percent))
-            side = labels.select(F.col("set").alias("pivot"), F.col("comp").alias("b"))
-        # groups that still hold several components: some member's differs from its pivot's
-        still = written(ties.join(labels.withColumnRenamed("comp", "a"), "set").join(side, "pivot").where("a <> b")
-                        .select("pivot").distinct(), "open-pivots")
-        if not still.isEmpty():
-            ties = written(ties.join(still, "pivot", "left_semi"), "open-ties")
-            labels = join_labels(labels, _family_links(ties, classes.select("set", "n"), labels, texts, width, percent))
+        apart = pairs.join(labels.withColumnRenamed("comp", "a"), "set").join(side, "pivot").where("a <> b")
+        return compare(apart.select("set", "pivot", "a", "b"))
+
+    for _ in range(LEADS):
+        leads = written(open_groups(lacking, _leads).groupBy("set").agg(F.min("pivot").alias("pivot")), "leads")
+        if leads.isEmpty():
+            break
+        labels = compare_apart(leads)
+        lacking = lacking.join(leads, "set", "left_semi")
+    else:
+        members = written(open_groups(lacking, _families).distinct(), "members")
+        labels = join_labels(labels, _family_links(members, classes.select("set", "n"), labels, texts, width, percent))
 
     least = written(classes.join(labels, "set", "left").select("set", "id", F.coalesce("comp", "set").alias("comp")), "sets")
     smallest = written(least.groupBy("comp").agg(F.min("id").alias("component_id")), "smallest")

@@ -2,6 +2,7 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from churnlens.llm import jaccard_join
@@ -63,6 +64,23 @@ def test_chains_and_large_groups(spark, monkeypatch, crowd, block):
     assert result(jaccard_components(table)) == brute(list(enumerate(rows)))
 
 
+@pytest.mark.parametrize("rows", [jaccard_join._leads, jaccard_join._families])
+def test_a_set_gives_one_row_a_bucket(rows):
+    """Groups of a bucket with many pivots each: a row a set, not one a pivot.
+    Sets 0..59 meet in 30 groups, 100 and 101 in one of their own, and the group
+    of 200 and 201 is of one component."""
+    groups = [sorted({k, *range(k, 60, 2)}) for k in range(30)] + [[100, 101], [200, 201]]
+    comp = {**{i: i for g in groups for i in g}, 201: 200, 30: 28}
+    sig = np.repeat(np.arange(len(groups), dtype=np.uint64), [len(g) for g in groups])
+    sets = np.concatenate(groups)
+    parts = [(jaccard_join._six(sig[x]), sets[x].astype("<i8").tobytes(), np.array([comp[i] for i in sets[x]], "<i8").tobytes())
+             for x in (slice(0, 400), slice(400, None))]
+    batch = pa.record_batch([pa.array([7, 7]), *[pa.array(c, pa.binary()) for c in zip(*parts)]], names=["bucket", "sig", "fp", "comp"])
+    got = [p for b in rows([batch]) for p in zip(*(c.to_pylist() for c in b.columns))]
+    want = {i: i % 2 for i in range(60)} | {100: 100, 101: 100}
+    assert sorted(got) == sorted(want.items())
+
+
 def test_signatures_lose_no_linked_pair():
     """Linked sets share a signature of a range that is not empty, or both
     carry signatures of empty ranges."""

@@ -105,3 +105,57 @@ def test_diameter_of_other_graphs(spark):
     assert paths.diameter(make([(None, "b")])) is None
     assert paths.diameter(make([("a", "a")])) == 0
     assert paths.diameter(make([("a", "b"), ("b", "a")])) == 1
+
+
+def test_large_tables_of_loops_are_not_broadcast(spark):
+    few, many = spark.range(100), spark.range(100)
+    for rows, form in ((skew.BROADCAST_ROWS, "BroadcastHashJoin"), (skew.BROADCAST_ROWS + 1, "SortMergeJoin")):
+        joined = many.join(skew.sized(few, rows), "id")
+        assert joined.count() == 100
+        assert form in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_louvain_of_shuffled_states_is_that_of_broadcast_ones(spark, monkeypatch):
+    from churnlens.operators import louvain as lv
+    rng = random.Random(3)
+    ids = [f"v{i:02d}" for i in range(40)]
+    es = [(a, ids[i // 10 * 10 + rng.randrange(10)]) for i, a in enumerate(ids) for _ in range(4)] + [("hub", a) for a in ids]
+    e = spark.createDataFrame(es + [("v01", "v01")], "src string, dst string").select("dst", "src")
+    found, plans, proposals = [], [], lv._proposals
+
+    def seen(*args):
+        df = proposals(*args)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())  # while the arcs are cached
+        return df
+
+    monkeypatch.setattr(lv, "_proposals", seen)
+    for limit in (skew.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(skew, "BROADCAST_ROWS", limit)
+        trace = []
+        found.append(({r.id: r.community for r in lv.louvain(e, 1.0, trace).collect()}, trace))
+    assert found[0] == found[1] and len(found[0][1]) > 1
+    assert "InMemoryTableScan" in plans[-1] and "BroadcastHashJoin" not in plans[-1]
+
+
+def test_arcs_of_a_hub_are_even(spark, star, monkeypatch):
+    from churnlens.operators import louvain as lv
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
+    arcs = lv.undirected_arcs(star[1]).where("u <> v")
+    degrees = lv._node_degrees(arcs).withColumnRenamed("u", "id")
+    laid, nodes = lv._laid_out(arcs, degrees, degrees.count())
+    assert laid.count() == arcs.count() and nodes.where("parts > 1").first().id == "hub"
+    assert largest_share(laid) < 3
+    state = nodes.select("id", F.col("id").alias("c"), "k", "parts", F.col("k").alias("tot"))
+    met = lv._at_arcs(laid.select("u", "v", "w", skew.PART), state.select(F.col("id").alias("v"), "c", "parts"), 1)
+    assert met.count() == arcs.count() and met.where("v <> c").isEmpty()
+    laid.unpersist()
+
+
+def test_labels_by_colours_of_shuffled_states(spark, star, monkeypatch):
+    from churnlens.operators.colouring import semi_synchronous_labels
+    ids = spark.createDataFrame([("hub",), ("alone",)], "id string").union(spark.range(2700).selectExpr("concat('v', id) AS id"))
+    found = []
+    for limit in (skew.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(skew, "BROADCAST_ROWS", limit)
+        found.append({r.id: r.label for r in semi_synchronous_labels(ids, star[1]).collect()})
+    assert found[0] == found[1] and found[0]["alone"] == "alone"

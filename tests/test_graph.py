@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import bruteforce as bf
 from churnlens.operators import (community, degrees, labels, neighbours, pagerank,
-                                 path_samples, paths, reach, triangles)
+                                 path_samples, paths, reach, searches, triangles)
 
 # triangle a-b-c (b->a reciprocated), tail c->d, self-loop e, off-network
 # ends (null), a separate path f->g->h, and isolated z (vertex only).
@@ -425,3 +425,41 @@ def test_sketches_keep_two_states_on_disk(spark, edge_frame):
     assert hops == 9 and len(set(os.listdir(at)) - before) == 3  # the arcs and two states, not one a hop
     assert {r.id: (r.reached, r.far) for r in reach.collect()} == {
         k: (10, sum(abs(k - x) for x in range(10))) for k in range(10)}
+
+
+def _jobs(spark, run):
+    """How many jobs ``run`` needs."""
+    seen = set(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    run()
+    return len(set(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - seen)
+
+
+def _odd_graph():
+    """A long path, a hub of over 64 callers, copies, loops and unknown ends."""
+    path = [(f"p{i:03d}", f"p{i + 1:03d}") for i in range(90)]
+    hub = [(f"h{i:03d}", "p040") for i in range(100)] + [("p010", f"h{i:03d}") for i in range(0, 100, 7)]
+    return path + path[:5] + hub + [("p003", "p003"), ("l", "l"), (None, "p001"), ("p002", None)]
+
+
+@pytest.mark.parametrize("arcs,es", [(0, HAND), (1 << 25, HAND), (1 << 25, [("l", "l")]), (1 << 25, [(None, "a")])])
+def test_searches_in_tasks_and_by_rounds(edge_frame, monkeypatch, arcs, es):
+    monkeypatch.setattr(searches, "ARCS", arcs)
+    e = edge_frame(es)
+    assert _map(reach.closeness(e, words=1), "id", "closeness") == pytest.approx(bf.closeness(es))
+    row = reach.distance_summary(e, words=1).first().asDict()
+    assert {k: row[k] for k in ("n_nodes", "n_pairs", "max_distance", "sum_distance")} == {
+        k: bf.distance_summary(es)[k] for k in ("n_nodes", "n_pairs", "max_distance", "sum_distance")}
+
+
+def test_closeness_jobs_do_not_grow_with_hops_and_sources(spark, edge_frame):
+    es, got = _odd_graph(), {}
+    jobs = _jobs(spark, lambda: got.update(_map(reach.closeness(edge_frame(es), words=1), "id", "closeness")))
+    assert got == pytest.approx(bf.closeness(es), rel=1e-12)
+    assert jobs < 60, jobs
+
+
+def test_distance_summary_jobs_do_not_grow_with_hops_and_sources(spark, edge_frame):
+    es, got = _odd_graph(), {}
+    jobs = _jobs(spark, lambda: got.update(reach.distance_summary(edge_frame(es), words=2).first().asDict()))
+    assert all(got[k] == v for k, v in bf.distance_summary(es).items())
+    assert jobs < 60, jobs

@@ -449,6 +449,7 @@ def test_searches_in_tasks_and_by_rounds(edge_frame, monkeypatch, arcs, es):
     row = reach.distance_summary(e, words=1).first().asDict()
     assert {k: row[k] for k in ("n_nodes", "n_pairs", "max_distance", "sum_distance")} == {
         k: bf.distance_summary(es)[k] for k in ("n_nodes", "n_pairs", "max_distance", "sum_distance")}
+    assert _map(paths.betweenness(e), "id", "betweenness") == pytest.approx(bf.betweenness(es))
 
 
 def test_closeness_jobs_do_not_grow_with_hops_and_sources(spark, edge_frame):
@@ -463,3 +464,10 @@ def test_distance_summary_jobs_do_not_grow_with_hops_and_sources(spark, edge_fra
     jobs = _jobs(spark, lambda: got.update(reach.distance_summary(edge_frame(es), words=2).first().asDict()))
     assert all(got[k] == v for k, v in bf.distance_summary(es).items())
     assert jobs < 60, jobs
+
+
+def test_betweenness_jobs_do_not_grow_with_hops_and_sources(spark, edge_frame):
+    es, got = _odd_graph(), {}
+    jobs = _jobs(spark, lambda: got.update(_map(paths.betweenness(edge_frame(es), batch_size=50), "id", "betweenness")))
+    assert got == pytest.approx(bf.betweenness(es), rel=1e-9, abs=1e-15)
+    assert jobs < 60, jobs

@@ -132,3 +132,17 @@ def test_history_of_two_runs(spark, tmp_path):
     assert [(r.run_id, r.trials, r.best_trial, r.best_log_loss) for r in mdl.run_history(history).collect()] == [
         ("new", 1, 0, 0.4), ("old", 2, 0, 0.2)]
     assert mdl.best_trial(mdl.read_trials(spark, str(tmp_path / "t"))).first().run_id == "new"
+
+
+def test_gold_flow_computes_graph_features_once(spark, tmp_path, monkeypatch):
+    from churnlens.plans import graph_features as gf
+    from churnlens.plans import q_model
+    spark.createDataFrame([(k, k % 25, 100.0 * (k % 90) - 900, ("HOUSEHOLD", "MACHINERY", "BUILDING")[k % 3]) for k in range(120)],
+                          "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(k, k % 120) for k in range(400)], "o_orderkey long, o_custkey long").withColumn(
+        "o_orderdate", F.lit("1995-01-01 00:00:00").cast("timestamp")).write.parquet(f"{tmp_path}/orders.parquet")
+    calls, real, some = [], gf.graph_features, mdl.default_candidates()[:1]
+    monkeypatch.setattr(gf, "graph_features", lambda *a, **k: calls.append(1) or real(*a, **k))
+    monkeypatch.setattr(mdl, "default_candidates", lambda *a: some)
+    assert q_model.q_gold_flow(spark, str(tmp_path)).count() > 100
+    assert calls == [1]

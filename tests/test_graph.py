@@ -450,6 +450,8 @@ def test_searches_in_tasks_and_by_rounds(edge_frame, monkeypatch, arcs, es):
     assert {k: row[k] for k in ("n_nodes", "n_pairs", "max_distance", "sum_distance")} == {
         k: bf.distance_summary(es)[k] for k in ("n_nodes", "n_pairs", "max_distance", "sum_distance")}
     assert _map(paths.betweenness(e), "id", "betweenness") == pytest.approx(bf.betweenness(es))
+    want = bf.distance_summary(es)
+    assert paths.diameter(e, sources=2) == (want["max_distance"] if want["n_nodes"] and want["is_connected"] else None)
 
 
 def test_closeness_jobs_do_not_grow_with_hops_and_sources(spark, edge_frame):
@@ -471,3 +473,10 @@ def test_betweenness_jobs_do_not_grow_with_hops_and_sources(spark, edge_frame):
     jobs = _jobs(spark, lambda: got.update(_map(paths.betweenness(edge_frame(es), batch_size=50), "id", "betweenness")))
     assert got == pytest.approx(bf.betweenness(es), rel=1e-9, abs=1e-15)
     assert jobs < 60, jobs
+
+
+def test_diameter_jobs_do_not_grow_with_hops(spark, edge_frame):
+    es, got = [(s, d) for s, d in _odd_graph() if s != "l"][:125], []
+    jobs = _jobs(spark, lambda: got.append(paths.diameter(edge_frame(es), sources=70)))
+    assert got == [bf.distance_summary(es)["max_distance"]] == [90]
+    assert jobs < 60, jobs
